@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loom.llm import exact_dedup, language_id, simhash
+from loom.llm import decontaminate, exact_dedup, language_id, line_dedup, mixing, quality, sharding, simhash, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    index = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs.select("doc_id", "text"), index)
+    held_out = F.coalesce(~toxicity.training_row(), F.lit(False)).alias("held_out")
+    return out.select("doc_id", held_out, F.col("toxicity").alias("score"), (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "evidence")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -29,8 +37,42 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs.select("doc_id", "text"), quality.train(docs)).select("doc_id", F.col("quality").alias("score"), "weak_posterior", "votes")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(_table(spark, sf_dir, "documents")).select("doc_id", "slot", "shard")
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.boilerplate_free(_table(spark, sf_dir, "pages")).select("page_id", "host", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.mark(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "contaminated", "item_id", "equal_tokens", "span_tokens", "doc_from", "item_from")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op3_language_id, op4_simhash_dedup)}
+    own = (op1_toxicity, op2_exact_dedup, op3_language_id, op4_simhash_dedup, op5_quality, op6_mixing, op7_sharding, op8_substring_dedup, op9_line_dedup, op10_decontaminate, pipeline)
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -39,4 +81,65 @@ def oracle_sql() -> dict[str, str]:
             WITH hashed AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
             SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
             FROM hashed WINDOW w AS (PARTITION BY text_sha256)""",
+        "op6_mixing": r"""
+            WITH docs AS (
+              SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                     md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')) AS k FROM documents),
+            sums AS (SELECT source, sum(size)::BIGINT AS words FROM docs GROUP BY source),
+            weighed AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM sums),
+            total AS (SELECT sum(words)::BIGINT AS words FROM weighed),
+            levels AS (
+              SELECT w.*, (1.5 * t.words - coalesce(sum(2 * w.words) OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+                          / sum(weight) OVER (b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS level,
+                     row_number() OVER b AS place
+              FROM weighed w, total t WINDOW b AS (ORDER BY 2.0 * w.words / weight, source)),
+            level AS (SELECT arg_min(level, place) AS level FROM levels WHERE level * weight <= 2 * words),
+            targets AS (
+              SELECT source, words, CASE WHEN level.level * weight > 2 * words THEN (2 * words)::DOUBLE ELSE level.level * weight END AS target,
+                     greatest(1024, ceil(2 * (SELECT words FROM total) / 5e8))::BIGINT AS most
+              FROM weighed, level),
+            blocks AS (SELECT *, CASE WHEN words <= most * 1000 THEN greatest(1, least(most, words // 1000)) ELSE most END AS block FROM targets),
+            counts AS (SELECT *, (words + block - 1) // block AS n FROM blocks),
+            plan AS (
+              SELECT *, least(2 * n, floor(target / block + 0.5)::BIGINT) AS quota,
+                     list_min(list_filter(range(greatest(1, n) * 5 // 8 + 1, 2 * greatest(1, n) + 2), lambda x: gcd(x, greatest(1, n)) = 1)) AS step
+              FROM counts),
+            placed AS (
+              SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM docs d),
+            cut AS (
+              SELECT p.doc_id, p.k, p.start, p.size, s.block, s.quota, s.n, s.step, unnest(range(p.start // s.block, (p.start + p.size - 1) // s.block + 1)) AS b
+              FROM placed p JOIN plan s ON p.source IS NOT DISTINCT FROM s.source WHERE p.size > 0),
+            taken AS (
+              SELECT doc_id, start, sum(least((b + 1) * block, start + size) - greatest(b * block, start))::BIGINT AS taken
+              FROM cut, (VALUES (0), (1)) e(e) WHERE e * n + (b * step + e) % n < quota GROUP BY doc_id, start)
+            SELECT p.doc_id, p.size, s.words AS source_size, s.target, coalesce(t.taken, 0) AS taken
+            FROM placed p JOIN plan s ON p.source IS NOT DISTINCT FROM s.source
+            LEFT JOIN taken t ON t.doc_id IS NOT DISTINCT FROM p.doc_id AND t.start = p.start AND p.size > 0""",
+        "op8_substring_dedup": r"""
+            WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+            flat AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS at, len(ws) AS n FROM words),
+            starts AS (
+              SELECT doc_id, word, at, CASE WHEN at + 35 <= n THEN md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY at ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)) END AS h
+              FROM flat),
+            counted AS (SELECT doc_id, word, at, h IS NOT NULL AND count(*) OVER (PARTITION BY h) > 1 AS twice FROM starts),
+            covered AS (SELECT doc_id, word, at, bool_or(twice) OVER (PARTITION BY doc_id ORDER BY at ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM counted),
+            kept AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY at) FILTER (NOT gone) AS kept FROM covered GROUP BY doc_id)
+            SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+            FROM words LEFT JOIN kept USING (doc_id)""",
+        "op9_line_dedup": rf"""
+            WITH parts AS (
+              SELECT page_id, lower(nullif(regexp_extract(url, '{line_dedup.HOST}', 1), '')) AS host,
+                     list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+                       '{line_dedup.HIDDEN}', chr(10), 'g'), '{line_dedup.BREAKS}', chr(10), 'g'), '{line_dedup.TAG}', '', 'g'), chr(10)),
+                       lambda x: trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'))), lambda x: x <> '') AS lines
+              FROM pages),
+            hosts AS (SELECT host, count(*) AS pages FROM parts WHERE host IS NOT NULL GROUP BY host),
+            counted AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM parts WHERE host IS NOT NULL) GROUP BY ALL),
+            frequent AS (
+              SELECT host, list(line) AS drop_lines FROM counted JOIN hosts USING (host)
+              WHERE pages >= {line_dedup.MIN_PAGES} AND n > pages * {line_dedup.RATIO} GROUP BY host),
+            kept AS (
+              SELECT page_id, host, lines, CASE WHEN drop_lines IS NULL THEN lines ELSE list_filter(lines, lambda x: NOT list_contains(drop_lines, x)) END AS kept
+              FROM parts LEFT JOIN frequent USING (host))
+            SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(kept))::BIGINT AS n_dropped, sha256(array_to_string(kept, chr(10))) AS kept_sha256 FROM kept""",
     }

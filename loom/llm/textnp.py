@@ -55,8 +55,13 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     size = 1 << max(16, int(n).bit_length())
     if size not in _powers:
         inverse = pow(_B, -1, 1 << 64)
-        with np.errstate(over="ignore"):
-            _powers[size] = tuple(np.multiply.accumulate(np.concatenate(([1], np.full(size - 1, b, np.uint64))).astype(np.uint64)) for b in (_B, inverse))
+        both = []
+        for base in (_B, inverse):
+            factors = np.full(size, base, np.uint64)
+            factors[0] = 1
+            with np.errstate(over="ignore"):
+                both.append(np.multiply.accumulate(factors))
+        _powers[size] = both[0], both[1]
     return _powers[size]
 
 
