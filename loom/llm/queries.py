@@ -117,13 +117,13 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN taken t ON t.doc_id IS NOT DISTINCT FROM p.doc_id AND t.start = p.start AND p.size > 0""",
         "op8_substring_dedup": r"""
             WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-            flat AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS at, len(ws) AS n FROM words),
+            flat AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos, len(ws) AS n FROM words),
             starts AS (
-              SELECT doc_id, word, at, CASE WHEN at + 35 <= n THEN md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY at ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)) END AS h
+              SELECT doc_id, word, pos, CASE WHEN pos + 35 <= n THEN md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)) END AS h
               FROM flat),
-            counted AS (SELECT doc_id, word, at, h IS NOT NULL AND count(*) OVER (PARTITION BY h) > 1 AS twice FROM starts),
-            covered AS (SELECT doc_id, word, at, bool_or(twice) OVER (PARTITION BY doc_id ORDER BY at ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM counted),
-            kept AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY at) FILTER (NOT gone) AS kept FROM covered GROUP BY doc_id)
+            counted AS (SELECT doc_id, word, pos, h IS NOT NULL AND count(*) OVER (PARTITION BY h) > 1 AS twice FROM starts),
+            covered AS (SELECT doc_id, word, pos, bool_or(twice) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM counted),
+            kept AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone) AS kept FROM covered GROUP BY doc_id)
             SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
             FROM words LEFT JOIN kept USING (doc_id)""",
         "op9_line_dedup": rf"""
