@@ -21,6 +21,7 @@ LABELLERS = {
     "capitals": (-1, 0, 0.2, 0.5),
     "word_length": (2.2, 3, 9, 12),
     "distinct_words": (0.25, 0.45, 2, 2),
+    "word_again": (-1, 0, 0.05, 0.2),
     "repeated_lines": (-1, 0, 0.05, 0.3),
     "exclamations": (-1, 0, 0.05, 0.2),
     "digits": (-1, 0, 0.1, 0.3),
@@ -71,6 +72,9 @@ def measures(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     odd = ~letter & ~digit & ~blank & ~np.isin(data, SENTENCE)
     inner = np.concatenate(([0], np.cumsum(letter)))
     pure = inner[ends] - inner[starts] >= ends - starts - 1
+    word = range_hashes(data, starts, ends)
+    again = np.zeros(len(word), bool)
+    again[1:] = (word[1:] == word[:-1]) & (doc[1:] == doc[:-1])
     ls, le, lf = spans(data != 10, offs)
     lines, ldoc = np.diff(lf), np.repeat(np.arange(n), np.diff(lf))
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -79,7 +83,8 @@ def measures(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
             "symbols": _per_document(~blank & ~letter & ~digit, offs) / np.where(ink, ink, np.nan),
             "capitals": _per_document(up, offs) / np.where(letters, letters, np.nan),
             "word_length": letters / np.where(words, words, np.nan),
-            "distinct_words": np.where(words >= 20, _distinct(range_hashes(data, starts, ends), doc, n) / np.sqrt(np.maximum(words, 1) * np.minimum(np.maximum(words, 1), 300)), np.nan),
+            "distinct_words": np.where(words >= 20, _distinct(word, doc, n) / np.sqrt(np.maximum(words, 1) * np.minimum(np.maximum(words, 1), 300)), np.nan),
+            "word_again": np.where(words >= 4, _per_run(again, first) / np.maximum(words, 1), np.nan),
             "repeated_lines": np.where(lines >= 2, 1 - _distinct(range_hashes(data, ls, le), ldoc, n) / np.maximum(lines, 1), np.nan),
             "exclamations": _per_document(data == 33, offs) / np.where(words, words, np.nan),
             "digits": _per_document(digit, offs) / np.where(ink, ink, np.nan),
@@ -101,14 +106,17 @@ def patterns(column: pa.Array) -> np.ndarray:
 
 
 def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, bucket) of each word and of the letter classes at its beginning and end."""
+    """(document, bucket) of each word, of the letter classes at its beginning and end, and of its being said again."""
     starts, ends, first = spans(~is_space(data), offs)
     doc = np.repeat(np.arange(len(offs) - 1), np.diff(first))
     if not len(starts):
         return doc, doc
     kind = np.where((data >= 65) & (data <= 90), 65, np.where(((data >= 97) & (data <= 122)) | (data >= 128), 97, np.where((data >= 48) & (data <= 57), 48, data)))
-    got = [range_hashes(data, starts, ends), range_hashes(kind, starts, np.minimum(ends, starts + 4)) ^ np.uint64(0x3333), range_hashes(kind, np.maximum(starts, ends - 4), ends) ^ np.uint64(0x7777)]
-    return np.tile(doc, 3), np.concatenate([(h >> np.uint64(48)).astype(np.int64) for h in got])
+    word = range_hashes(data, starts, ends)
+    again = np.zeros(len(word), np.uint64)
+    again[1:] = (word[1:] == word[:-1]) & (doc[1:] == doc[:-1])
+    got = [word, mix(again + np.uint64(12345)), range_hashes(kind, starts, np.minimum(ends, starts + 4)) ^ np.uint64(0x3333), range_hashes(kind, np.maximum(starts, ends - 4), ends) ^ np.uint64(0x7777)]
+    return np.tile(doc, 4), np.concatenate([(h >> np.uint64(48)).astype(np.int64) for h in got])
 
 
 def expectation_maximisation(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, float], dict[str, float], float]:

@@ -11,14 +11,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loom.llm.common import attach
+from loom.llm.common import attach, materialize
 from loom.llm.textnp import chunks, range_hashes, spans
 
 #: Bounds of what is learned from: examples in the index of each label, terms of the vocabulary.
 MAX_EXAMPLES, MAX_TERMS = 6_000, 2_048
-#: A term is used when this many training documents have it and its chi-square against the label is this large.
-MIN_DOCUMENTS, MIN_CHI2 = 4, 20.0
-NEIGHBOURS, BLOCK, PREFIX, THRESHOLD = 10, 64, 6, 0.3
+#: A term is used when so many training documents have it and its log-likelihood ratio against the label exceeds twice the
+#: logarithm of the number of such terms, about one false choice among all of them.
+MIN_DOCUMENTS = 4
+NEIGHBOURS, BLOCK, THRESHOLD = 10, 64, 0.3
+#: Lengths of the word beginnings that are terms too, in bytes.
+PREFIXES = (5, 6, 7, 8)
 
 
 def training_row(id_col: str = "doc_id") -> Column:
@@ -26,21 +29,26 @@ def training_row(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string")) % 4 != 2
 
 
-def terms(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, term, count): words (letters and non-ASCII bytes, A-Z lower-cased) and their first PREFIX bytes, hashed."""
+def occurrences(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, term) of every word (letters and non-ASCII bytes, A-Z lower-cased) and of its first bytes, hashed."""
     low = np.where((data >= 65) & (data <= 90), data + 32, data)
     starts, ends, first = spans((low >= 128) | ((low >= 97) & (low <= 122)), offs)
     if not len(starts):
-        none = np.zeros(0, np.int64)
-        return none, none.astype(np.uint64), none
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     doc = np.repeat(np.arange(len(offs) - 1), np.diff(first))
-    word = range_hashes(low, starts, ends)
-    long = ends - starts > PREFIX
-    stem = range_hashes(low, starts[long], starts[long] + PREFIX) ^ np.uint64(0x5555555555555555)
-    doc, term = np.concatenate([doc, doc[long]]), np.concatenate([word, stem])
+    docs, terms = [doc], [range_hashes(low, starts, ends)]
+    for n in PREFIXES:
+        long = ends - starts > n
+        docs.append(doc[long])
+        terms.append(range_hashes(low, starts[long], starts[long] + n) ^ np.uint64(0x5555555555555555))
+    return np.concatenate(docs), np.concatenate(terms)
+
+
+def counted(doc: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, term, count), sorted."""
     order = np.lexsort((term, doc))
     doc, term = doc[order], term[order]
-    new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (term[1:] != term[:-1]))))
+    new = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (term[1:] != term[:-1])))[: len(doc)])
     return doc[new], term[new], np.diff(np.concatenate((new, [len(doc)])))
 
 
@@ -122,18 +130,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             y = batch.column(1).to_numpy(zero_copy_only=False)
-            for i, j, data, offs in chunks(batch.column(2), 8 << 20):
-                doc, term, _ = terms(data, offs)
+            for i, j, data, offs in chunks(batch.column(2), 4 << 20):
+                doc, term, _ = counted(*occurrences(data, offs))
                 one = y[i:j][doc] == 1
                 value, place = np.unique(term, return_inverse=True)
                 yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(np.bincount(place[~one], minlength=len(value))), pa.array(np.bincount(place[one], minlength=len(value)))], names=["term", "zeros", "ones"])
 
     n = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
-    a, b, total = F.col("ones"), F.col("zeros"), float(n0 + n1)
+    total = float(n0 + n1)
     counts = rows.mapInArrow(count, "term long, zeros long, ones long").groupBy("term").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-    chi2 = F.lit(total) * (a * n0 - b * n1) * (a * n0 - b * n1).cast("double") / ((a + b) * (F.lit(total) - a - b) * F.lit(float(n0)) * F.lit(float(n1)))
-    chosen = counts.where((a + b >= MIN_DOCUMENTS) & (a + b < total)).withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect() if n0 and n1 else []
+    counts = materialize(counts.where((F.col("ones") + F.col("zeros") >= MIN_DOCUMENTS) & (F.col("ones") + F.col("zeros") < total)))
+    a, b, have = F.col("ones"), F.col("zeros"), F.col("ones") + F.col("zeros")
+    part = lambda seen, expected: F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0)
+    ratio = part(a, have * n1 / total) + part(b, have * n0 / total) + part(n1 - a, (total - have) * n1 / total) + part(n0 - b, (total - have) * n0 / total) if n0 and n1 else F.lit(0.0)
+    limit = 2 * np.log(max(1, counts.count()))
+    chosen = counts.withColumn("ratio", ratio).where(F.col("ratio") > F.lit(float(limit))).orderBy(F.desc("ratio"), "term").limit(MAX_TERMS).collect() if n0 and n1 else []
     pairs = sorted((r.term & (1 << 64) - 1, r.zeros + r.ones) for r in chosen)
     vocabulary = np.array([t for t, _ in pairs], np.uint64)
     idf = np.log((1 + total) / (1 + np.array([c for _, c in pairs], float))) + 1
@@ -144,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             out_at, out_w = [[]] * len(batch), [[]] * len(batch)
             for i, _, data, offs in chunks(batch.column(2)):
-                for d, t, c in _by_document(held.value, *terms(data, offs)):
+                for d, t, c in _by_document(held.value, *occurrences(data, offs)):
                     at, w = weigh(held.value, t, c)
                     out_at[i + d], out_w[i + d] = at.tolist(), w.tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out_at, pa.list_(pa.int32())), pa.array(out_w, pa.list_(pa.float64()))], names=["id", "label", "at", "w"])
@@ -158,12 +170,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return _index(bare, examples, prior, {y: max(1, n.get(y, 0) - blank.get(y, 0)) for y in (0, 1)})
 
 
-def _by_document(index: Index, doc: np.ndarray, term: np.ndarray, count: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _by_document(index: Index, doc: np.ndarray, term: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Terms and counts of each document that has terms of the vocabulary; a bitmap of their low bits spares most look-ups."""
     if not len(index.vocabulary):
         return
+    low = np.uint64((1 << 20) - 1)
+    some = np.zeros(1 << 20, bool)
+    some[(index.vocabulary & low).astype(np.int64)] = True
+    near = some[(term & low).astype(np.int64)]
+    doc, term = doc[near], term[near]
     at = np.minimum(np.searchsorted(index.vocabulary, term), len(index.vocabulary) - 1)
     known = index.vocabulary[at] == term
-    doc, term, count = doc[known], term[known], count[known]
+    doc, term, count = counted(doc[known], term[known])
     cut = np.flatnonzero(np.diff(doc)) + 1
     for d, t, c in zip(np.split(doc, cut), np.split(term, cut), np.split(count, cut), strict=True):
         if len(d):
@@ -209,7 +227,7 @@ def score(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
         index = held.value
         out, evidence = [index.prior] * len(column), [[]] * len(column)
         for i, _, data, offs in chunks(column):
-            for d, t, c in _by_document(index, *terms(data, offs)):
+            for d, t, c in _by_document(index, *occurrences(data, offs)):
                 if near := nearest(index, *weigh(index, t, c)):
                     out[i + d] = float(np.interp(vote(index, near), index.votes, index.chances))
                     evidence[i + d] = [{"id": str(index.ids[k]), "cosine": s, "label": int(index.labels[k])} for s, k in near[:3]]
