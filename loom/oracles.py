@@ -186,8 +186,8 @@ def oracle_sql() -> dict[str, str]:
             per AS MATERIALIZED (SELECT o.*, 1.0::DOUBLE / (c.n * d.n) AS weight FROM occ o JOIN cnt c ON c.genome = o.genome AND c.class = class1 JOIN cnt d ON d.genome = o.genome AND d.class = class2),
             seeds AS (SELECT conv_id AS g, arg_min(id, (-length(seq), turn)) AS id FROM seqs GROUP BY conv_id), {kmers(8, 'every')},
             kmers AS MATERIALIZED (SELECT g AS id, kmer FROM seeds JOIN every USING (id)), {sizes('kmers', 'sizes')}, {pairs()},
-            both AS (SELECT a.class1, a.class2, coalesce(1.0 / (sim + 1), 1.0) AS s, coalesce(distance, 1.0) AS d FROM per a JOIN per b ON a.class1 = b.class1 AND a.class2 = b.class2 AND a.genome < b.genome LEFT JOIN pairs ON id1 = a.genome AND id2 = b.genome),
-            sums AS (SELECT class1, class2, sum(s) AS s, sum(d) AS d FROM both GROUP BY ALL),
+            met AS (SELECT a.class1, a.class2, coalesce(1.0 / (sim + 1), 1.0) AS s, coalesce(distance, 1.0) AS d FROM per a JOIN per b ON a.class1 = b.class1 AND a.class2 = b.class2 AND a.genome < b.genome LEFT JOIN pairs ON id1 = a.genome AND id2 = b.genome),
+            sums AS (SELECT class1, class2, sum(s) AS s, sum(d) AS d FROM met GROUP BY ALL),
             totals AS (SELECT class1, class2, count(*) AS size, sum(weight) AS weight FROM per GROUP BY ALL),
             has AS (SELECT class, count(DISTINCT genome) AS n FROM cls GROUP BY class)
             SELECT t.class1, t.class2, size, round(weight, 6) AS weight, round(coalesce(s, 0), 6) AS sim_distance, round(coalesce(d, 0), 6) AS real_distance, round(100.0 * size / x.n, 6)::DOUBLE AS percent1, round(100.0 * size / y.n, 6)::DOUBLE AS percent2
@@ -242,7 +242,7 @@ def oracle_sql() -> dict[str, str]:
         "error_summary": f"WITH {COMPARED} SELECT id, round(avg(abs(seed_dist - rna_dist)), 6) AS mean_error, round(coalesce(stddev_samp(abs(seed_dist - rna_dist)), 0), 6) AS sd_error FROM each GROUP BY id",
         "kendall_summary": f"""WITH {COMPARED}, p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seed_dist, rna_dist) AS i FROM each),
             s AS (SELECT a.id, sum(sign(a.seed_dist - b.seed_dist) * sign(a.rna_dist - b.rna_dist)) AS s, sum(abs(sign(a.seed_dist - b.seed_dist))) AS nx, sum(abs(sign(a.rna_dist - b.rna_dist))) AS ny FROM p a JOIN p b ON a.id = b.id AND a.i < b.i GROUP BY a.id)
-            SELECT e.id, count(*) AS n, CASE WHEN any_value(nx * ny) > 0 THEN round(any_value(s / sqrt((nx * ny)::DOUBLE)), 6) END AS tau, round(corr(seed_dist, rna_dist), 6) AS pearson FROM each e LEFT JOIN s ON s.id = e.id GROUP BY e.id""",
+            SELECT e.id, count(*) AS n, CASE WHEN any_value(nx * ny) > 0 THEN round(any_value(s / sqrt((nx * ny)::DOUBLE)), 6) END AS tau, CASE WHEN stddev_pop(seed_dist) * stddev_pop(rna_dist) > 1e-12 THEN round(corr(seed_dist, rna_dist), 6) END AS pearson FROM each e LEFT JOIN s ON s.id = e.id GROUP BY e.id""",
         "neighbor_stats": f"""WITH {SEQS}, {kmers(4)}, {own('q', 'system')}, {own('r', 'assistant')}, {cross('q', 'r')},
             g AS (SELECT id, list_sort(list(distance)) AS d, count(*) AS n, avg(distance) AS m, coalesce(stddev_samp(distance), 0) AS sd FROM sims GROUP BY id)
             SELECT id, round(d[1], 6) AS min, round(d[least(101, n)], 6) AS v100, round({percentile(0.25)}, 6) AS q1, round({percentile(0.5)}, 6) AS q2, round({percentile(0.75)}, 6) AS q3, round(d[n], 6) AS max, round(m, 6) AS mean, round(sd, 6) AS sdev FROM g""",

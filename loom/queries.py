@@ -391,7 +391,7 @@ def seq_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seq_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _compared(spark, sf_dir).agg(F.count("*").alias("pairs"), F.round(F.corr("seed_dist", "rna_dist"), 6).alias("pearson"))
+    return _compared(spark, sf_dir).agg(F.count("*").alias("pairs"), F.round(stats.pearson(F.col("seed_dist"), F.col("rna_dist")), 6).alias("pearson"))
 
 
 def _each(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -406,7 +406,7 @@ def error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kendall_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _each(spark, sf_dir)
-    pearson = rows.groupBy("id").agg(F.round(F.corr("seed_dist", "rna_dist"), 6).alias("pearson"))
+    pearson = rows.groupBy("id").agg(F.round(stats.pearson(F.col("seed_dist"), F.col("rna_dist")), 6).alias("pearson"))
     tau = stats.kendall_tau(rows, "id", "seed_dist", "rna_dist")
     return tau.join(pearson, "id").select("id", "n", F.round("tau", 6).alias("tau"), "pearson")
 

@@ -63,7 +63,7 @@ def write_fasta(df: DataFrame, path: str, label: str = "label", comment: str = "
 def write_tsv(df: DataFrame, path: str, formats: dict[str, str] | None = None) -> None:
     """Numbers are formatted here and only here; nulls are empty cells."""
     cols = [F.format_string(formats[c], F.col(c)).alias(c) if formats and c in formats else F.col(c) for c in df.columns]
-    df.select(*cols).write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("quote", "").csv(path)
+    df.select(*cols).write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("quote", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_genomes(spark: SparkSession, path: str, kind: str = "DIR") -> DataFrame:
