@@ -14,7 +14,7 @@ def select_representatives(nodes: DataFrame, edges: DataFrame, seeds: DataFrame
     edges (id1, id2) join items that resemble each other, in either direction. seeds (id) are kept whatever they resemble,
     and are not returned. Each round keeps the items without an undecided better neighbour and drops the neighbours of
     those, so the result is the lexicographically first maximal independent set; rounds are few on similarity graphs.
-    A round writes its remaining edges to the shared folder, so lineage stays short and lost executors do not lose it.
+    A round writes its remaining edges, once, to the shared folder, so lineage stays short and lost executors do not lose it.
     """
     order = nodes.select("id", "priority")
     ranked = edges.join(order.select(F.col("id").alias("id1"), F.col("priority").alias("p1")), "id1").join(order.select(F.col("id").alias("id2"), F.col("priority").alias("p2")), "id2")
@@ -27,13 +27,14 @@ def select_representatives(nodes: DataFrame, edges: DataFrame, seeds: DataFrame
         gone = written(near.union(kept).distinct())
         dropped.append(gone)
         graph = _without(graph, gone, "lo", "hi")
-    graph = written(graph)
-    while not graph.isEmpty():
-        free = graph.select(F.col("lo").alias("id")).distinct().join(graph.select(F.col("hi").alias("id")).distinct(), "id", "left_anti")
-        free = written(free)
-        gone = written(graph.join(free.withColumnRenamed("id", "lo"), "lo", "left_semi").select(F.col("hi").alias("id")).distinct())
+    while True:
+        blocked = graph.select(F.col("hi").alias("lo"), F.lit(True).alias("blocked")).distinct()
+        marked = written(graph.join(blocked, "lo", "left").select("lo", "hi", F.col("blocked").isNull().alias("free")))
+        if marked.isEmpty():
+            break
+        gone = marked.where("free").select(F.col("hi").alias("id")).distinct()
         dropped.append(gone)
-        graph = written(_without(_without(graph, free, "lo"), gone, "lo", "hi"))
+        graph = _without(marked.where("NOT free").select("lo", "hi"), gone, "lo", "hi")
     out = nodes
     for gone in dropped:
         out = out.join(gone, "id", "left_anti")
