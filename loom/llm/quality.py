@@ -14,18 +14,21 @@ from pyspark.sql import types as T
 from loom.llm.common import attach
 from loom.llm.textnp import chunks, is_space, mix, range_hashes, spans
 
-#: name: (bad below, good from, good to, bad above); between them, and where it doesn't apply, a labeller abstains.
+NEVER = np.inf
+#: name: (bad below, good from, good to, bad above); between them, and where it doesn't apply, a labeller abstains. Those
+#: that look for one defect never vote for good: that it is absent says little.
 LABELLERS = {
-    "words": (5, 30, np.inf, np.inf),
-    "symbols": (-1, 0, 0.06, 0.12),
-    "capitals": (-1, 0, 0.2, 0.5),
+    "words": (1, 30, np.inf, np.inf),
+    "symbols": (-1, NEVER, NEVER, 0.12),
+    "capitals": (-1, NEVER, NEVER, 0.5),
     "word_length": (2.2, 3, 9, 12),
     "distinct_words": (0.25, 0.45, 2, 2),
-    "word_again": (-1, 0, 0.05, 0.2),
-    "repeated_lines": (-1, 0, 0.05, 0.3),
-    "exclamations": (-1, 0, 0.05, 0.2),
-    "digits": (-1, 0, 0.1, 0.3),
-    "odd_endings": (-1, 0, 0.1, 0.4),
+    "word_again": (-1, NEVER, NEVER, 0.2),
+    "repeated_lines": (-1, NEVER, NEVER, 0.3),
+    "exclamations": (-1, NEVER, NEVER, 0.2),
+    "digits": (-1, NEVER, NEVER, 0.3),
+    "odd_endings": (-1, NEVER, NEVER, 0.4),
+    "lone_marks": (-1, NEVER, NEVER, 0.15),
     "plain_words": (0.3, 0.6, 2, 2),
 }
 #: Marks that may end a word of a sentence.
@@ -71,7 +74,9 @@ def measures(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     doc = np.repeat(np.arange(n), words)
     odd = ~letter & ~digit & ~blank & ~np.isin(data, SENTENCE)
     inner = np.concatenate(([0], np.cumsum(letter)))
-    pure = inner[ends] - inner[starts] >= ends - starts - 1
+    inside = inner[ends] - inner[starts]
+    pure = (inside >= ends - starts - 1) & (inside > 0)
+    mark = (inside == 0) & ~digit[starts]
     word = range_hashes(data, starts, ends)
     again = np.zeros(len(word), bool)
     again[1:] = (word[1:] == word[:-1]) & (doc[1:] == doc[:-1])
@@ -80,7 +85,7 @@ def measures(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
     with np.errstate(divide="ignore", invalid="ignore"):
         return {
             "words": words.astype(float),
-            "symbols": _per_document(~blank & ~letter & ~digit, offs) / np.where(ink, ink, np.nan),
+            "symbols": _per_document(odd, offs) / np.where(ink, ink, np.nan),
             "capitals": _per_document(up, offs) / np.where(letters, letters, np.nan),
             "word_length": letters / np.where(words, words, np.nan),
             "distinct_words": np.where(words >= 20, _distinct(word, doc, n) / np.sqrt(np.maximum(words, 1) * np.minimum(np.maximum(words, 1), 300)), np.nan),
@@ -89,6 +94,7 @@ def measures(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
             "exclamations": _per_document(data == 33, offs) / np.where(words, words, np.nan),
             "digits": _per_document(digit, offs) / np.where(ink, ink, np.nan),
             "odd_endings": _per_run(odd[ends - 1], first) / np.where(words, words, np.nan),
+            "lone_marks": _per_run(mark, first) / np.where(words, words, np.nan),
             "plain_words": _per_run(pure & ~(up[starts] & up[ends - 1] & (ends - starts > 1)), first) / np.where(words, words, np.nan),
         }
 
@@ -122,14 +128,15 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def expectation_maximisation(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, float], dict[str, float], float]:
     """Posteriors of the vote patterns, accuracies of the labellers and the share of good documents.
 
-    Labellers are taken as independent given the quality. The start is the majority of votes, ties at one half.
+    Labellers are taken as independent given the quality; abstaining is an outcome like the votes. The start is the majority
+    of votes, of which one for bad weighs four times, since most labellers look for one defect of several.
     """
     keys = sorted(counts)
     if not keys:
         return {}, dict.fromkeys(LABELLERS, 0.5), 0.5
     n = np.array([counts[k] for k in keys], float)
     votes = np.array([[k // 3**i % 3 for i in range(len(LABELLERS) - 1, -1, -1)] for k in keys])
-    p = (1 + (votes == 2).sum(1)) / (2 + (votes > 0).sum(1))
+    p = (1 + (votes == 2).sum(1)) / (2 + (votes == 2).sum(1) + 4 * (votes == 1).sum(1))
     for _ in range(rounds):
         prior = np.clip((n * p).sum() / n.sum(), 0.01, 0.99)
         log = np.log(prior / (1 - prior)) * np.ones(len(keys))
@@ -138,7 +145,7 @@ def expectation_maximisation(counts: dict[int, int], rounds: int = 200) -> tuple
             good, bad = (np.array([(n * q * (votes[:, i] == v)).sum() + 1 for v in range(3)]) for q in (p, 1 - p))
             good, bad = good / good.sum(), bad / bad.sum()
             chance.append((good, bad))
-            log += np.where(votes[:, i] > 0, np.log(good[votes[:, i]] / bad[votes[:, i]]), 0)
+            log += np.log(good[votes[:, i]] / bad[votes[:, i]])
         new = 1 / (1 + np.exp(-np.clip(log, -30, 30)))
         done = np.abs(new - p).max() < 1e-9
         p = new

@@ -39,7 +39,8 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return quality.score(docs.select("doc_id", "text"), quality.train(docs)).select("doc_id", F.col("quality").alias("score"), "weak_posterior", "votes")
+    out = quality.score(docs.select("doc_id", "text"), quality.train(docs))
+    return out.select("doc_id", F.col("quality").alias("score"), (F.col("quality") >= 0.5).alias("kept"), "weak_posterior", "votes")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
