@@ -152,7 +152,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
     keyed = named.withColumnRenamed("__row", "__id")
     chosen = mix(keyed.select(F.col("__id").alias("id"), F.col(id_col).alias("order_id"), F.col(text_col).alias("text"), F.col(source_col).alias("source")), "id", **how)
-    parts = chosen.select(F.col("id").alias("__id"), "size", F.explode("pieces").alias("p")).groupBy("__id", "p.pass").agg(F.first("size").alias("__size"), F.array_sort(F.collect_list(F.struct("p.from_word", "p.to_word"))).alias("__spans"))
+    parts = chosen.select(F.col("id").alias("__id"), "size", F.explode("pieces").alias("p")).groupBy("__id", F.col("p.pass").alias("__pass")).agg(F.first("size").alias("__size"), F.array_sort(F.collect_list(F.struct("p.from_word", "p.to_word"))).alias("__spans"))
     whole = F.aggregate("__spans", F.lit(0).cast("long"), lambda n, p: n + p["to_word"] - p["from_word"]) == F.col("__size")
     words = F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0)
     cut = F.array_join(F.flatten(F.transform("__spans", lambda p: F.slice(F.col("__words"), (p["from_word"] + 1).cast("int"), (p["to_word"] - p["from_word"]).cast("int")))), " ")

@@ -141,8 +141,9 @@ def test_mixing(spark):
     assert sorted(r.position for r in flat if r.shard == 2) == list(range(1, 1 + sum(r.shard == 2 for r in flat)))
     again = {(r.row, r.taken) for r in mixing.mix(df, shards=5).collect()}
     assert again == {(r.row, r.taken) for r in rows}
-    mixed = mixing.mixed_documents(df)
-    assert mixed.columns == df.columns
+    clashing = df.withColumnsRenamed({"n_words": "pass", "slot": "size"})
+    mixed = mixing.mixed_documents(clashing)
+    assert mixed.columns == clashing.columns and {r["pass"] for r in mixed.select("pass").distinct().collect()} == {1}
     total = sum(len((r.text or "").split()) for r in mixed.collect())
     assert total == sum(r.taken for r in rows)
     assert mixing.mix(df.limit(0)).count() == 0 and mixing.mixed_documents(df.limit(0)).count() == 0
