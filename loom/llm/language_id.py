@@ -153,7 +153,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & training_row("id")).withColumn("order", F.xxhash64(F.col("id").cast("string"), F.lit("language sample")))
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    limits = {lang: int(min(1.0, 1.5 * per_language / n) * (2**64 - 1)) - 2**63 for lang, n in counts.items()}
+    limits = {lang: min(2**63 - 1, int(min(1.0, 1.5 * per_language / n) * 2**64) - 2**63) for lang, n in counts.items()}
     wanted = F.lit(False)
     for lang, at in limits.items():
         wanted = wanted | ((F.col("lang") == lang) & (F.col("order") <= at))
