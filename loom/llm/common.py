@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +23,29 @@ MAX_FILTER_BITS = 1 << 27
 _SEGMENT_BITS = 1 << 18
 
 
+#: Bytes of an Arrow batch, unless the session sets its own: texts differ in length by orders of magnitude.
+ARROW_BYTES, _ARROW_KEY, _ARROW_DEFAULT = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864b", "67108864", "64MB")
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once a session, unless their path has it already; bounds Arrow batches."""
+    if spark.conf.get(_ARROW_KEY) in _ARROW_DEFAULT:
+        spark.conf.set(_ARROW_KEY, str(ARROW_BYTES))
+    root = Path(__file__).resolve().parents[2]
+    if any(p and Path(p).resolve() == root for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)):
+        return
+    session = spark.sparkContext.applicationId
+    if session in _shipped:
+        return
+    path = Path(tempfile.mkdtemp(prefix="spark-loom-")) / "loom.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for file in sorted((root / "loom").rglob("*.py")):
+            z.write(file, file.relative_to(root))
+    spark.sparkContext.addPyFile(str(path))
+    _shipped.add(session)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one is set only where the session names none."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -32,6 +58,7 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Writes df as Parquet below the shared folder and reads it again: lineage ends there, and it survives lost executors."""
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark).rstrip('/')}/loom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -39,6 +66,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def attach(df: DataFrame, column: str, fields: list[T.StructField], make: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
     """df and the columns that make() returns for each Arrow batch of column; columns of the same names are replaced."""
+    ship(df.sparkSession)
     names = {f.name.lower() for f in fields}
     kept = [f for f in df.schema.fields if f.name.lower() not in names]
     places = [i for i, f in enumerate(df.schema.fields) if f.name.lower() not in names]
@@ -103,6 +131,7 @@ def bit_filter(hashes: DataFrame, bits: int, repeated: bool) -> np.ndarray:
                     held[s] = a.copy(), b.copy()
         yield from _segments(held)
 
+    ship(hashes.sparkSession)
     schema = "segment int, once binary, again binary"
     merged = hashes.mapInArrow(fold, schema).repartition(max(1, min(64, bits // _SEGMENT_BITS)), "segment").mapInArrow(merge, schema)
     out = np.zeros((bits // _SEGMENT_BITS, _SEGMENT_BITS // 8), np.uint8)

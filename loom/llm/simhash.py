@@ -170,11 +170,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """The rows of docs, all columns, that come first in their component: smallest id, null last; one row even among repeats."""
-    named = docs.withColumn("__row", F.monotonically_increasing_id())
-    stamped = materialize(with_fingerprint(named, text_col, "__simhash"))
-    slim = stamped.select(F.col(id_col).alias("id"), "__row", F.col("__simhash").alias("simhash"))
+    """The rows of docs, all columns, that come first in their component: smallest id, null last; one row even among repeats.
+
+    Ids and fingerprints are written out, texts are not; the texts of the chosen ids are then fetched by a join of the same
+    kind at every size. Rows whose id is null or stands several times are told apart by their fingerprints, which are made
+    again for those rows only.
+    """
+    slim = materialize(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).select("id", "simhash"))
     found = near_components(slim, "id", "simhash", radius)
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", F.col("__row").alias("row")))
-    winners = materialize(slim.join(found.select(F.col("fp").alias("simhash"), "label"), "simhash").groupBy("label").agg(first.alias("first")).select(F.col("first.row").alias("__row")))
-    return stamped.join(winners, "__row", "left_semi").select(*docs.columns)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "simhash"))
+    repeated = slim.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 OR id IS NULL").select(F.col("id").alias("odd_id"), F.lit(True).alias("odd"))
+    chosen = slim.join(found.select(F.col("fp").alias("simhash"), "label"), "simhash").groupBy("label").agg(first.alias("first")).select("first.id", "first.simhash")
+    chosen = materialize(chosen.join(repeated, F.col("id").eqNullSafe(F.col("odd_id")), "left").select("id", "simhash", F.coalesce("odd", F.lit(False)).alias("odd")))
+    plain = chosen.where("NOT odd").select(F.col("id").alias("__id"))
+    out = docs.join(plain.hint("merge"), F.col(id_col) == F.col("__id"), "left_semi")
+    odd = chosen.where("odd").select(F.col("id").alias("__id"), F.col("simhash").alias("__fp"))
+    if odd.isEmpty():
+        return out
+    some = docs.join(odd.select("__id").distinct(), F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    told = with_fingerprint(some, text_col, "__simhash").join(odd, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__simhash") == F.col("__fp")), "left_semi")
+    return out.unionByName(told.dropDuplicates([id_col, "__simhash"]).select(*docs.columns))

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loom.llm.common import attach, bit_filter, filter_bits, materialize, maybe
+from loom.llm.common import attach, bit_filter, filter_bits, materialize, maybe, ship
 from loom.llm.textnp import chunks, is_space, range_hashes, spans
 
 WINDOW, GRAM = 35, 8
 #: Passages that one automaton reads at most; anchors with more are settled by counts of window hashes.
 MAX_PASSAGES = 2_000
+#: Bytes of text that are worked on at a time (a longer text is worked on whole).
+CHUNK = 1 << 18
 #: False alarms that are broadcast at most (8 bytes each); more are taken out by a join.
 MAX_BROADCAST = 1_000_000
 
@@ -131,11 +133,12 @@ class Automaton:
 
 def _column(df: DataFrame, schema: str, make) -> DataFrame:
     """make(Words) gives the columns of schema; df has the text alone."""
+    ship(df.sparkSession)
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offs in chunks(batch.column(0)):
+            for _, _, data, offs in chunks(batch.column(0), CHUNK):
                 got = make(data, offs)
                 if len(got[0]):
                     yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in got], names=names)
@@ -293,14 +296,14 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
     fields = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
 
     def make(column: pa.Array, lost: list | None = None) -> list[pa.Array]:
-        n, gone, kept = [], [], []
-        for i, j, data, offs in chunks(column):
+        n, gone, kept = [], [], [pa.array([], pa.string())]
+        for i, j, data, offs in chunks(column, CHUNK):
             a, b, c = drop(data, offs, {d - i: np.array(lost[d]) for d in range(i, j) if lost[d]} if lost else {})
             n.append(a)
             gone.append(b)
-            kept += c
+            kept.append(pa.array(c, pa.binary()).cast(pa.string()))
         none = np.zeros(0, np.int64)
-        return [pa.array(np.concatenate([none, *n])), pa.array(np.concatenate([none, *gone])), pa.array(kept, pa.binary()).cast(pa.string())]
+        return [pa.array(np.concatenate([none, *n])), pa.array(np.concatenate([none, *gone])), pa.concat_arrays(kept)]
 
     if known <= MAX_BROADCAST:
         return attach(docs, text_col, fields, make)

@@ -12,7 +12,7 @@ _B = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows of about limit bytes; null counts as empty, no text is cut."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()

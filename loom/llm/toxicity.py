@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from loom.llm.common import attach, materialize
 from loom.llm.textnp import chunks, range_hashes, spans
 
-#: Bounds of what is learned from: examples in the index of each label, terms of the vocabulary.
-MAX_EXAMPLES, MAX_TERMS = 6_000, 2_048
+#: Bounds of what is learned from: labelled rows read and examples in the index, of each label; terms of the vocabulary.
+MAX_ROWS, MAX_EXAMPLES, MAX_TERMS = 20_000, 6_000, 2_048
 #: A term is used when so many training documents have it and its log-likelihood ratio against the label exceeds twice the
 #: logarithm of the number of such terms, about one false choice among all of them.
 MIN_DOCUMENTS = 4
@@ -54,13 +54,14 @@ def counted(doc: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 @dataclass(frozen=True)
 class Index:
-    """Examples stand in blocks of BLOCK, alike ones together; blocks[b][t]: places in the block and weights of term t."""
+    """Examples stand in blocks of BLOCK, alike ones together; postings[t]: examples and weights of term t; maxima[t]: its
+    blocks and its largest weight in each."""
 
     vocabulary: np.ndarray
     idf: np.ndarray
     ids: list
     labels: np.ndarray
-    blocks: list[dict[int, tuple[np.ndarray, np.ndarray]]]
+    postings: list[tuple[np.ndarray, np.ndarray]]
     maxima: list[tuple[np.ndarray, np.ndarray]]
     votes: np.ndarray
     chances: np.ndarray
@@ -79,24 +80,37 @@ def weigh(index: Index, term: np.ndarray, count: np.ndarray) -> tuple[np.ndarray
 def nearest(index: Index, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, leave: int = -1) -> list[tuple[float, int]]:
     """The k examples of the largest cosine above 0, exactly; of equal ones, those that come first.
 
-    Blocks are visited in the order of their bounds (the sum of the query's weights times the block's maxima) until no
-    bound reaches the k-th cosine found.
+    A block's bound is the sum of the query's weights times the block's maxima. The blocks of the largest bounds are scored
+    first; then, at once, all others whose bound reaches the k-th cosine found so far.
     """
-    bound = np.zeros(len(index.blocks))
-    for t, q in zip(at.tolist(), w.tolist(), strict=True):
+    size = len(index.labels)
+    bound, score = np.zeros(-(-size // BLOCK)), np.zeros(size)
+    terms = list(zip(at.tolist(), w.tolist(), strict=True))
+    for t, q in terms:
         where, most = index.maxima[t]
         bound[where] += q * most
-    best: list[tuple[float, int]] = []
-    for b in np.argsort(-bound, kind="stable").tolist():
-        if bound[b] <= 0 or len(best) == k and bound[b] + 1e-9 < -best[-1][0]:
-            break
-        score = np.zeros(BLOCK)
-        for t, q in zip(at.tolist(), w.tolist(), strict=True):
-            if t in index.blocks[b]:
-                places, weights = index.blocks[b][t]
-                score[places] += q * weights
-        best = sorted(best + [(-round(s, 12), b * BLOCK + i) for i, s in enumerate(score.tolist()) if s > 0 and b * BLOCK + i != leave])[:k]
-    return [(min(1.0, -s), i) for s, i in best]
+
+    def visit(blocks: np.ndarray) -> None:
+        chosen = np.zeros(len(bound), bool)
+        chosen[blocks] = True
+        for t, q in terms:
+            places, weights = index.postings[t]
+            inside = chosen[places // BLOCK]
+            score[places[inside]] += q * weights[inside]
+        if leave >= 0:
+            score[leave] = 0.0
+
+    first = np.argsort(-bound, kind="stable")[:4]
+    visit(first[bound[first] > 0])
+    limit = np.partition(score, size - k)[size - k] if size >= k else 0.0
+    rest = bound + 1e-9 >= max(limit, 1e-300)
+    rest[first] = False
+    rest &= bound > 0
+    if rest.any():
+        visit(np.flatnonzero(rest))
+    limit = np.partition(score, size - k)[size - k] if size >= k else 0.0
+    near = np.flatnonzero((score > 0) & (score >= limit - 1e-9))
+    return [(min(1.0, -s), i) for s, i in sorted((-round(s, 12), i) for s, i in zip(score[near].tolist(), near.tolist(), strict=True))[:k]]
 
 
 def vote(index: Index, near: list[tuple[float, int]]) -> float:
@@ -119,33 +133,40 @@ def _calibrate(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tu
     return np.array(x or [0.0]), np.array(y or [0.0])
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = MAX_EXAMPLES) -> Index:
-    """Counts terms over all labelled training rows, chooses the vocabulary and indexes up to max_examples rows of each label.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS, max_examples: int = MAX_EXAMPLES) -> Index:
+    """Counts the terms of up to max_rows labelled training rows of each label, chooses the vocabulary, indexes examples.
 
-    Rows without a label or id are not learned from. A label that stands several times for an id counts once, as 1 if any is 1.
+    Rows without a label or id are not learned from. A label that stands several times for an id counts once, as 1 if any is
+    1. The sample is drawn from ids and labels alone, by the hash of the id; its ids are broadcast, at most 2 * max_rows, so
+    that no text is shuffled. Chances are weighed by how often each label stands among all labelled training rows.
     """
-    marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(training_row("id")).join(marked, "id").select("id", "label", "text")
+    marked = materialize(labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)").where(training_row("id")).groupBy("id").agg(F.max("label").alias("label")))
+    n = {r.label: r.n for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n0, n1 = n.get(0, 0), n.get(1, 0)
+    by_hash = F.xxhash64(F.col("id").cast("string"), F.lit("toxicity sample"))
+    chosen_ids = marked.where("label = 0").orderBy(by_hash, "id").limit(max_rows).union(marked.where("label = 1").orderBy(by_hash, "id").limit(max_rows))
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen_ids), "id").select("id", "label", "text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             y = batch.column(1).to_numpy(zero_copy_only=False)
-            for i, j, data, offs in chunks(batch.column(2), 4 << 20):
+            for i, j, data, offs in chunks(batch.column(2), 1 << 20):
                 doc, term, _ = counted(*occurrences(data, offs))
                 one = y[i:j][doc] == 1
                 value, place = np.unique(term, return_inverse=True)
                 yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(np.bincount(place[~one], minlength=len(value))), pa.array(np.bincount(place[one], minlength=len(value)))], names=["term", "zeros", "ones"])
 
-    n = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    n0, n1 = n.get(0, 0), n.get(1, 0)
-    total = float(n0 + n1)
+    have = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    m0, m1 = have.get(0, 0), have.get(1, 0)
+    weight = {0: n0 / max(1, m0), 1: n1 / max(1, m1)}
+    total = float(m0 + m1)
     counts = rows.mapInArrow(count, "term long, zeros long, ones long").groupBy("term").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
     counts = materialize(counts.where((F.col("ones") + F.col("zeros") >= MIN_DOCUMENTS) & (F.col("ones") + F.col("zeros") < total)))
-    a, b, have = F.col("ones"), F.col("zeros"), F.col("ones") + F.col("zeros")
+    a, b, both = F.col("ones"), F.col("zeros"), F.col("ones") + F.col("zeros")
     part = lambda seen, expected: F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0)
-    ratio = part(a, have * n1 / total) + part(b, have * n0 / total) + part(n1 - a, (total - have) * n1 / total) + part(n0 - b, (total - have) * n0 / total) if n0 and n1 else F.lit(0.0)
+    ratio = part(a, both * m1 / total) + part(b, both * m0 / total) + part(m1 - a, (total - both) * m1 / total) + part(m0 - b, (total - both) * m0 / total) if m0 and m1 else F.lit(0.0)
     limit = 2 * np.log(max(1, counts.count()))
-    chosen = counts.withColumn("ratio", ratio).where(F.col("ratio") > F.lit(float(limit))).orderBy(F.desc("ratio"), "term").limit(MAX_TERMS).collect() if n0 and n1 else []
+    chosen = counts.withColumn("ratio", ratio).where(F.col("ratio") > F.lit(float(limit))).orderBy(F.desc("ratio"), "term").limit(MAX_TERMS).collect() if m0 and m1 else []
     pairs = sorted((r.term & (1 << 64) - 1, r.zeros + r.ones) for r in chosen)
     vocabulary = np.array([t for t, _ in pairs], np.uint64)
     idf = np.log((1 + total) / (1 + np.array([c for _, c in pairs], float))) + 1
@@ -161,13 +182,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     out_at[i + d], out_w[i + d] = at.tolist(), w.tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out_at, pa.list_(pa.int32())), pa.array(out_w, pa.list_(pa.float64()))], names=["id", "label", "at", "w"])
 
-    vector = rows.mapInArrow(vectors, T.StructType([rows.schema["id"], rows.schema["label"], T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("w", T.ArrayType(T.DoubleType()))]))
-    # every training row counts for what becomes of documents without a known term
-    blank = {r.label: r.n for r in vector.where(F.size("at") == 0).groupBy("label").agg(F.count("*").alias("n")).collect()}
-    prior = (blank.get(1, 0) + 0.5 * n1 / max(1.0, total)) / (blank.get(0, 0) + blank.get(1, 0) + 0.5)
-    order = F.xxhash64(F.col("id").cast("string"))
-    examples = [r for y in (0, 1) for r in vector.where((F.size("at") > 0) & (F.col("label") == y)).orderBy(order, "id").limit(max_examples).collect()]
-    return _index(bare, examples, prior, {y: max(1, n.get(y, 0) - blank.get(y, 0)) for y in (0, 1)})
+    vector = materialize(rows.mapInArrow(vectors, T.StructType([rows.schema["id"], rows.schema["label"], T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("w", T.ArrayType(T.DoubleType()))])))
+    blank = {r.label: r.n * weight[r.label] for r in vector.where(F.size("at") == 0).groupBy("label").agg(F.count("*").alias("n")).collect()}
+    prior = (blank.get(1, 0) + 0.5 * n1 / max(1, n0 + n1)) / (blank.get(0, 0) + blank.get(1, 0) + 0.5)
+    examples = [r for y in (0, 1) for r in vector.where((F.size("at") > 0) & (F.col("label") == y)).orderBy(by_hash, "id").limit(max_examples).collect()]
+    return _index(bare, examples, prior, {y: max(1.0, n.get(y, 0) - blank.get(y, 0)) for y in (0, 1)})
 
 
 def _by_document(index: Index, doc: np.ndarray, term: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -191,18 +210,16 @@ def _by_document(index: Index, doc: np.ndarray, term: np.ndarray) -> Iterator[tu
 def _index(bare: Index, examples: list, prior: float, population: dict[int, int]) -> Index:
     examples = sorted(examples, key=lambda r: (r.at[int(np.argmax(r.w))], tuple(r.at), str(r.id)))
     labels = np.array([r.label for r in examples], float)
-    blocks: list[dict] = []
-    for i in range(0, len(examples), BLOCK):
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for p, r in enumerate(examples[i : i + BLOCK]):
-            for t, w in zip(r.at, r.w, strict=True):
-                lists.setdefault(t, []).append((p, w))
-        blocks.append({t: (np.array([p for p, _ in x]), np.array([w for _, w in x])) for t, x in lists.items()})
-    maxima: list[list[tuple[int, float]]] = [[] for _ in bare.vocabulary]
-    for b, block in enumerate(blocks):
-        for t, (_, w) in block.items():
-            maxima[t].append((b, float(w.max())))
-    index = Index(bare.vocabulary, bare.idf, [r.id for r in examples], labels, blocks, [(np.array([b for b, _ in x], np.int64), np.array([m for _, m in x])) for x in maxima], np.zeros(1), np.zeros(1), prior)
+    lists: list[list[tuple[int, float]]] = [[] for _ in bare.vocabulary]
+    for i, r in enumerate(examples):
+        for t, w in zip(r.at, r.w, strict=True):
+            lists[t].append((i, w))
+    postings = [(np.array([i for i, _ in x], np.int64), np.array([w for _, w in x])) for x in lists]
+    maxima = []
+    for places, weights in postings:
+        blocks, begin = np.unique(places // BLOCK, return_index=True)
+        maxima.append((blocks, np.maximum.reduceat(weights, begin) if len(begin) else weights))
+    index = Index(bare.vocabulary, bare.idf, [r.id for r in examples], labels, postings, maxima, np.zeros(1), np.zeros(1), prior)
     votes, truth = [], []
     for i, r in enumerate(examples):
         if near := nearest(index, np.array(r.at), np.array(r.w), leave=i):
@@ -211,7 +228,7 @@ def _index(bare: Index, examples: list, prior: float, population: dict[int, int]
     truth = np.array(truth, float)
     have = {y: max(1, int((labels == y).sum())) for y in (0, 1)}
     x, y = _calibrate(np.array(votes), truth, np.where(truth == 1, population[1] / have[1], population[0] / have[0]))
-    return Index(index.vocabulary, index.idf, index.ids, labels, blocks, index.maxima, x, y, prior)
+    return Index(index.vocabulary, index.idf, index.ids, labels, postings, maxima, x, y, prior)
 
 
 def score(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:

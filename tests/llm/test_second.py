@@ -198,9 +198,8 @@ def test_toxicity(spark):
     import numpy as np
 
     dense = np.zeros((len(index.labels), len(index.vocabulary)))
-    for b, block in enumerate(index.blocks):
-        for t, (p, w) in block.items():
-            dense[b * toxicity.BLOCK + p, t] = w
+    for t, (p, w) in enumerate(index.postings):
+        dense[p, t] = w
     for i in range(0, len(dense), 7):
         at = np.flatnonzero(dense[i])
         near = toxicity.nearest(index, at, dense[i][at], 10)
