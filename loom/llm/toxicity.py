@@ -21,7 +21,7 @@ MAX_ROWS, MAX_EXAMPLES, MAX_TERMS = 20_000, 6_000, 2_048
 MIN_DOCUMENTS = 4
 NEIGHBOURS, BLOCK, THRESHOLD = 10, 64, 0.3
 #: Lengths of the word beginnings that are terms too, in bytes.
-PREFIXES = (5, 6, 7, 8)
+PREFIXES = (5, 7)
 
 
 def training_row(id_col: str = "doc_id") -> Column:
@@ -54,14 +54,14 @@ def counted(doc: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 @dataclass(frozen=True)
 class Index:
-    """Examples stand in blocks of BLOCK, alike ones together; postings[t]: examples and weights of term t; maxima[t]: its
-    blocks and its largest weight in each."""
+    """Examples stand in blocks of BLOCK, alike ones together; postings[t]: examples, their blocks and weights of term t;
+    maxima[t]: its blocks and its largest weight in each."""
 
     vocabulary: np.ndarray
     idf: np.ndarray
     ids: list
     labels: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray]]
+    postings: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
     maxima: list[tuple[np.ndarray, np.ndarray]]
     votes: np.ndarray
     chances: np.ndarray
@@ -94,8 +94,8 @@ def nearest(index: Index, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, le
         chosen = np.zeros(len(bound), bool)
         chosen[blocks] = True
         for t, q in terms:
-            places, weights = index.postings[t]
-            inside = chosen[places // BLOCK]
+            places, block, weights = index.postings[t]
+            inside = np.flatnonzero(chosen[block])
             score[places[inside]] += q * weights[inside]
         if leave >= 0:
             score[leave] = 0.0
@@ -214,10 +214,10 @@ def _index(bare: Index, examples: list, prior: float, population: dict[int, int]
     for i, r in enumerate(examples):
         for t, w in zip(r.at, r.w, strict=True):
             lists[t].append((i, w))
-    postings = [(np.array([i for i, _ in x], np.int64), np.array([w for _, w in x])) for x in lists]
+    postings = [(np.array([i for i, _ in x], np.int64), np.array([i // BLOCK for i, _ in x], np.int64), np.array([w for _, w in x])) for x in lists]
     maxima = []
-    for places, weights in postings:
-        blocks, begin = np.unique(places // BLOCK, return_index=True)
+    for _, own, weights in postings:
+        blocks, begin = np.unique(own, return_index=True)
         maxima.append((blocks, np.maximum.reduceat(weights, begin) if len(begin) else weights))
     index = Index(bare.vocabulary, bare.idf, [r.id for r in examples], labels, postings, maxima, np.zeros(1), np.zeros(1), prior)
     votes, truth = [], []

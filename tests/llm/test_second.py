@@ -198,7 +198,7 @@ def test_toxicity(spark):
     import numpy as np
 
     dense = np.zeros((len(index.labels), len(index.vocabulary)))
-    for t, (p, w) in enumerate(index.postings):
+    for t, (p, _, w) in enumerate(index.postings):
         dense[p, t] = w
     for i in range(0, len(dense), 7):
         at = np.flatnonzero(dense[i])
