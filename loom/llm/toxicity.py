@@ -16,6 +16,8 @@ from loom.llm.textnp import chunks, range_hashes, spans
 
 #: Bounds of what is learned from: labelled rows read and examples in the index, of each label; terms of the vocabulary.
 MAX_ROWS, MAX_EXAMPLES, MAX_TERMS = 20_000, 6_000, 2_048
+#: About so many examples are left out in turn to calibrate the votes.
+CALIBRATE = 3_000
 #: A term is used when so many training documents have it and its log-likelihood ratio against the label exceeds twice the
 #: logarithm of the number of such terms, about one false choice among all of them.
 MIN_DOCUMENTS = 4
@@ -221,12 +223,13 @@ def _index(bare: Index, examples: list, prior: float, population: dict[int, int]
         maxima.append((blocks, np.maximum.reduceat(weights, begin) if len(begin) else weights))
     index = Index(bare.vocabulary, bare.idf, [r.id for r in examples], labels, postings, maxima, np.zeros(1), np.zeros(1), prior)
     votes, truth = [], []
-    for i, r in enumerate(examples):
+    for i in range(0, len(examples), max(1, len(examples) // CALIBRATE)):
+        r = examples[i]
         if near := nearest(index, np.array(r.at), np.array(r.w), leave=i):
             votes.append(vote(index, near))
             truth.append(r.label)
     truth = np.array(truth, float)
-    have = {y: max(1, int((labels == y).sum())) for y in (0, 1)}
+    have = {y: max(1, int((truth == y).sum())) for y in (0, 1)}
     x, y = _calibrate(np.array(votes), truth, np.where(truth == 1, population[1] / have[1], population[0] / have[0]))
     return Index(index.vocabulary, index.idf, index.ids, labels, postings, maxima, x, y, prior)
 
