@@ -30,7 +30,7 @@ _shipped: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once a session, unless their path has it already; bounds Arrow batches."""
-    if spark.conf.get(_ARROW_KEY) in _ARROW_DEFAULT:
+    if spark.conf.get(_ARROW_KEY, _ARROW_DEFAULT[0]) in _ARROW_DEFAULT:
         spark.conf.set(_ARROW_KEY, str(ARROW_BYTES))
     root = Path(__file__).resolve().parents[2]
     if any(p and Path(p).resolve() == root for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)):
