@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -178,15 +178,21 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     """
     slim = materialize(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).select("id", "simhash"))
     found = near_components(slim, "id", "simhash", radius)
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "simhash"))
+    slim = slim.withColumnRenamed("simhash", "key")
+    return first_of_each(docs, slim, slim.join(found.select(F.col("fp").alias("key"), "label"), "key"), lambda d, name: with_fingerprint(d, text_col, name), id_col)
+
+
+def first_of_each(docs: DataFrame, slim: DataFrame, found: DataFrame, stamp: Callable[[DataFrame, str], DataFrame], id_col: str) -> DataFrame:
+    """The rows of docs that come first under their label. slim: (id, key); found: (id, key, label); stamp() makes the key again."""
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
     repeated = slim.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 OR id IS NULL").select(F.col("id").alias("odd_id"), F.lit(True).alias("odd"))
-    chosen = slim.join(found.select(F.col("fp").alias("simhash"), "label"), "simhash").groupBy("label").agg(first.alias("first")).select("first.id", "first.simhash")
-    chosen = materialize(chosen.join(repeated, F.col("id").eqNullSafe(F.col("odd_id")), "left").select("id", "simhash", F.coalesce("odd", F.lit(False)).alias("odd")))
+    chosen = found.groupBy("label").agg(first.alias("first")).select("first.id", "first.key")
+    chosen = materialize(chosen.join(repeated, F.col("id").eqNullSafe(F.col("odd_id")), "left").select("id", "key", F.coalesce("odd", F.lit(False)).alias("odd")))
     plain = chosen.where("NOT odd").select(F.col("id").alias("__id"))
     out = docs.join(plain.hint("merge"), F.col(id_col) == F.col("__id"), "left_semi")
-    odd = chosen.where("odd").select(F.col("id").alias("__id"), F.col("simhash").alias("__fp"))
+    odd = chosen.where("odd").select(F.col("id").alias("__id"), F.col("key").alias("__fp"))
     if odd.isEmpty():
         return out
     some = docs.join(odd.select("__id").distinct(), F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
-    told = with_fingerprint(some, text_col, "__simhash").join(odd, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__simhash") == F.col("__fp")), "left_semi")
-    return out.unionByName(told.dropDuplicates([id_col, "__simhash"]).select(*docs.columns))
+    told = stamp(some, "__key").join(odd, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__fp")), "left_semi")
+    return out.unionByName(told.dropDuplicates([id_col, "__key"]).select(*docs.columns))
