@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -73,10 +73,39 @@ def mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
+#: Values that one prefix sum covers; more are worked on in runs, so that memory and the table of powers stay small.
+_RUN = 1 << 20
+
+
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of values[start:end] for each range, equal for equal ranges wherever they stand."""
+    """A 64-bit hash of values[start:end] for each range, equal for equal ranges wherever they stand; starts and ends rise."""
+    return hasher(values)(starts, ends)
+
+
+def hasher(values: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """range_hashes of values for several sets of ranges: the prefix sum is made once where values are few."""
+    if len(values) <= _RUN:
+        return _summed(values)
+
+    def in_runs(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        out, i = np.zeros(len(starts), np.uint64), 0
+        while i < len(starts):
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + _RUN, "right")))
+            out[i:j] = _summed(values[starts[i] : ends[j - 1]])(starts[i:j] - starts[i], ends[i:j] - starts[i])
+            i = j
+        return out
+
+    return in_runs
+
+
+def _summed(values: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
     up, down = powers(len(values) + 1)
     with np.errstate(over="ignore"):
         total = np.zeros(len(values) + 1, np.uint64)
         np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=total[1:])
-        return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+    def hashes(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+    return hashes

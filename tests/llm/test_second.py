@@ -194,17 +194,28 @@ def test_toxicity(spark):
     wrong = [r.doc_id for r in out if r.doc_id in truth and (r.toxicity >= 0.3) != truth[r.doc_id]]
     assert len(wrong) < 8
     assert all(r.toxicity < 0.3 for r in out if r.doc_id in (2000, 2001)) and all(r.toxicity > 0.3 and r.evidence for r in out if r.text in ("vile", "vile word"))
-    # block-max search is exact
+    # block-max search is exact, with and without leaving an example out; votes and chances are those of plain Python
     import numpy as np
 
-    dense = np.zeros((len(index.labels), len(index.vocabulary)))
-    for t, (p, _, w) in enumerate(index.postings):
-        dense[p, t] = w
-    for i in range(0, len(dense), 7):
-        at = np.flatnonzero(dense[i])
-        near = toxicity.nearest(index, at, dense[i][at], 10)
-        full = sorted(((-round(s, 12), k) for k, s in enumerate(dense @ dense[i]) if s > 1e-12))[:10]
-        assert [round(s, 9) for s, _ in near] == [round(min(1, -s), 9) for s, _ in full]
+    n = len(index.labels)
+    dense = np.zeros((n, len(index.vocabulary)))
+    for t in range(len(index.vocabulary)):
+        part = slice(index.begin[index.first[t]], index.begin[index.first[t + 1]])
+        dense[index.place[part], t] = index.weight[part]
+    at = [np.flatnonzero(row) for row in dense]
+    vectors = toxicity.Vectors(np.concatenate(([0], np.cumsum([len(x) for x in at]))), np.concatenate(at), np.concatenate([row[x] for row, x in zip(dense, at)]))
+    for leave in (None, np.arange(n)):
+        places, cosines = toxicity.nearest(index, vectors, 10, leave)
+        votes = toxicity.vote(index, places, cosines)
+        for i in range(n):
+            full = sorted((-int(np.floor(s * toxicity.PRECISION + 0.5)), k) for k, s in enumerate(dense @ dense[i]) if s > 1e-8 and not (leave is not None and k == i))[:10]
+            found = [k for k in places[i].tolist() if k >= 0]
+            assert len(found) == len(full) and np.allclose([-s / toxicity.PRECISION for s, _ in full], cosines[i][: len(full)], atol=2e-9)
+            assert [k for _, k in full] == found or np.allclose(np.diff([s for s, _ in full]), 0, atol=2)  # ties within the precision
+            w = [1 / (1.05 - min(1.0, -s / toxicity.PRECISION)) for s, _ in full]
+            if full:
+                assert abs(votes[i] - sum(x * index.labels[k] for x, k in zip(w, found)) / sum(w)) < 1e-6
+    assert (np.diff(index.votes) >= 0).all() and (np.diff(index.chances) >= 0).all() and index.chances.min() >= 0 and index.chances.max() <= 1
     none = toxicity.score(df, toxicity.train(df, lab.limit(0)))
     assert none.where("toxicity >= 0.3").count() == 0
     assert toxicity.score(df.limit(0), toxicity.train(df.limit(0), lab)).count() == 0
