@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -15,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loom.plans.shared import written
+
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -46,22 +47,10 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(session)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one is set only where the session names none."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-loom-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Writes df as Parquet below the shared folder and reads it again: lineage ends there, and it survives lost executors."""
-    spark = df.sparkSession
-    ship(spark)
-    path = f"{shared_dir(spark).rstrip('/')}/loom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    ship(df.sparkSession)
+    return written(df)
 
 
 def attach(df: DataFrame, column: str, fields: list[T.StructField], make: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
@@ -80,6 +69,26 @@ def attach(df: DataFrame, column: str, fields: list[T.StructField], make: Callab
     return df.mapInArrow(run, T.StructType(kept + fields))
 
 
+def fresh(df: DataFrame, *stems: str) -> list[str]:
+    """Names for helper columns that no column of df has, whatever their case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for stem in stems:
+        name = stem
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def where_made(docs: DataFrame, make: Callable[[DataFrame], DataFrame], names: tuple[str, ...], condition: str) -> DataFrame:
+    """The rows of docs for which make(), which adds names, fulfils condition; docs' own columns, those of these names too."""
+    clashing = [c for c in docs.columns if c.lower() in names]
+    aside = dict(zip(clashing, fresh(docs, *[f"own_{c}" for c in clashing]), strict=True))
+    out = make(docs.withColumnsRenamed(aside)).where(condition)
+    return out.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
+
+
 def filter_bits(n: int, per_row: int = 16) -> int:
     """A power of two of bits for n rows, at most MAX_FILTER_BITS."""
     return int(min(MAX_FILTER_BITS, max(1 << 18, 1 << int(np.ceil(np.log2(max(2, n * per_row)))))))

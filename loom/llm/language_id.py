@@ -9,14 +9,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from loom.llm.common import attach
 from loom.llm.textnp import chunks
 
 BUCKETS = 1 << 16
 DIMENSIONS = 16
-#: Bounds of the training sample: documents of each language, characters of a document.
-TRAIN_PER_LANGUAGE, TRAIN_CHARS = 1200, 20_000
+#: Bounds of the training sample: documents of each language, the most frequent languages, and characters of a document; a
+#: longer one is learned from STRETCHES stretches at even distances over the whole of it.
+TRAIN_PER_LANGUAGE, MAX_LANGUAGES, TRAIN_CHARS, STRETCHES = 1200, 200, 20_000, 20
+#: The rejection threshold makes the accepted calibration texts right at this rate, but rejects no more of the rightly
+#: predicted ones than this share.
+ACCURACY, MAX_REJECTED = 0.995, 0.01
 UNKNOWN = "und"
 
 
@@ -78,11 +83,12 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def fit(texts: list[str], langs: list[str], seed: int = 7, epochs: int = 4, accuracy: float = 0.995) -> LanguageModel:
+def fit(texts: list[str], langs: list[str], seed: int = 7, epochs: int = 4, accuracy: float = ACCURACY, max_rejected: float = MAX_REJECTED) -> LanguageModel:
     """Stochastic gradient descent over whole training texts and short passages of them; a fifth of the texts calibrates.
 
     The temperature minimises the log loss of the calibration texts; the rejection threshold is the smallest score at which
-    the accepted ones are right with the given accuracy.
+    the accepted ones are right with the given accuracy, or a smaller one where that would reject more than max_rejected of
+    the rightly predicted ones (a few wrong labels among sure texts must not reject clean documents).
     """
     languages = sorted(set(langs))
     if not languages:
@@ -132,6 +138,8 @@ def fit(texts: list[str], langs: list[str], seed: int = 7, epochs: int = 4, accu
     good = np.flatnonzero(np.cumsum(right) / np.arange(1, len(right) + 1) >= accuracy)
     last = len(right) - 1 if len(good) and good[-1] == len(right) - 1 else (good[-1] if len(good) else 0)
     threshold = 0.0 if last == len(right) - 1 else float(p.max(1)[order][last])
+    if right.any():
+        threshold = min(threshold, float(np.quantile(p.max(1)[order][right], max_rejected, method="lower")))
     return LanguageModel(languages, model.table, bias, float(temperature), threshold)
 
 
@@ -145,21 +153,31 @@ def training_row(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string")) % 5 != 0
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_PER_LANGUAGE, max_chars: int = TRAIN_CHARS) -> LanguageModel:
-    """Fits on at most per_language labelled documents of each language, of at most max_chars characters.
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES, max_chars: int = TRAIN_CHARS) -> LanguageModel:
+    """Fits on at most per_language labelled training documents of each of the max_languages most frequent languages.
 
-    The first scan counts the languages. Hashes of ids are uniform, so a limit on the hash gives about one and a half times the
-    sample, which the second scan fetches; of it the first by hash are taken. No row is shuffled.
+    Rows without a language, an id or a text are not learned from; rows alike in id and text count once; extra columns are
+    not read. Texts of more than max_chars characters give stretches from all over the text instead of the whole. Without
+    labelled rows the model rejects everything.
+
+    The first scan counts the languages and (by a sketch) their distinct rows. Hashes of id and text are uniform, so a limit
+    on the hash gives about one and a half times the sample, which the second scan cuts to its stretches; the first by hash
+    of each language are fetched, never more than max_languages times per_language rows.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & training_row("id")).withColumn("order", F.xxhash64(F.col("id").cast("string"), F.lit("language sample")))
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    limits = {lang: min(2**63 - 1, int(min(1.0, 1.5 * per_language / n) * 2**64) - 2**63) for lang, n in counts.items()}
-    wanted = F.lit(False)
-    for lang, at in limits.items():
-        wanted = wanted | ((F.col("lang") == lang) & (F.col("order") <= at))
-    found = sorted((r.order, r.lang, r.text) for r in rows.where(wanted & F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("order", "lang", "text").collect())
-    sample = [x for lang in sorted(limits) for x in [y for y in found if y[1] == lang][:per_language]]
-    return fit([x[2] for x in sample], [x[1] for x in sample])
+    text, n = F.col(text_col), F.length(text_col)
+    step = F.floor((n - max_chars // STRETCHES) / F.lit(STRETCHES - 1)).cast("int")
+    stretches = F.transform(F.sequence(F.lit(0), F.lit(STRETCHES - 1)), lambda k: text.substr((k * step + 1).cast("int"), F.lit(max_chars // STRETCHES)))
+    known = F.col(lang_col).isNotNull() & text.isNotNull() & training_row(id_col)
+    rows = docs.where(known).select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string"), text, F.lit("language sample")).alias("order"), F.when(n > max_chars, F.array_join(stretches, " ")).otherwise(text).alias("text"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("order").alias("different"))
+    counts = counts.orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    if not counts:
+        return fit([], [])
+    limits = docs.sparkSession.createDataFrame([(r.lang, min(2**63 - 1, int(min(1.0, 1.5 * per_language / max(1, r.different)) * 2**64) - 2**63)) for r in counts], "lang string, most long")
+    near = rows.join(F.broadcast(limits), "lang").where(F.col("order") <= F.col("most")).groupBy("lang", "order").agg(F.min("text").alias("text"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    found = sorted((r.lang, r.order, r.text) for r in near.withColumn("nth", nth).where(F.col("nth") <= per_language).select("lang", "order", "text").collect())
+    return fit([x[2] for x in found], [x[0] for x in found])
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:

@@ -12,11 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loom.llm.common import attach, materialize
+from loom.llm.common import attach, fresh, materialize
 from loom.llm.components import components
 from loom.llm.textnp import chunks, is_space, spans
 
 SHINGLE, SEED, RADIUS = 4, 42, 4
+#: Shingles that are worked on at once.
+SHINGLES = 1 << 16
 #: Fingerprints of one bucket are compared in blocks of about so many.
 BLOCK = 512
 
@@ -42,11 +44,15 @@ def fingerprints(column: pa.Array, shingle: int = SHINGLE, seed: int = SEED) ->
         doc = np.repeat(np.arange(j - i), n)
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[:-1][doc]
         to = np.minimum(at + shingle, first[1:][doc]) - 1
-        h = np.fromiter((digest(text[a:b], seed) for a, b in zip(starts[at].tolist(), ends[to].tolist(), strict=True)), np.uint64, len(at))
+        a, b, total = starts[at], ends[to], np.zeros((j - i, 64), np.int64)
+        for k in range(0, len(at), SHINGLES):
+            some = slice(k, k + SHINGLES)
+            h = np.fromiter((digest(text[x:y], seed) for x, y in zip(a[some].tolist(), b[some].tolist(), strict=True)), np.uint64, len(a[some]))
+            own = np.flatnonzero(np.diff(doc[some], prepend=-1))
+            bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            total[doc[some][own]] += np.add.reduceat(bits, own, axis=0, dtype=np.int64)
         has = np.flatnonzero(n)
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        total = np.add.reduceat(bits, (np.cumsum(n) - n)[has], axis=0, dtype=np.int32)
-        out[i + has] = np.packbits(total * 2 > n[has, None], axis=1, bitorder="little").view(np.uint64).ravel()
+        out[i + has] = np.packbits(total[has] * 2 > n[has, None], axis=1, bitorder="little").view(np.uint64).ravel()
     return out
 
 
@@ -183,16 +189,22 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
 
 
 def first_of_each(docs: DataFrame, slim: DataFrame, found: DataFrame, stamp: Callable[[DataFrame, str], DataFrame], id_col: str) -> DataFrame:
-    """The rows of docs that come first under their label. slim: (id, key); found: (id, key, label); stamp() makes the key again."""
+    """The rows of docs that come first under their label. slim: (id, key); found: (id, key, label); stamp() makes the key again.
+
+    Of rows with the same id and key, the first by the hashes of all columns stays.
+    """
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
     repeated = slim.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 OR id IS NULL").select(F.col("id").alias("odd_id"), F.lit(True).alias("odd"))
     chosen = found.groupBy("label").agg(first.alias("first")).select("first.id", "first.key")
     chosen = materialize(chosen.join(repeated, F.col("id").eqNullSafe(F.col("odd_id")), "left").select("id", "key", F.coalesce("odd", F.lit(False)).alias("odd")))
-    plain = chosen.where("NOT odd").select(F.col("id").alias("__id"))
-    out = docs.join(plain.hint("merge"), F.col(id_col) == F.col("__id"), "left_semi")
-    odd = chosen.where("odd").select(F.col("id").alias("__id"), F.col("key").alias("__fp"))
+    own_id, own_key, key, rank, row = fresh(docs, "__id", "__fp", "__key", "__rank", "__row")
+    plain = chosen.where("NOT odd").select(F.col("id").alias(own_id))
+    out = docs.join(plain.hint("merge"), F.col(id_col) == F.col(own_id), "left_semi")
+    odd = chosen.where("odd").select(F.col("id").alias(own_id), F.col("key").alias(own_key))
     if odd.isEmpty():
         return out
-    some = docs.join(odd.select("__id").distinct(), F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
-    told = stamp(some, "__key").join(odd, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__fp")), "left_semi")
-    return out.unionByName(told.dropDuplicates([id_col, "__key"]).select(*docs.columns))
+    some = docs.join(odd.select(own_id).distinct(), F.col(id_col).eqNullSafe(F.col(own_id)), "left_semi")
+    told = stamp(some, key).join(odd, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(key) == F.col(own_key)), "left_semi")
+    told = materialize(told.withColumn(row, F.monotonically_increasing_id()).withColumn(rank, F.struct(*[F.xxhash64(*docs.columns, F.lit(k)).alias(f"h{k}") for k in range(2)], row)))
+    one = told.groupBy(id_col, key).agg(F.min(rank).alias(rank)).select(F.col(rank)[row].alias(own_id))
+    return out.unionByName(told.join(one, F.col(row) == F.col(own_id), "left_semi").select(*docs.columns))
