@@ -5,16 +5,22 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df written as Parquet below spark.checkpoint.dir (a temporary folder where that is unset) and read again."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which driver and executors share; a temporary one only under a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="spark-loom-")
         spark.sparkContext.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/loom-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df written as Parquet below the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession)}/loom-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
