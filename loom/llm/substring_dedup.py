@@ -1,4 +1,4 @@
-"""Substring dedup: suffix automata over shards of candidate passages decide which word windows stand twice."""
+"""Substring dedup: suffix automata over reference shards of candidate passages tell which word windows stand twice."""
 
 from __future__ import annotations
 
@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loom.llm.common import attach, bit_filter, filter_bits, materialize, maybe, ship
-from loom.llm.textnp import chunks, is_space, range_hashes, spans
+from loom.llm.common import attach, bit_filter, filter_bits, fresh, materialize, maybe, ship
+from loom.llm.textnp import chunks, is_space, mix, range_hashes, spans
 
 WINDOW, GRAM = 35, 8
-#: Passages that one automaton reads at most; anchors with more are settled by counts of window hashes.
-MAX_PASSAGES = 2_000
+#: Different passages that one automaton reads at most; the passages of an anchor with more are cut smaller and dealt anew.
+MAX_PASSAGES = 256
 #: Bytes of text that are worked on at a time (a longer text is worked on whole).
 CHUNK = 1 << 18
 #: False alarms that are broadcast at most (8 bytes each); more are taken out by a join.
@@ -43,8 +43,9 @@ class Words:
     def window_hashes(self, which: np.ndarray) -> np.ndarray:
         return range_hashes(self.hashes, self.at[which], self.at[which] + self.window) if len(which) else np.zeros(0, np.uint64)
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, word) of the anchor of each window."""
+    def anchors(self, barred: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, word) of the anchor of each window. barred: for each document a hash that its anchors may not have, unless
+        a window has no other."""
         if not len(self.at):
             return np.zeros(0, np.uint64), self.at
         gram = min(GRAM, self.window)
@@ -52,6 +53,9 @@ class Words:
         g = range_hashes(self.hashes, np.arange(m), np.arange(m) + gram)
         low = np.uint64((1 << 24) - 1)
         ranked = (g & ~low) | (np.arange(m).astype(np.uint64) & low)
+        if barred is not None:
+            doc = np.searchsorted(self.first, np.arange(m), "right") - 1
+            ranked[g == barred[doc]] |= ~low
         size = self.window - gram + 1
         pad = -m % size
         rows = np.concatenate([ranked, np.full(pad, np.iinfo(np.uint64).max)]).reshape(-1, size)
@@ -153,6 +157,117 @@ def _repeated_filter(spark, counted: DataFrame):
     return spark.sparkContext.broadcast(bit_filter(counted.select("value"), bits, repeated=False)), bits
 
 
+def _cut(w: Words, which: np.ndarray, value: np.ndarray, place: np.ndarray) -> list:
+    """Runs of the given windows under one anchor at one place: the anchor's hash and the words, joined by one blank."""
+    begin = _runs(w.doc[which], place[which], which - np.arange(len(which)))
+    end = np.concatenate((begin[1:], [len(which)])) if len(which) else begin
+    a, b = w.at[which[begin]], w.at[which[end - 1]] + w.window if len(which) else begin
+    blank = is_space(w.data)
+    raw, keep = w.data.copy(), ~blank
+    before = w.starts[w.starts > 0] - 1
+    keep[before] = True
+    raw[before[blank[before]]] = 32
+    at = np.concatenate(([0], np.cumsum(keep)))
+    whole = raw[keep].tobytes()
+    return [value[which[begin]].view(np.int64), pa.array([whole[x:y] for x, y in zip(at[w.starts[a]].tolist(), at[w.ends[b - 1]].tolist(), strict=True)], pa.binary())]
+
+
+def _as_text(passages: list[bytes]) -> pa.Array:
+    return pa.array(passages, pa.binary()).cast(pa.string())
+
+
+def window_hashes_of(passages: list[bytes], window: int) -> list[np.ndarray]:
+    """The hashes of the windows of each passage, in order."""
+    out = []
+    for i, j, data, offs in chunks(_as_text(passages)):
+        w = Words(data, offs, window)
+        out += np.split(w.window_hashes(np.arange(len(w.at))), np.searchsorted(w.doc, np.arange(1, j - i)))
+    return out
+
+
+def _all_windows(window: int):
+    """(words, twice): all windows of passages of which the count has told."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                h, twice = window_hashes_of(batch.column(0).to_pylist(), window), batch.column(1).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h).view(np.int64)), pa.array(np.repeat(twice, [len(x) for x in h]))], names=["value", "twice"])
+
+    return run
+
+
+def settle(group: list[tuple[bytes, int]], window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of an anchor's passages (words, count), and whether the automaton of all finds them twice."""
+    split = [(words.split(b" "), n) for words, n in group]
+    automaton, twice = Automaton(split), []
+    for words, n in split:
+        own = np.ones(len(words) - window + 1, bool)
+        if n == 1:
+            own[automaton.unique_windows(words, window)] = False
+        twice.append(own)
+    h = np.concatenate(window_hashes_of([words for words, _ in group], window))
+    h, at = np.unique(h, return_index=True)
+    return h.view(np.int64), np.concatenate(twice)[at]
+
+
+def _by_automata(window: int):
+    """(anchor, words, n), sorted by anchor: the windows of each anchor's passages, told by its automaton."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, group = None, []
+        for batch in batches:
+            done = []
+            for anchor, words, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if anchor != held and group:
+                    done.append(settle(group, window))
+                    group = []
+                held = anchor
+                group.append((words, n))
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([h for h, _ in done])), pa.array(np.concatenate([t for _, t in done]))], names=["value", "twice"])
+        if group:
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, settle(group, window))), names=["value", "twice"])
+
+    return run
+
+
+def _recut(window: int, pieces):
+    """Passages (anchor, words, n) cut smaller; pieces(Words, anchors) gives the hash and the words of each piece, and its passage."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            anchor, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
+            for i, j, data, offs in chunks(_as_text(batch.column(1).to_pylist()), CHUNK):
+                w = Words(data, offs, window)
+                value, words, doc = pieces(w, anchor[i:j].view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(value), words, pa.array(n[i:j][doc])], names=["anchor", "words", "n"])
+
+    return run
+
+
+def _next_anchor(window: int):
+    """Runs of windows that share the next anchor too; both make the new one."""
+
+    def pieces(w: Words, anchor: np.ndarray) -> tuple:
+        value, place = w.anchors(barred=anchor)
+        both = mix(value ^ mix(anchor[w.doc] + np.uint64(1)))
+        doc = w.doc[_runs(w.doc, place, np.zeros(len(place)))]
+        return *_cut(w, np.arange(len(w.at)), both, place), doc
+
+    return _recut(window, pieces)
+
+
+def _single_windows(window: int):
+    """Single windows, each its own anchor."""
+
+    def pieces(w: Words, anchor: np.ndarray) -> tuple:
+        every = np.arange(len(w.at))
+        return *_cut(w, every, w.window_hashes(every), every), w.doc
+
+    return _recut(window, pieces)
+
+
 def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """docs with n_words, n_removed and kept_text: every word that a repeated window covers is taken out.
 
@@ -162,13 +277,14 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
     these names are replaced, all others kept; an empty table gives an empty result.
 
     1. Anchors (about one for 14 words) are counted by hash; a bitmap keeps those that stand twice.
-    2. Windows under such anchors are counted by hash; a bitmap keeps those that stand twice.
-    3. Runs of windows that the bitmap passes become passages, grouped word for word with their counts, then dealt to
-       reference shards by anchor: windows that could be equal meet in one shard. A passage counted twice is settled. Where
-       an anchor has others, a suffix automaton of all its passages, weighted by their counts, is streamed with them, and
-       its matching statistics tell the windows that stand once: false alarms of hashing. Anchors with more than
-       MAX_PASSAGES passages are settled by the counts of step 2 instead.
-    4. Documents stream once more: windows that the bitmap passes, less the false alarms, are removed.
+    2. Runs of windows under such anchors become passages, grouped word for word with their counts, then dealt to reference
+       shards by anchor: windows that could be equal meet in one shard. Where an anchor has several different passages, a
+       suffix automaton of all of them, weighted by their counts, reads them again, and its matching statistics tell which
+       windows stand once. A passage that is alone under its anchor needs none: its count tells.
+    3. An anchor with more than MAX_PASSAGES different passages is split: they are cut into runs of windows that share the
+       next anchor as well, grouped and dealt anew; where these are still too many, into single windows, whose counts tell.
+    4. The windows found twice make a bitmap; those found once that it lets through are kept as false alarms. Documents
+       stream once more: windows that both bitmaps let through, less the false alarms, are removed.
 
     The automata are built in the tasks that own a shard and not broadcast whole: they grow with the repeated text.
     """
@@ -191,75 +307,45 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
         ok = maybe(first.value, value[begin], first_bits)
         return np.flatnonzero(np.repeat(ok, np.diff(np.concatenate((begin, [len(value)]))))), value, place
 
-    def candidates(data: np.ndarray, offs: np.ndarray) -> list:
+    def passages(data: np.ndarray, offs: np.ndarray) -> list:
         w = Words(data, offs, window)
-        return [signed(w.window_hashes(under(w)[0]))]
-
-    windows = materialize(_column(text, "value long", candidates).groupBy("value").agg(F.count("*").alias("n")).where("n > 1").select("value"))
-    second, second_bits = _repeated_filter(spark, windows)
-
-    def positive(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         which, value, place = under(w)
+        return _cut(w, which, value, place)
+
+    first_level = _column(text, "anchor long, words binary", passages).groupBy("anchor", "words").agg(F.count("*").alias("n"))
+    level, judged = materialize(first_level), []
+    for cut in (_next_anchor, _single_windows, None):
+        sizes = materialize(level.groupBy("anchor").agg(F.count("*").alias("passages"), F.max("n").alias("most")).where("passages > 1"))
+        several = sizes.where(F.col("passages") <= MAX_PASSAGES) if cut else sizes.limit(0)
+        alone = level.join(sizes.select("anchor"), "anchor", "left_anti") if cut else level
+        judged.append(alone.select("words", (F.col("n") > 1).alias("twice")).mapInArrow(_all_windows(window), "value long, twice boolean"))
+        if cut is None:
+            break
+        shards = level.join(several.select("anchor"), "anchor").select("anchor", "words", "n")
+        judged.append(shards.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_by_automata(window), "value long, twice boolean"))
+        hot = sizes.where(F.col("passages") > MAX_PASSAGES)
+        if hot.isEmpty():
+            break
+        smaller = level.join(hot.select("anchor"), "anchor").select("anchor", "words", "n").mapInArrow(cut(window), "anchor long, words binary, n long")
+        level = materialize(smaller.groupBy("anchor", "words").agg(F.sum("n").alias("n")))
+    windows = judged[0]
+    for more in judged[1:]:
+        windows = windows.union(more)
+    windows = materialize(windows)
+    second, second_bits = _repeated_filter(spark, windows.where("twice").select("value"))
+
+    def positive(w: Words) -> tuple[np.ndarray, np.ndarray]:
+        which, _, _ = under(w)
         h = w.window_hashes(which)
         ok = maybe(second.value, h, second_bits)
-        return which[ok], h[ok], value, place
+        return which[ok], h[ok]
 
-    def passages(data: np.ndarray, offs: np.ndarray) -> list:
-        w = Words(data, offs, window)
-        which, _, value, place = positive(w)
-        begin = _runs(w.doc[which], place[which], which - np.arange(len(which)))
-        end = np.concatenate((begin[1:], [len(which)])) if len(which) else begin
-        a, b = w.at[which[begin]], w.at[which[end - 1]] + window if len(which) else begin
-        blank = is_space(w.data)
-        raw, keep = w.data.copy(), ~blank
-        before = w.starts[w.starts > 0] - 1
-        keep[before] = True
-        raw[before[blank[before]]] = 32
-        at = np.concatenate(([0], np.cumsum(keep)))
-        whole = raw[keep].tobytes()
-        return [signed(value[which[begin]]), pa.array([whole[x:y] for x, y in zip(at[w.starts[a]].tolist(), at[w.ends[b - 1]].tolist(), strict=True)], pa.binary())]
-
-    counted = _column(text, "anchor long, words binary", passages).groupBy("anchor", "words").agg(F.count("*").alias("n"))
-    counted = materialize(counted)
-    doubtful = materialize(counted.groupBy("anchor").agg(F.count("*").alias("passages"), F.min("n").alias("least")).where("least = 1"))
-    few, many = doubtful.where(F.col("passages") <= MAX_PASSAGES), doubtful.where(F.col("passages") > MAX_PASSAGES)
-
-    def hashes_of(passages: list[bytes]) -> np.ndarray:
-        col = pa.array(passages, pa.binary()).cast(pa.string())
-        words = [Words(d, o, window) for _, _, d, o in chunks(col)]
-        return np.concatenate([w.window_hashes(np.arange(len(w.at))) for w in words])
-
-    def settle(group: list[tuple[bytes, int]]) -> list[bytes]:
-        """The windows of an anchor's passages that stand once."""
-        split = [(words.split(b" "), n) for words, n in group]
-        automaton = Automaton(split)
-        return [b" ".join(words[i : i + window]) for words, n in split if n == 1 for i in automaton.unique_windows(words, window)]
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, group, found = None, [], []
+    def let_through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for anchor, words, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if anchor != held and group:
-                    found += settle(group)
-                    group = []
-                held = anchor
-                group.append((words, n))
-            if len(found) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(signed(hashes_of(found)))], names=["value"])
-                found = []
-        found += settle(group) if group else []
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(signed(hashes_of(found)))], names=["value"])
-
-    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if len(batch):
-                yield pa.RecordBatch.from_arrays([pa.array(signed(hashes_of(batch.column(0).to_pylist())))], names=["value"])
+            h = batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(h[maybe(second.value, h.view(np.uint64), second_bits)])], names=["value"])
 
-    shards = counted.join(few.select("anchor"), "anchor").select("anchor", "words", "n")
-    shards = shards.repartition("anchor").sortWithinPartitions("anchor")
-    false = shards.mapInArrow(judge, "value long").union(counted.join(many.select("anchor"), "anchor", "left_semi").where("n = 1").select("words").mapInArrow(every, "value long").join(windows, "value", "left_anti"))
-    false = materialize(false.distinct())
+    false = materialize(windows.where("NOT twice").select("value").mapInArrow(let_through, "value long").distinct())
     known = false.count()
     alarms = spark.sparkContext.broadcast(np.sort(np.array([r.value for r in false.collect()], np.int64)) if known <= MAX_BROADCAST else np.zeros(0, np.int64))
 
@@ -268,7 +354,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
         w = Words(data, offs, window)
         cover = np.zeros(len(w.starts) + 1, np.int64)
         if len(w.at):
-            which, h, _, _ = positive(w)
+            which, h = positive(w)
             if len(alarms.value):
                 p = np.minimum(np.searchsorted(alarms.value, signed(h)), len(alarms.value) - 1)
                 which, h = (x[alarms.value[p] != signed(h)] for x in (which, h))
@@ -312,7 +398,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
 
 def _with_join(docs: DataFrame, text_col: str, fields: list[T.StructField], make, positive, false: DataFrame, window: int) -> DataFrame:
     """As attach, with false alarms brought to their documents by a join: for more of them than may be broadcast."""
-    named = materialize(docs.withColumn("__row", F.monotonically_increasing_id()))
+    own, spare = fresh(docs, "__row", "__lost")
+    named = materialize(docs.withColumn(own, F.monotonically_increasing_id()))
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,11 +407,11 @@ def _with_join(docs: DataFrame, text_col: str, fields: list[T.StructField], make
             for i, _, data, offs in chunks(batch.column(1)):
                 w = Words(data, offs, window)
                 if len(w.at):
-                    which, h, _, _ = positive(w)
-                    yield pa.RecordBatch.from_arrays([pa.array(rows[i + w.doc[which]]), pa.array(h.view(np.int64))], names=["__row", "value"])
+                    which, h = positive(w)
+                    yield pa.RecordBatch.from_arrays([pa.array(rows[i + w.doc[which]]), pa.array(h.view(np.int64))], names=["row", "value"])
 
-    lost = named.select("__row", text_col).mapInArrow(values, "__row long, value long").join(false, "value").groupBy("__row").agg(F.collect_set("value").alias("__lost"))
-    joined = named.join(lost, "__row", "left").drop("__row")
+    lost = named.select(own, text_col).mapInArrow(values, "row long, value long").join(false, "value").groupBy(F.col("row").alias(own)).agg(F.collect_set("value").alias(spare))
+    joined = named.join(lost, own, "left").drop(own)
     names = {f.name.lower() for f in fields}
     kept = [f for f in docs.schema.fields if f.name.lower() not in names]
     places, at = [i for i, f in enumerate(docs.schema.fields) if f.name.lower() not in names], docs.columns.index(text_col)

@@ -27,7 +27,7 @@ def brute_substring(texts, window):
     return out
 
 
-@pytest.mark.parametrize("alarms", ["few", "many", "joined"])
+@pytest.mark.parametrize("alarms", ["few", "many", "split", "windows", "joined"])
 def test_substring(spark, alarms, monkeypatch):
     rng = random.Random(2)
     fresh = lambda n: [f"é{rng.randrange(10**6)}" for _ in range(n)]
@@ -39,10 +39,10 @@ def test_substring(spark, alarms, monkeypatch):
         texts.append(" ".join(fresh(rng.randrange(20)) + p[a : a + rng.randrange(30, 60)] + fresh(rng.randrange(30))))
     texts += texts[-3:]
     texts.append("\t".join(texts[-1].split()) + "  \n")
-    if alarms != "few":  # a filter that lets every window pass, so that false alarms are many
+    if alarms in ("many", "windows", "joined"):  # a filter that lets every window pass, so that false alarms are many
         monkeypatch.setattr(substring_dedup, "maybe", lambda bitmap, h, bits: h == h)
-    if alarms == "many":
-        monkeypatch.setattr(substring_dedup, "MAX_PASSAGES", 3)
+    if alarms in ("split", "windows"):  # anchors with several passages are split once, and again into single windows
+        monkeypatch.setattr(substring_dedup, "MAX_PASSAGES", {"split": 4, "windows": 1}[alarms])
     if alarms == "joined":
         monkeypatch.setattr(substring_dedup, "MAX_BROADCAST", 0)
     df = table(spark, [(i if i != 3 else None, t) for i, t in enumerate(texts)])
@@ -53,6 +53,22 @@ def test_substring(spark, alarms, monkeypatch):
     assert substring_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_settle():
+    """Of passages that overlap, the automaton tells the windows that stand twice from those that don't."""
+    rng = random.Random(7)
+    base = [f"b{i}" for i in range(60)]
+    group = [(" ".join(base[a:b]).encode(), n) for a, b, n in ((0, 45, 1), (5, 60, 1), (20, 58, 2))]
+    edited = base[:]
+    edited[50] = "other"
+    group.append((" ".join(edited[10:]).encode(), 1))
+    seen = Counter(tuple(w.split()[i : i + 35]) for w, n in group for i in range(len(w.split()) - 34) for _ in range(n))
+    h, twice = substring_dedup.settle(group, 35)
+    for words, n in group:
+        for x, window in zip(substring_dedup.window_hashes_of([words], 35)[0], range(len(words.split()) - 34)):
+            assert twice[list(h.view("uint64")).index(x)] == (seen[tuple(words.split()[window : window + 35])] > 1)
+    assert 0 < twice.sum() < len(twice) and rng
+
+
 def test_automaton():
     rng = random.Random(4)
     for _ in range(200):
