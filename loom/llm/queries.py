@@ -44,7 +44,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    out = mixing.mix(_table(spark, sf_dir, "documents"))
+    shards = F.array_join(F.array_sort(F.array_distinct(F.transform("pieces", lambda p: p["shard"]))).cast("array<string>"), ",")
+    return out.select("doc_id", "size", "source_size", "target", "taken", shards.alias("shards"))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,11 +85,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
             FROM hashed WINDOW w AS (PARTITION BY text_sha256)""",
         "op6_mixing": r"""
-            WITH docs AS (
+            WITH RECURSIVE docs AS (
               SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
                      md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')) AS k FROM documents),
-            sums AS (SELECT source, sum(size)::BIGINT AS words FROM docs GROUP BY source),
-            weighed AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM sums),
+            sums AS (SELECT source, sum(size)::BIGINT AS words, row_number() OVER (ORDER BY source NULLS LAST) AS number FROM docs GROUP BY source),
+            weighed AS (SELECT *, [5, 2, 1][(number - 1) % 3 + 1] AS weight FROM sums),
             total AS (SELECT sum(words)::BIGINT AS words FROM weighed),
             levels AS (
               SELECT w.*, (1.5 * t.words - coalesce(sum(2 * w.words) OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
@@ -96,24 +98,53 @@ def oracle_sql() -> dict[str, str]:
               FROM weighed w, total t WINDOW b AS (ORDER BY 2.0 * w.words / weight, source)),
             level AS (SELECT arg_min(level, place) AS level FROM levels WHERE level * weight <= 2 * words),
             targets AS (
-              SELECT source, words, CASE WHEN level.level * weight > 2 * words THEN (2 * words)::DOUBLE ELSE level.level * weight END AS target,
+              SELECT source, words, number, CASE WHEN level.level * weight > 2 * words THEN (2 * words)::DOUBLE ELSE level.level * weight END AS target,
                      greatest(1024, ceil(2 * (SELECT words FROM total) / 5e8))::BIGINT AS most
               FROM weighed, level),
             blocks AS (SELECT *, CASE WHEN words <= most * 1000 THEN greatest(1, least(most, words // 1000)) ELSE most END AS block FROM targets),
             counts AS (SELECT *, (words + block - 1) // block AS n FROM blocks),
             plan AS (
-              SELECT *, least(2 * n, floor(target / block + 0.5)::BIGINT) AS quota,
+              SELECT *, least(2 * n, floor(target / block + 0.5)::BIGINT) AS quota, greatest(1, floor(sqrt(n))::BIGINT) AS wide,
                      list_min(list_filter(range(greatest(1, n) * 5 // 8 + 1, 2 * greatest(1, n) + 2), lambda x: gcd(x, greatest(1, n)) = 1)) AS step
               FROM counts),
+            tree(lo, shards, i, rest, need, q, d) AS (
+              SELECT 0::BIGINT, 64::BIGINT, 1::BIGINT, sum(quota)::BIGINT, (sum(quota) * 32 // 64)::BIGINT, list(quota ORDER BY number), []::BIGINT[] FROM plan
+              UNION ALL
+              SELECT CASE WHEN more OR child = 0 THEN lo ELSE lo + shards // 2 END,
+                     CASE WHEN more THEN shards WHEN child = 0 THEN shards // 2 ELSE shards - shards // 2 END,
+                     CASE WHEN more THEN i + 1 ELSE 1 END,
+                     CASE WHEN more THEN rest - q[i] ELSE list_sum(part)::BIGINT END,
+                     CASE WHEN more THEN need - x WHEN child = 0 THEN (list_sum(part) * (shards // 4) // greatest(1, shards // 2))::BIGINT
+                          ELSE (list_sum(part) * ((shards - shards // 2) // 2) // (shards - shards // 2))::BIGINT END,
+                     CASE WHEN more THEN q ELSE part END,
+                     CASE WHEN more THEN list_append(d, x) ELSE []::BIGINT[] END
+              FROM (
+                SELECT *, CASE WHEN more THEN least(high, low + len(list_filter(range(1, len(chance) + 1), lambda j: list_sum(chance[1:j]) < u)))::BIGINT END AS x,
+                       CASE WHEN more THEN NULL WHEN child = 0 THEN d ELSE list_transform(range(1, len(q) + 1), lambda j: q[j] - d[j]) END AS part
+                FROM (
+                  SELECT *, (('0x' || substr(md5('mix-1:' || lo || ':' || shards || ':' || (i - 1)), 1, 8))::BIGINT + 0.5) / 4294967296 AS u,
+                         CASE WHEN more THEN list_transform(range(low, high + 1), lambda k: exp(lgamma(q[i] + 1) - lgamma(k + 1) - lgamma(q[i] - k + 1)
+                           + lgamma(bad + 1) - lgamma(need - k + 1) - lgamma(bad - need + k + 1) - lgamma(rest + 1) + lgamma(need + 1) + lgamma(rest - need + 1))) END AS chance
+                  FROM (
+                    SELECT *, CASE WHEN more THEN greatest(0, need - bad) ELSE 0 END AS low, CASE WHEN more THEN least(q[i], need) ELSE 0 END AS high
+                    FROM (SELECT *, i <= len(q) AS more, rest - coalesce(q[i], 0) AS bad FROM tree WHERE shards > 1)),
+                  (SELECT unnest([0, 1]) AS child)
+                  WHERE child = 0 OR NOT more))),
+            leaves AS (SELECT lo AS shard, unnest(q) AS blocks, unnest(range(1, len(q) + 1)) AS number FROM tree WHERE shards = 1),
+            bounds AS (SELECT shard, number, sum(blocks) OVER (PARTITION BY number ORDER BY shard) AS upto, upto - blocks AS after FROM leaves),
             placed AS (
               SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM docs d),
             cut AS (
-              SELECT p.doc_id, p.k, p.start, p.size, s.block, s.quota, s.n, s.step, unnest(range(p.start // s.block, (p.start + p.size - 1) // s.block + 1)) AS b
+              SELECT p.doc_id, p.k, p.start, p.size, s.*, unnest(range(p.start // s.block, (p.start + p.size - 1) // s.block + 1)) AS b
               FROM placed p JOIN plan s ON p.source IS NOT DISTINCT FROM s.source WHERE p.size > 0),
+            one AS (SELECT *, n // wide AS high, (b * step + e) % n AS x1 FROM cut, (VALUES (0), (1)) e(e)),
+            two AS (SELECT *, CASE WHEN x1 < high * wide THEN ((x1 // wide + ('0x' || substr(md5('mix-1:column:' || e || ':' || (x1 % wide)), 1, 8))::BIGINT) % high) * wide + x1 % wide ELSE x1 END AS x2 FROM one),
+            three AS (SELECT *, CASE WHEN x2 < high * wide THEN x2 // wide * wide + (x2 % wide + ('0x' || substr(md5('mix-1:row:' || e || ':' || (x2 // wide)), 1, 8))::BIGINT) % wide ELSE x2 END AS x3 FROM two),
+            slots AS (SELECT *, e * n + (x3 * step + 1) % n AS slot FROM three),
             taken AS (
-              SELECT doc_id, start, sum(least((b + 1) * block, start + size) - greatest(b * block, start))::BIGINT AS taken
-              FROM cut, (VALUES (0), (1)) e(e) WHERE e * n + (b * step + e) % n < quota GROUP BY doc_id, start)
-            SELECT p.doc_id, p.size, s.words AS source_size, s.target, coalesce(t.taken, 0) AS taken
+              SELECT s.doc_id, s.start, sum(least((b + 1) * block, start + size) - greatest(b * block, start))::BIGINT AS taken, array_to_string(list_sort(list_distinct(list(shard))), ',') AS shards
+              FROM slots s JOIN bounds o ON o.number = s.number AND slot >= o.after AND slot < o.upto WHERE slot < quota GROUP BY s.doc_id, s.start)
+            SELECT p.doc_id, p.size, s.words AS source_size, s.target, coalesce(t.taken, 0) AS taken, coalesce(t.shards, '') AS shards
             FROM placed p JOIN plan s ON p.source IS NOT DISTINCT FROM s.source
             LEFT JOIN taken t ON t.doc_id IS NOT DISTINCT FROM p.doc_id AND t.start = p.start AND p.size > 0""",
         "op8_substring_dedup": r"""
