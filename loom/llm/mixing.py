@@ -5,11 +5,12 @@ DataFrame functions only; the driver handles at most COLUMNS sources, executors
 
 from __future__ import annotations
 
+import json
 from hashlib import md5
 from math import exp, lgamma
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -63,6 +64,13 @@ def split_quotas(quotas: list[int], shards: int, seed: str = SEED, first: int =
     return split_quotas(draw, left, seed, first) + split_quotas([q - d for q, d in zip(quotas, draw, strict=True)], shards - left, seed, first + left)
 
 
+def _table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table from the driver, as one literal."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    found = F.from_json(F.lit(json.dumps([dict(zip(names, r, strict=True)) for r in rows])), f"array<struct<{schema.replace(' ', ':').replace(',:', ',')}>>")
+    return spark.range(1).select(F.inline(found))
+
+
 def water_level(totals: DataFrame, words: int, share: float, cap: int) -> float:
     """The words that a weight of 1 gets of share * words when none of totals (size, weight) gets above cap times its size.
 
@@ -127,7 +135,7 @@ def plan_sources(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: f
         """rows with the sum of amount over all rows before: sums of the ranges, then a window within a range."""
         sums = {r.part: r.n for r in rows.groupBy(part.alias("part")).agg(F.sum(amount).alias("n")).collect()}  # one row a range
         base = np.cumsum([0] + [sums[p] for p in sorted(sums)]).tolist()
-        starts = rows.sparkSession.createDataFrame(list(zip(sorted(sums), base, strict=False)), "range long, start long")
+        starts = _table(rows.sparkSession, list(zip(sorted(sums), base[:-1], strict=True)), "range long, start long")
         own = F.coalesce(F.sum(amount).over(Window.partitionBy(part).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         return rows.withColumn(name, own).join(F.broadcast(starts), part == F.col("range")).withColumn(name, F.col(name) + F.col("start")).drop("range", "start")
 
@@ -144,14 +152,14 @@ def plan_sources(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: f
     plan = materialize(plan)
     own = [(r.number, r.quota) for r in plan.orderBy(F.desc("quota"), "number").limit(COLUMNS).collect()]
     own = sorted(own)
-    columns = plan.sparkSession.createDataFrame([(n, k) for k, (n, _) in enumerate(own)], "number long, column int")
+    columns = _table(plan.sparkSession, [(n, k) for k, (n, _) in enumerate(own)], "number long, column int")
     plan = plan.join(F.broadcast(columns), "number", "left").withColumn("column", F.coalesce("column", F.lit(len(own))))
     pooled = F.when(F.col("column") == len(own), F.col("quota")).otherwise(0).cast("long")
     plan = before(plan, pooled, "offset").withColumn("offset", F.when(F.col("column") == len(own), F.col("offset")).otherwise(0))
     pool = plan.agg(F.sum(pooled)).first()[0] or 0
     quotas = [q for _, q in own] + ([pool] if pool else [])
     ends = np.cumsum(np.array(split_quotas(quotas, shards)).reshape(shards, len(quotas)), axis=0).T.tolist()
-    bounds = plan.sparkSession.createDataFrame([(k, x, pool if k == len(own) else None) for k, x in enumerate(ends)], "column int, bounds array<long>, pool long")
+    bounds = _table(plan.sparkSession, [(k, x, pool if k == len(own) else None) for k, x in enumerate(ends)], "column int, bounds array<long>, pool long")
     bounds = bounds.withColumn("pool_step", F.when(F.col("pool") > 0, coprime_step(F.col("pool"))))
     plan = plan.select("source", "size", "rows", "target", "block", "blocks", "quota", "step", "column", "offset")
     return materialize(plan), bounds
