@@ -199,6 +199,9 @@ def _all_windows(window: int):
 
 def settle(group: list[tuple[bytes, int]], window: int) -> tuple[np.ndarray, np.ndarray]:
     """The windows of an anchor's passages (words, count), and whether the automaton of all finds them twice."""
+    if len(group) == 1:
+        h = window_hashes_of([group[0][0]], window)[0]
+        return h.view(np.int64), np.full(len(h), group[0][1] > 1)
     split = [(words.split(b" "), n) for words, n in group]
     automaton, twice = Automaton(split), []
     for words, n in split:
@@ -314,20 +317,34 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
 
     first_level = _column(text, "anchor long, words binary", passages).groupBy("anchor", "words").agg(F.count("*").alias("n"))
     level, judged = materialize(first_level), []
-    for cut in (_next_anchor, _single_windows, None):
-        sizes = materialize(level.groupBy("anchor").agg(F.count("*").alias("passages"), F.max("n").alias("most")).where("passages > 1"))
-        several = sizes.where(F.col("passages") <= MAX_PASSAGES) if cut else sizes.limit(0)
-        alone = level.join(sizes.select("anchor"), "anchor", "left_anti") if cut else level
-        judged.append(alone.select("words", (F.col("n") > 1).alias("twice")).mapInArrow(_all_windows(window), "value long, twice boolean"))
-        if cut is None:
-            break
-        shards = level.join(several.select("anchor"), "anchor").select("anchor", "words", "n")
-        judged.append(shards.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_by_automata(window), "value long, twice boolean"))
+    for cut in (_next_anchor, _single_windows):
+        sizes = materialize(level.groupBy("anchor").agg(F.count("*").alias("passages")).where("passages > 1").select(F.col("anchor").alias("value"), "passages"))
         hot = sizes.where(F.col("passages") > MAX_PASSAGES)
-        if hot.isEmpty():
+        crowded = not hot.isEmpty()
+        filters = [_repeated_filter(spark, sizes.where(F.col("passages") <= MAX_PASSAGES)), *([_repeated_filter(spark, hot)] if crowded else [])]
+
+        def routed(way: int, filters=filters):
+            """The rows that go one way: alone (0), to the automata (1), to be cut (2). All passages of an anchor go together."""
+
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    h = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+                    ways = np.zeros(len(h), np.int64)
+                    for k, (bitmap, bits) in enumerate(filters, 1):
+                        ways[maybe(bitmap.value, h, bits)] = k
+                    yield batch.filter(pa.array(ways == way))
+
+            return run
+
+        judged.append(level.mapInArrow(routed(0), level.schema).select("words", (F.col("n") > 1).alias("twice")).mapInArrow(_all_windows(window), "value long, twice boolean"))
+        shards = level.mapInArrow(routed(1), level.schema).repartition("anchor").sortWithinPartitions("anchor")
+        judged.append(shards.mapInArrow(_by_automata(window), "value long, twice boolean"))
+        if not crowded:
             break
-        smaller = level.join(hot.select("anchor"), "anchor").select("anchor", "words", "n").mapInArrow(cut(window), "anchor long, words binary, n long")
+        smaller = level.mapInArrow(routed(2), level.schema).mapInArrow(cut(window), "anchor long, words binary, n long")
         level = materialize(smaller.groupBy("anchor", "words").agg(F.sum("n").alias("n")))
+    else:
+        judged.append(level.select("words", (F.col("n") > 1).alias("twice")).mapInArrow(_all_windows(window), "value long, twice boolean"))
     windows = judged[0]
     for more in judged[1:]:
         windows = windows.union(more)
