@@ -11,12 +11,12 @@ LONG = 4096
 def kmer_array(seq: Column, k: int) -> Column:
     """The distinct k-mers of a string; none where it is null or shorter than k.
 
-    substring() walks from the string's beginning, so long strings go through an array of letters: linear in their length.
+    substring() walks from the string's beginning, so long strings are read by one look-ahead match: linear in their length.
     """
     last = F.length(seq) - k + 1
     places = F.sequence(F.lit(1), last)
     short = F.transform(places, lambda i: F.substring(seq, i, F.lit(k)))
-    long = F.transform(places, lambda i: F.array_join(F.slice(F.split(seq, ""), i, k), ""))
+    long = F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{k}}}))"), 1)
     return F.when(last < 1, F.array().cast("array<string>")).when(last < LONG, F.array_distinct(short)).when(last >= LONG, F.array_distinct(long)).otherwise(F.array().cast("array<string>"))
 
 

@@ -58,19 +58,17 @@ def adjacent(features: DataFrame, distance: int = 5000) -> DataFrame:
 def close(features: DataFrame, distance: int = 5000) -> DataFrame:
     """Each feature with those that follow on its contig and strand, up to the first gap beyond distance.
 
-    Features meet by an equi-join on bins of the axis, never all with all: with bins as wide as distance and the longest
-    feature, what follows within reach stands in the feature's bin of its right end, the next one, or its own.
-    The running maximum of the gap cuts the rows at the first one that is too far, as a walk along the contig would.
+    Features meet by an equi-join on bins of the axis as wide as distance, never all with all: a feature stands in every bin
+    it or its reach touches, and meets those that begin there. The gap to what follows grows along the contig, so all within
+    distance come before the first that is not.
     """
-    longest = features.agg(F.max(F.col("right") - F.col("left"))).first()[0] or 0
-    width = max(1, distance + longest)
+    width = max(1, distance)
     bin_of = lambda c: F.floor(F.col(c) / width)
     a = features.select("genome", "contig", "strand", F.col("fid").alias("fid1"), F.col("left").alias("l1"), F.col("right").alias("r1"), F.explode(F.sequence(bin_of("left"), F.floor((F.col("right") + distance) / width))).alias("bin"))
     b = features.select("genome", "contig", "strand", F.col("fid").alias("fid2"), F.col("left").alias("l2"), F.col("right").alias("r2"), bin_of("left").alias("bin"))
     after = (F.col("l2") > F.col("l1")) | ((F.col("l2") == F.col("l1")) & (F.col("fid2") > F.col("fid1")))
     pairs = a.join(b, ["genome", "contig", "strand", "bin"]).where(after).withColumn("gap", F.greatest(F.col("l2") - F.col("r1"), F.col("l1") - F.col("r2")))
-    w = Window.partitionBy("genome", "fid1").orderBy("l2", "fid2").rowsBetween(Window.unboundedPreceding, 0)
-    return pairs.withColumn("worst", F.max("gap").over(w)).where(F.col("worst") <= distance).select("genome", "fid1", "fid2", "gap")
+    return pairs.where(F.col("gap") <= distance).select("genome", "fid1", "fid2", "gap")
 
 
 FINDERS = {"ADJACENT": adjacent, "CLOSE": close}
@@ -214,6 +212,31 @@ def coupled_features(pairs: DataFrame, couplings: DataFrame) -> DataFrame:
     return found.groupBy("class1", "class2").agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("f")), ",").alias("features"))
 
 
+def run_statistics(totals: DataFrame) -> DataFrame:
+    """(pairs, mean_size, max_size) of the pairs a run gives out."""
+    return totals.agg(F.count("*").alias("pairs"), F.avg("size").alias("mean_size"), F.max("size").alias("max_size"))
+
+
+def couplings_of_genomes(pairs: DataFrame, couplings: DataFrame, features: DataFrame) -> DataFrame:
+    """(genome, couplings): how many neighbour pairs of a genome are coupled; genomes without any are left out."""
+    linked = link_back(pairs, couplings).where(F.col("fid") < F.col("target")).groupBy("genome").agg(F.count("*").alias("couplings"))
+    return features.select("genome").distinct().join(linked, "genome")
+
+
+def report_lines(report: DataFrame, kind: str = "ROLES") -> DataFrame:
+    """(line): a report as tab-separated text; families have their products beside them."""
+    classes = ("class1", "class2") if kind == "ROLES" else ("class1", "family_product1", "class2", "family_product2")
+    return report.select(F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (*classes, "size", "weight")]).alias("line"))
+
+
+def read_report(lines: DataFrame, kind: str = "ROLES") -> DataFrame:
+    """(class1, class2, size, strength) of a report's lines, the pair in canonical order; lines with too few fields don't count."""
+    part, (one, two, size) = F.split("line", "\t"), (0, 1, 2) if kind == "ROLES" else (0, 2, 4)
+    rows = lines.select(part.alias("p")).where(F.size("p") > size + 1)
+    low, high = canonical_pair(F.get("p", F.lit(one)), F.get("p", F.lit(two)))
+    return rows.select(low.alias("class1"), high.alias("class2"), F.get("p", F.lit(size)).try_cast("long").alias("size"), F.get("p", F.lit(size + 1)).try_cast("double").alias("strength")).where("size IS NOT NULL")
+
+
 def named(report: DataFrame, names: DataFrame) -> DataFrame:
     """report with family_product1 and family_product2 from names (class, name); '' where there is none."""
     out = report

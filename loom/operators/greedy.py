@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loom.plans.shared import written
 
+#: Undecided edges that one task finishes; more go through further rounds.
+SMALL = 200_000
+
 
 def select_representatives(nodes: DataFrame, edges: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     """The nodes (id, priority) that the sequential greedy walk by ascending (priority, id) keeps.
@@ -14,7 +21,7 @@ def select_representatives(nodes: DataFrame, edges: DataFrame, seeds: DataFrame
     edges (id1, id2) join items that resemble each other, in either direction. seeds (id) are kept whatever they resemble,
     and are not returned. Each round keeps the items without an undecided better neighbour and drops the neighbours of
     those, so the result is the lexicographically first maximal independent set; rounds are few on similarity graphs.
-    A round writes its remaining edges, once, to the shared folder, so lineage stays short and lost executors do not lose it.
+    When SMALL edges or fewer are left, one task decides the rest. A round writes its remaining edges, once, to the shared folder, so lineage stays short and lost executors do not lose it.
     """
     order = nodes.select("id", "priority")
     ranked = edges.join(order.select(F.col("id").alias("id1"), F.col("priority").alias("p1")), "id1").join(order.select(F.col("id").alias("id2"), F.col("priority").alias("p2")), "id2")
@@ -28,10 +35,12 @@ def select_representatives(nodes: DataFrame, edges: DataFrame, seeds: DataFrame
         dropped.append(gone)
         graph = _without(graph, gone, "lo", "hi")
     while True:
+        graph = written(graph)
+        if graph.count() <= SMALL:
+            dropped.append(written(graph.coalesce(1).mapInPandas(_finish, graph.select(F.col("hi").alias("id")).schema)))
+            break
         blocked = graph.select(F.col("hi").alias("lo"), F.lit(True).alias("blocked")).distinct()
         marked = written(graph.join(blocked, "lo", "left").select("lo", "hi", F.col("blocked").isNull().alias("free")))
-        if marked.isEmpty():
-            break
         gone = marked.where("free").select(F.col("hi").alias("id")).distinct()
         dropped.append(gone)
         graph = _without(marked.where("NOT free").select("lo", "hi"), gone, "lo", "hi")
@@ -41,6 +50,28 @@ def select_representatives(nodes: DataFrame, edges: DataFrame, seeds: DataFrame
     return out
 
 
+def _finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The dropped nodes of a small graph (lo, hi): nodes are decided once all before them are, each edge is read once."""
+    parts = list(batches)
+    if not parts:
+        return
+    edges = pd.concat(parts)
+    after, waits = defaultdict(list), defaultdict(int)
+    for lo, hi in zip(edges["lo"], edges["hi"], strict=True):
+        after[lo].append(hi)
+        waits[hi] += 1
+    ready, gone = [x for x in after if x not in waits], set()
+    while ready:
+        node = ready.pop()
+        for hi in after[node]:
+            if node not in gone:
+                gone.add(hi)
+            waits[hi] -= 1
+            if not waits[hi]:
+                ready.append(hi)
+    yield pd.DataFrame({"id": edges["hi"].drop_duplicates().loc[lambda x: x.isin(gone)]})
+
+
 def _without(graph: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
     for c in columns:
         graph = graph.join(ids.withColumnRenamed("id", c), c, "left_anti")

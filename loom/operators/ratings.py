@@ -79,6 +79,17 @@ def rating_counts(genomes: DataFrame) -> DataFrame:
     return genomes.groupBy("rating").agg(F.count("*").alias("count"))
 
 
+def ssu_features(features: DataFrame, pattern: str, least: int) -> DataFrame:
+    """Features (product, length, ...) whose product the pattern finds and that are at least so long."""
+    return features.where(F.col("product").rlike(pattern) & (F.col("length") >= least))
+
+
+def sequence_of_checksum(rows: DataFrame, sequences: DataFrame, checksum: str = "md5", seq: str = "seq") -> DataFrame:
+    """rows with the sequence of their checksum, null where none has it; of several the least one."""
+    known = sequences.groupBy(checksum).agg(F.min(seq).alias(seq))
+    return rows.join(known, checksum, "left")
+
+
 def max_pair_distance(seqs: DataFrame, group: str, k: int = 15) -> DataFrame:
     """(group, count, max_dist) of groups of two sequences and more. seqs: (group, id, seq).
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from loom.functions.sequences import percent_threshold, role_type
+from loom.functions.sequences import percent_threshold, role_type, without_comment
 from loom.functions.stats import sample_deviation
 
 REPORTS = {"FULL": ("MISSING", "GOOD", "OVER_PRESENT"), "MISSING": ("MISSING",), "OVER_PRESENT": ("OVER_PRESENT",), "BAD": ("MISSING", "OVER_PRESENT")}
@@ -26,14 +27,39 @@ def universal_roles(features: DataFrame, percent: float = 80.0) -> DataFrame:
     return out.select("role", "count", (F.col("count") * 100.0 / F.col("genomes")).alias("percent"), "mean_len", "sdev_len", F.coalesce("families", F.lit("")).alias("families"))
 
 
+def in_domains(features: DataFrame, genomes: DataFrame, domains: tuple[str, ...] = DOMAINS) -> DataFrame:
+    """The features of genomes (genome, domain) of the given domains."""
+    return features.join(genomes.where(F.col("domain").isin(*domains)).select("genome").distinct(), "genome", "left_semi")
+
+
+def with_seed(features: DataFrame, seed: str) -> DataFrame:
+    """The features of genomes that have a feature of the seed role; the others are skipped."""
+    return features.join(features.where(F.col("role") == seed).select("genome").distinct(), "genome", "left_semi")
+
+
+def in_lineage_order(counts: DataFrame, genomes: DataFrame) -> DataFrame:
+    """counts with taxonomy and its place within the role: by lineage, step by step, a shorter one first, then by genome.
+
+    genomes: (genome, lineage array).
+    """
+    out = counts.join(genomes.select("genome", "lineage", F.array_join("lineage", ", ").alias("taxonomy")), "genome")
+    return out.withColumn("place", F.row_number().over(Window.partitionBy("role").orderBy("lineage", "genome"))).drop("lineage")
+
+
+def role_ids(names: DataFrame) -> DataFrame:
+    """(role, role_id): names that differ only in case, comments, blanks and punctuation share an id, whatever else there is."""
+    plain = F.trim(F.regexp_replace(F.lower(without_comment(F.col("role"))), r"[^a-z0-9]+", " "))
+    return names.select("role").where("role IS NOT NULL").distinct().withColumn("role_id", F.substring(F.md5(plain), 1, 12))
+
+
 def role_counts(roles: DataFrame, genomes: DataFrame, features: DataFrame, report: str = "FULL") -> DataFrame:
     """(role, genome, count, type): for the report's types, 0 included.
 
     roles (role) is the list that someone asks for and genomes (genome) the table at hand; the grid of both is the result
-    itself. It is made by an explode of the list, one array in each row, not by a cross join.
+    itself. It is made by an explode of the list, which is one row of the right side.
     """
-    asked = roles.select("role").distinct().agg(F.sort_array(F.collect_list("role")).alias("roles")).first().roles
-    grid = genomes.select("genome", F.explode(F.array(*[F.lit(r) for r in asked]).cast("array<string>")).alias("role"))
+    asked = roles.select("role").distinct().agg(F.sort_array(F.collect_list("role")).alias("roles"))
+    grid = genomes.select("genome").crossJoin(F.broadcast(asked)).select("genome", F.explode("roles").alias("role"))  # one row
     counts = features.groupBy("genome", "role").agg(F.count("*").alias("n"))
     n = F.coalesce("n", F.lit(0))
     return grid.join(counts, ["genome", "role"], "left").select("role", "genome", n.alias("count"), role_type(n).alias("type")).where(F.col("type").isin(*REPORTS[report]))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loom.functions.sequences import last_mismatch
 
@@ -55,14 +56,15 @@ def lineage_text(taxonomy: Column, domain: Column, least_rank: str = "SPECIES")
 def hierarchy_errors(good: DataFrame, levels: list[int]) -> DataFrame:
     """(id, level, expected, actual): where a genome's representatives differ from those of its finest one, at the finest level.
 
-    good: (id, rep<level> ...). expected are the finest representative's own representatives; one that is no row of good
-    has none, and its genomes are left out.
+    good: (id, rep<level> ...). expected are the finest representative's own representatives. Where that one is no row of
+    good nothing can be expected: its genomes are errors of the finest level, with expected null.
     """
     cols = [f"rep{n}" for n in sorted(levels)]
     own = F.array(*[F.col(c) for c in cols])
     reps = good.select(F.col("id").alias(cols[-1]), own.alias("expected"))
-    both = good.select("id", cols[-1], own.alias("actual")).join(reps, cols[-1])
-    bad = both.withColumn("at", last_mismatch(F.col("expected"), F.col("actual"))).where("at IS NOT NULL")
+    both = good.select("id", cols[-1], own.alias("actual")).join(reps, cols[-1], "left")
+    found = F.when(F.col("expected").isNull(), F.lit(len(cols) - 1)).otherwise(last_mismatch(F.col("expected"), F.col("actual")))
+    bad = both.withColumn("at", found).where("at IS NOT NULL")
     return bad.select("id", F.get(F.array(*[F.lit(n) for n in sorted(levels)]), F.col("at")).alias("level"), F.get("expected", F.col("at")).alias("expected"), F.get("actual", F.col("at")).alias("actual"))
 
 
@@ -79,6 +81,14 @@ def multiple_parents(edges: DataFrame) -> DataFrame:
     return edges.join(many.select("level", "id"), ["level", "id"], "left_semi")
 
 
+def blanked(edges: DataFrame) -> DataFrame:
+    """multiple_parents() as printed: (level, id, place, child, set_name, parent), child and set_name blank after the first parent."""
+    place = F.row_number().over(Window.partitionBy("level", "id").orderBy("parent"))
+    rows = multiple_parents(edges).withColumn("place", place)
+    shown = lambda c: F.when(F.col("place") == 1, c).otherwise("")
+    return rows.select("level", "id", "place", shown(F.col("id").cast("string")).alias("child"), shown(F.concat(F.lit("rep"), F.col("level").cast("string"))).alias("set_name"), "parent")
+
+
 def tree(edges: DataFrame, levels: list[int]) -> DataFrame:
     """(depth, id, path): every representative below every chain of parents, as many joins as there are levels."""
     n = sorted(levels)

@@ -130,13 +130,20 @@ VERDICTS = f"""{SEQS}, {kmers()}, {sizes('kmers', 'sizes')},
         WHEN useful > 1 AND coalesce(close, 0) < useful * (useful - 1) // 2 THEN 'BAD_SSU' WHEN longest < 800 THEN 'SHORT_SSU' ELSE rating END AS rating, ssu
       FROM sums s LEFT JOIN near ON near.conv_id = s.id)"""
 
-COMPARED = f"""{SEQS}, {kmers(4, 'k4')}, {kmers(8, 'k8')}, {own('s4', 'system', 'k4')}, {own('s8', 'system', 'k8')}, {sizes('s4', 'n4')}, {sizes('s8', 'n8')},
-    {pairs('s4', 'p4', 'n4')}, {pairs('s8', 'p8', 'n8')},
-    compared AS MATERIALIZED (SELECT id1, id2, coalesce(p8.distance, 1.0) AS seed_dist, p4.distance AS rna_dist FROM p4 LEFT JOIN p8 USING (id1, id2)),
+COMPARED = f"""{SEQS}, {kmers(4, 'k4')}, {kmers(8, 'k8')}, {sizes('k4', 'n4')}, {sizes('k8', 'n8')}, {pairs('k4', 'p4', 'n4')}, {pairs('k8', 'p8', 'n8')},
+    compared AS MATERIALIZED (
+      SELECT a.id AS id1, b.id AS id2, coalesce(p8.distance, 1.0) AS seed_dist, coalesce(p4.distance, 1.0) AS rna_dist
+      FROM seqs a JOIN seqs b ON a.id < b.id LEFT JOIN p8 ON p8.id1 = a.id AND p8.id2 = b.id LEFT JOIN p4 ON p4.id1 = a.id AND p4.id2 = b.id),
     each AS (SELECT id1 AS id, seed_dist, rna_dist FROM compared UNION ALL SELECT id2, seed_dist, rna_dist FROM compared)"""
 
 
 def oracle_sql() -> dict[str, str]:
+    from loom import report_oracles
+
+    return {**_own(), **report_oracles.oracle_sql()}
+
+
+def _own() -> dict[str, str]:
     event_totals = "SELECT class1, class2, size, weight, sub_match, sub_fail FROM totals"
     best = "SELECT id, arg_min(ref_id, (-sim, ref_id)) AS ref_id, max(sim) AS sim, arg_min(distance, (-sim, ref_id)) AS distance FROM sims GROUP BY id"
     near_sql = f"WITH {USERS}, best AS ({best}), out AS (SELECT id, ref_id, coalesce(sim, 0) AS sim, coalesce(distance, 1.0) AS distance, coalesce(sim, 0) < 10 AS outlier FROM (SELECT DISTINCT id FROM u) LEFT JOIN best USING (id))"
@@ -161,7 +168,12 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT DISTINCT id FROM u8) x JOIN (SELECT DISTINCT id FROM u12) y USING (id) LEFT JOIN b8 USING (id) LEFT JOIN b12 USING (id)""",
         "greedy_representatives": f"WITH RECURSIVE {ALL}, {walk('kept', 'id', near('sim >= 10'))} SELECT id FROM kept",
         "deferred_priority_build": f"WITH RECURSIVE {ALL}, {walk('kept', 'late, id', near('sim >= 10'), nodes=chr(10) + 'SELECT id, length(seq) - length(replace(seq, $$x$$, $$$$)) >= 4 AS late FROM seqs')} SELECT id FROM kept",
-        "greedy_by_distance": f"WITH RECURSIVE {ALL}, ends AS (SELECT id1 AS id, sim FROM pairs WHERE distance <= 0.97 UNION ALL SELECT id2, sim FROM pairs WHERE distance <= 0.97), tot AS MATERIALIZED (SELECT id, sum(sim) AS total FROM ends GROUP BY id), {walk('kept', 'total DESC, id', near('distance <= 0.97'), nodes='SELECT id, total FROM tot')} SELECT id FROM kept",
+        "greedy_by_distance": f"""WITH RECURSIVE {ALL}, n AS (SELECT count(*) - 1 AS n FROM seqs),
+            ends AS (SELECT id1 AS id, distance FROM pairs UNION ALL SELECT id2, distance FROM pairs),
+            tot AS MATERIALIZED (
+              SELECT id, round(n - sum(1 - distance), 9) AS total, round(sqrt(greatest((sum((1 - distance) ** 2) - sum(1 - distance) ** 2 / n) / (n - 1), 0)), 9) AS deviation
+              FROM ends, n GROUP BY id, n HAVING min(distance) <= 0.995),
+            {walk('kept', 'total, deviation, id', near('distance <= 0.995'), nodes='SELECT id, total, deviation FROM tot')} SELECT id FROM kept""",
         "updated_representatives": f"WITH RECURSIVE {ALL}, old AS (SELECT id FROM seqs WHERE role = 'system'), {walk('kept', 'id', near('sim >= 10'), 'old')} SELECT id FROM kept WHERE id NOT IN (SELECT id FROM old)",
         "nested_levels": f"WITH RECURSIVE {ALL}, {levels('id')} SELECT level, id FROM reps",
         "level_lists": f"WITH RECURSIVE {BUILD} SELECT id, domain, level, ref_id AS rep_id, sim AS score, distance FROM placed JOIN rated USING (id)",
@@ -213,9 +225,10 @@ def oracle_sql() -> dict[str, str]:
         "lineage_string": f"""WITH {CUSTOMERS} SELECT c_custkey, CASE WHEN c_custkey % 3 < 2 THEN c_name || ', ' || n_name || ', ' || r_name WHEN c_custkey % 2 = 0 THEN n_name || ', ' || r_name ELSE 'Bacteria' END AS taxonomy FROM cust""",
         "lineage_parse": f"""WITH {CUSTOMERS} SELECT c_custkey AS id, 'n' || c_nationkey AS genus, lower(c_mktsegment) AS species, CASE WHEN n_regionkey = 2 THEN 'Archaea' ELSE 'Bacteria' END AS domain,
             CASE WHEN c_mktsegment = 'BUILDING' THEN 4 ELSE 11 END AS genetic_code FROM cust WHERE c_custkey % 4 > 0""",
-        "hierarchy_errors": f"""WITH {GOOD} SELECT g.id, CASE WHEN r.rep100 <> g.rep100 THEN 100 WHEN r.rep50 <> g.rep50 THEN 50 ELSE 10 END AS level,
-            CASE WHEN r.rep100 <> g.rep100 THEN r.rep100 WHEN r.rep50 <> g.rep50 THEN r.rep50 ELSE r.rep10 END AS expected, CASE WHEN r.rep100 <> g.rep100 THEN g.rep100 WHEN r.rep50 <> g.rep50 THEN g.rep50 ELSE g.rep10 END AS actual
-            FROM good g JOIN good r ON r.id = g.rep100 WHERE r.rep100 <> g.rep100 OR r.rep50 <> g.rep50 OR r.rep10 <> g.rep10""",
+        "hierarchy_errors": f"""WITH {GOOD} SELECT g.id, CASE WHEN r.id IS NULL OR r.rep100 <> g.rep100 THEN 100 WHEN r.rep50 <> g.rep50 THEN 50 ELSE 10 END AS level,
+            CASE WHEN r.id IS NULL OR r.rep100 <> g.rep100 THEN r.rep100 WHEN r.rep50 <> g.rep50 THEN r.rep50 ELSE r.rep10 END AS expected,
+            CASE WHEN r.id IS NULL OR r.rep100 <> g.rep100 THEN g.rep100 WHEN r.rep50 <> g.rep50 THEN g.rep50 ELSE g.rep10 END AS actual
+            FROM good g LEFT JOIN good r ON r.id = g.rep100 WHERE r.id IS NULL OR r.rep100 <> g.rep100 OR r.rep50 <> g.rep50 OR r.rep10 <> g.rep10""",
         "multi_parent": f"WITH {GOOD} SELECT level, id, parent FROM (SELECT *, count(*) OVER (PARTITION BY level, id) AS n FROM edges) WHERE n > 1",
         "hierarchy_tree": f"""WITH {GOOD}, l0 AS (SELECT DISTINCT parent AS id, parent::VARCHAR AS path FROM edges WHERE level = 50), l1 AS (SELECT e.id, path || '>' || e.id AS path FROM l0 JOIN edges e ON e.parent = l0.id AND level = 50),
             l2 AS (SELECT e.id, path || '>' || e.id AS path FROM l1 JOIN edges e ON e.parent = l1.id AND level = 100)
@@ -237,15 +250,21 @@ def oracle_sql() -> dict[str, str]:
               SELECT s.conv_id, s.id AS id1, t.id AS id2, count(b.kmer) AS sim FROM seqs s JOIN seqs t ON s.conv_id = t.conv_id AND s.id < t.id JOIN kmers a ON a.id = s.id LEFT JOIN kmers b ON b.id = t.id AND a.kmer = b.kmer GROUP BY ALL),
             d AS (SELECT p.conv_id, max(CASE WHEN sim = 0 THEN 1.0 ELSE 1.0 - sim::DOUBLE / (x.n + y.n - sim) END) AS far FROM inner_pairs p JOIN sizes x ON x.id = id1 JOIN sizes y ON y.id = id2 GROUP BY p.conv_id)
             SELECT conv_id, count(*) AS count, max(far) AS max_dist FROM seqs JOIN d USING (conv_id) GROUP BY conv_id HAVING count(*) > 1""",
-        "seq_compare": f"WITH {COMPARED} SELECT * FROM compared",
+        "seq_compare": f"WITH {COMPARED} SELECT * FROM compared WHERE rna_dist < 1",
         "seq_correlation": f"WITH {COMPARED} SELECT count(*) AS pairs, round(corr(seed_dist, rna_dist), 6) AS pearson FROM compared",
         "error_summary": f"WITH {COMPARED} SELECT id, round(avg(abs(seed_dist - rna_dist)), 6) AS mean_error, round(coalesce(stddev_samp(abs(seed_dist - rna_dist)), 0), 6) AS sd_error FROM each GROUP BY id",
-        "kendall_summary": f"""WITH {COMPARED}, p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seed_dist, rna_dist) AS i FROM each),
-            s AS (SELECT a.id, sum(sign(a.seed_dist - b.seed_dist) * sign(a.rna_dist - b.rna_dist)) AS s, sum(abs(sign(a.seed_dist - b.seed_dist))) AS nx, sum(abs(sign(a.rna_dist - b.rna_dist))) AS ny FROM p a JOIN p b ON a.id = b.id AND a.i < b.i GROUP BY a.id)
-            SELECT e.id, count(*) AS n, CASE WHEN any_value(nx * ny) > 0 THEN round(any_value(s / sqrt((nx * ny)::DOUBLE)), 6) END AS tau, CASE WHEN stddev_pop(seed_dist) * stddev_pop(rna_dist) > 1e-12 THEN round(corr(seed_dist, rna_dist), 6) END AS pearson FROM each e LEFT JOIN s ON s.id = e.id GROUP BY e.id""",
-        "neighbor_stats": f"""WITH {SEQS}, {kmers(4)}, {own('q', 'system')}, {own('r', 'assistant')}, {cross('q', 'r')},
-            g AS (SELECT id, list_sort(list(distance)) AS d, count(*) AS n, avg(distance) AS m, coalesce(stddev_samp(distance), 0) AS sd FROM sims GROUP BY id)
-            SELECT id, round(d[1], 6) AS min, round(d[least(101, n)], 6) AS v100, round({percentile(0.25)}, 6) AS q1, round({percentile(0.5)}, 6) AS q2, round({percentile(0.75)}, 6) AS q3, round(d[n], 6) AS max, round(m, 6) AS mean, round(sd, 6) AS sdev FROM g""",
+        "kendall_summary": f"""WITH {COMPARED}, p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seed_dist, rna_dist) AS i FROM each WHERE rna_dist < 1),
+            far AS (SELECT id, count(*) AS far FROM each WHERE rna_dist >= 1 GROUP BY id),
+            s AS (SELECT a.id, sum(sign(a.seed_dist - b.seed_dist) * sign(a.rna_dist - b.rna_dist)) AS s, sum(abs(sign(a.seed_dist - b.seed_dist))) AS nx, sum(abs(sign(a.rna_dist - b.rna_dist))) AS ny FROM p a JOIN p b ON a.id = b.id AND a.i < b.i GROUP BY a.id),
+            t AS (SELECT id, count(*) FILTER (seed_dist < 1) AS below_x, count(*) AS below_y FROM p GROUP BY id),
+            k AS (SELECT t.id, coalesce(s, 0) + coalesce(far, 0) * below_x AS s, coalesce(nx, 0) + coalesce(far, 0) * below_x AS nx, coalesce(ny, 0) + coalesce(far, 0) * below_y AS ny FROM t LEFT JOIN s USING (id) LEFT JOIN far USING (id))
+            SELECT e.id, count(*) AS n, CASE WHEN any_value(nx * ny) > 0 THEN round(any_value(s / sqrt((nx * ny)::DOUBLE)), 6) END AS tau, CASE WHEN stddev_pop(seed_dist) * stddev_pop(rna_dist) > 1e-12 THEN round(corr(seed_dist, rna_dist), 6) END AS pearson FROM each e LEFT JOIN k ON k.id = e.id GROUP BY e.id""",
+        "neighbor_stats": f"""WITH {SEQS}, {kmers(4, 'k4')}, {kmers(8, 'k8')}, q8 AS (SELECT k.* FROM k8 k JOIN seqs USING (id) WHERE role <> 'assistant'), q4 AS (SELECT k.* FROM k4 k JOIN seqs USING (id) WHERE role <> 'assistant'),
+            {own('r8', 'assistant', 'k8')}, {own('r4', 'assistant', 'k4')}, {cross('q8', 'r8', 's8')}, {cross('q4', 'r4', 's4')},
+            every AS (SELECT s.id, r.id AS ref_id, m.measure FROM seqs s, seqs r, (VALUES ('seed'), ('rna')) m(measure) WHERE s.role <> 'assistant' AND r.role = 'assistant'),
+            x AS (SELECT e.*, coalesce(CASE measure WHEN 'seed' THEN s8.distance ELSE s4.distance END, 1.0) AS distance FROM every e LEFT JOIN s8 USING (id, ref_id) LEFT JOIN s4 USING (id, ref_id)),
+            g AS (SELECT id, measure, list_sort(list(distance)) AS d, count(*) AS n, avg(distance) AS m, coalesce(stddev_samp(distance), 0) AS sd FROM x GROUP BY id, measure)
+            SELECT id, measure, round(d[1], 6) AS min, round(d[least(101, n)], 6) AS v100, round({percentile(0.25)}, 6) AS q1, round({percentile(0.5)}, 6) AS q2, round({percentile(0.75)}, 6) AS q3, round(d[n], 6) AS max, round(m, 6) AS mean, round(sd, 6) AS sdev FROM g""",
         "discriminating_kmers": """WITH t AS (SELECT DISTINCT c_custkey AS id, substring(c_name, i::INT, 4) AS kmer FROM (SELECT *, unnest(range(1, length(c_name) - 2)) AS i FROM customer)),
             o AS (SELECT DISTINCT substring(s_name, i::INT, 4) AS kmer FROM (SELECT *, unnest(range(1, length(s_name) - 2)) AS i FROM supplier))
             SELECT kmer FROM t GROUP BY kmer HAVING count(*) = (SELECT count(DISTINCT id) FROM t) EXCEPT SELECT kmer FROM o""",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loom.functions import stats
@@ -150,12 +150,18 @@ def deferred_priority_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def greedy_by_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By the sum of distances; those without a neighbour within 0.97 are dropped, and no two kept lie within it."""
-    idx = index(spark, sf_dir)
-    near = written(similarity.pair_distances(idx).where("distance <= 0.97"))
-    both = near.select(F.col("id1").alias("id"), "sim").union(near.select(F.col("id2").alias("id"), "sim"))
-    nodes = both.groupBy("id").agg(F.sum("sim").alias("total"))
-    return greedy.select_representatives(nodes.select("id", F.struct((-F.col("total")).alias("t"), "id").alias("priority")), near).select("id")
+    """By the sum of distances to all others, then their deviation, then id; those farther than 0.995 from all are dropped.
+
+    What shares no k-mer is at distance 1, so the sums start from the number of sequences and near pairs correct them.
+    """
+    n = sequences(spark, sf_dir).count() - 1
+    near = written(similarity.pair_distances(index(spark, sf_dir)).select("id1", "id2", "distance"))
+    both = near.select(F.col("id1").alias("id"), "distance").union(near.select(F.col("id2").alias("id"), "distance"))
+    u = 1 - F.col("distance")
+    sums = both.groupBy("id").agg(F.sum(u).alias("u"), F.sum(u * u).alias("uu"), F.min("distance").alias("least")).where("least <= 0.995")
+    deviation = stats.deviation_of_sums(F.lit(n), F.col("u"), F.col("uu"))
+    nodes = sums.select("id", F.struct(F.round(n - F.col("u"), 9).alias("total"), F.round(deviation, 9).alias("deviation"), "id").alias("priority"))
+    return greedy.select_representatives(nodes, near.where("distance <= 0.995")).select("id")
 
 
 def updated_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,7 +279,7 @@ def universal_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     feats = lines.join(part, lines.l_partkey == part.p_partkey).select(F.col("l_orderkey").alias("genome"), F.col("p_type").alias("role"), F.col("l_quantity").alias("length"), F.col("p_brand").alias("family"))
     out = roles.universal_roles(feats, 15.0)
-    return out.select("role", "count", "families", *[F.round(c, 6).alias(c) for c in ("percent", "mean_len", "sdev_len")])
+    return out.select("role", "count", "families", *[F.round(c, 6).alias(c) for c in ("percent", "mean_len", "sdev_len")]).orderBy(F.desc("count"), "role")
 
 
 def missing_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,7 +307,7 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tax_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return taxonomy.taxon_report(_customers(spark, sf_dir), "n_regionkey", "c_nationkey", "c_mktsegment")
+    return taxonomy.taxon_report(_customers(spark, sf_dir), "n_regionkey", "c_nationkey", "c_mktsegment").orderBy(F.desc("count"), "tax_id", "repgen_id")
 
 
 def lineage_string(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -380,18 +386,32 @@ def max_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id1, id2, seed_dist, rna_dist) of system turns that share four letters."""
-    rna = similarity.pair_distances(index(spark, sf_dir, 4, "system")).select("id1", "id2", F.col("distance").alias("rna_dist"))
-    seed = similarity.pair_distances(index(spark, sf_dir, K, "system")).select("id1", "id2", F.col("distance").alias("seed_dist"))
+    """(id1, id2, seed_dist, rna_dist) of all turns that share four letters; all other pairs are at (1, 1)."""
+    rna = similarity.pair_distances(index(spark, sf_dir, 4)).select("id1", "id2", F.col("distance").alias("rna_dist"))
+    seed = similarity.pair_distances(index(spark, sf_dir, K)).select("id1", "id2", F.col("distance").alias("seed_dist"))
     return rna.join(seed, ["id1", "id2"], "left").select("id1", "id2", F.coalesce("seed_dist", F.lit(1.0)).alias("seed_dist"), "rna_dist")
 
 
 def seq_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs that are not at (1, 1)."""
     return _compared(spark, sf_dir)
 
 
+def _sums(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Sums over 1 - distance, in which pairs at distance 1 are 0."""
+    u, v = 1 - F.col("seed_dist"), 1 - F.col("rna_dist")
+    d = F.abs(F.col("seed_dist") - F.col("rna_dist"))
+    return rows.groupBy(*by).agg(F.count("*").alias("near"), F.sum(u).alias("u"), F.sum(v).alias("v"), F.sum(u * u).alias("uu"), F.sum(v * v).alias("vv"), F.sum(u * v).alias("uv"), F.sum(d).alias("d"), F.sum(d * d).alias("dd"))
+
+
+def _pearson(n: Column) -> Column:
+    return F.round(stats.pearson_of_sums(n, *[F.col(c) for c in ("u", "v", "uu", "vv", "uv")]), 6)
+
+
 def seq_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _compared(spark, sf_dir).agg(F.count("*").alias("pairs"), F.round(stats.pearson(F.col("seed_dist"), F.col("rna_dist")), 6).alias("pearson"))
+    """Over all pairs; those at (1, 1) enter by their number."""
+    n = sequences(spark, sf_dir).count()
+    return _sums(_compared(spark, sf_dir), []).select(F.lit(n * (n - 1) // 2).cast("long").alias("pairs"), _pearson(F.lit(float(n * (n - 1) // 2))).alias("pearson"))
 
 
 def _each(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -400,25 +420,42 @@ def _each(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = F.abs(F.col("seed_dist") - F.col("rna_dist"))
-    return _each(spark, sf_dir).groupBy("id").agg(F.round(F.avg(d), 6).alias("mean_error"), F.round(stats.sample_deviation(d), 6).alias("sd_error"))
+    """Each turn's errors against all others, the largest mean first."""
+    n = sequences(spark, sf_dir).count() - 1
+    out = sequences(spark, sf_dir).select("id").join(_sums(_each(spark, sf_dir), ["id"]), "id", "left").fillna(0.0, ["d", "dd"])
+    out = out.select("id", F.round(F.col("d") / n, 6).alias("mean_error"), F.round(stats.deviation_of_sums(F.lit(n), F.col("d"), F.col("dd")), 6).alias("sd_error"))
+    return out.orderBy(F.desc("mean_error"), "id")
 
 
 def kendall_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _each(spark, sf_dir)
-    pearson = rows.groupBy("id").agg(F.round(stats.pearson(F.col("seed_dist"), F.col("rna_dist")), 6).alias("pearson"))
-    tau = stats.kendall_tau(rows, "id", "seed_dist", "rna_dist")
-    return tau.join(pearson, "id").select("id", "n", F.round("tau", 6).alias("tau"), "pearson")
+    """Each turn's rank and linear correlation of the two distances to all others, the smallest linear one first."""
+    n, rows = sequences(spark, sf_dir).count() - 1, _each(spark, sf_dir)
+    sums = written(_sums(rows, ["id"]))
+    tau = stats.kendall_tau(rows.join(sums.select("id", (n - F.col("near")).alias("far")), "id"), "id", "seed_dist", "rna_dist", "far")
+    out = sequences(spark, sf_dir).select("id").join(tau.select("id", "tau"), "id", "left").join(sums, "id", "left")
+    out = out.select("id", F.lit(n).cast("long").alias("n"), F.round("tau", 6).alias("tau"), _pearson(F.lit(float(n))).alias("pearson"))
+    return out.orderBy("pearson", "id")
 
 
 def neighbor_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order statistics of each system turn's distances to the assistant turns that share four letters."""
-    q, r = index(spark, sf_dir, 4, "system"), index(spark, sf_dir, 4, "assistant")
-    d = similarity.with_distance(similarity.cross_sims(q, r), "id", similarity.sizes(q), "ref_id", similarity.sizes(r))
-    got = d.groupBy("id").agg(F.sort_array(F.collect_list("distance")).alias("d"), F.avg("distance").alias("mean"), stats.sample_deviation(F.col("distance")).alias("sdev"))
-    s = F.col("d")
-    cols = {"min": F.get(s, F.lit(0)), "v100": stats.order_statistic(s, 100), "q1": stats.percentile(s, 0.25), "q2": stats.percentile(s, 0.5), "q3": stats.percentile(s, 0.75), "max": F.get(s, F.size(s) - 1), "mean": F.col("mean"), "sdev": F.col("sdev")}
-    return got.select("id", *[F.round(c, 6).alias(n) for n, c in cols.items()])
+    """Order statistics of each other turn's distances to all assistant turns, by two measures; what shares nothing is at 1."""
+    out = None
+    refs = sequences(spark, sf_dir).where("role = 'assistant'").count()
+    others = sequences(spark, sf_dir).where("role <> 'assistant'").select("id")
+    for measure, k in (("seed", K), ("rna", 4)):
+        r = written(index(spark, sf_dir, k, "assistant"))
+        q = written(index(spark, sf_dir, k).join(others, "id", "left_semi"))
+        d = similarity.with_distance(similarity.cross_sims(q, r), "id", similarity.sizes(q), "ref_id", similarity.sizes(r))
+        u = 1 - F.col("distance")
+        got = d.groupBy("id").agg(F.sort_array(F.collect_list("distance")).alias("d"), F.sum(u).alias("u"), F.sum(u * u).alias("uu"))
+        got = others.join(got, "id", "left").select("id", F.coalesce("d", F.array().cast("array<double>")).alias("d"), F.coalesce("u", F.lit(0.0)).alias("u"), F.coalesce("uu", F.lit(0.0)).alias("uu"))
+        s, n, far = F.col("d"), F.lit(refs), F.lit(1.0)
+        at = lambda i: F.coalesce(F.get(s, i), far)  # noqa: B023, E731
+        cols = {"min": at(F.lit(0)), "v100": at(F.least(F.lit(100), n - 1)), "max": at(n - 1), "mean": 1 - F.col("u") / n, "sdev": stats.deviation_of_sums(n, F.col("u"), F.col("uu"))}
+        cols |= {f"q{i}": stats.padded_percentile(s, n, far, i / 4) for i in (1, 2, 3)}
+        part = got.select("id", F.lit(measure).alias("measure"), *[F.round(c, 6).alias(name) for name, c in cols.items()])
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # --- sets --------------------------------------------------------------------------------------------------------------
@@ -471,4 +508,6 @@ QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in QUERIES}
+    from loom import report_queries
+
+    return {f.__name__: f for f in (*QUERIES, *report_queries.QUERIES)}
