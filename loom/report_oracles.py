@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from loom.functions.sequences import AMINO_ACIDS, FAR
 from loom.oracles import BUILD, CUSTOMERS, GOOD, SEQS, USERS, _own, cross, kmers, near, own, pairs, sizes, walk
 from loom.queries import LEVELS
 
@@ -47,6 +48,23 @@ def oracle_sql() -> dict[str, str]:
             SELECT level, id, place, CASE WHEN place = 1 THEN id::VARCHAR ELSE '' END AS child, CASE WHEN place = 1 THEN 'rep' || level ELSE '' END AS set_name, parent FROM m WHERE n > 1""",
         "without_species": "SELECT c_custkey AS id FROM customer WHERE c_custkey % 4 = 0",
         "fully_placed": f"WITH RECURSIVE {BUILD} SELECT id FROM placed WHERE represented GROUP BY id HAVING count(DISTINCT level) >= {len(LEVELS)}",
+        "feature_texts": """WITH e AS (SELECT *, event_id AS n, event_id % 100 AS l,
+              CASE WHEN event_id % 7 > 0 THEN 'acgt' || repeat('n', (event_id % 8)::INT) || 'acgt' END AS dna,
+              CASE WHEN event_id % 11 > 0 THEN CASE WHEN event_id % 4 = 0 THEN 'MAXX' || event_type ELSE 'MA' || upper(event_type) END END AS protein FROM events),
+            f AS (SELECT *, CASE WHEN protein IS NULL THEN [] ELSE list_distinct(list_transform(range(1, length(protein)), lambda i: substring(protein, i::INT, 2))) END AS ks,
+                  list_distinct(list_transform(range(1, 9), lambda i: substring('MAXXCLICK', i::INT, 2))) AS ref FROM e)
+            SELECT event_id, CASE WHEN n % 5 > 0 THEN user_id || '.' || (n % 30) END AS genome, CASE WHEN n % 3 = 0 THEN n || chr(9) || 'end' ELSE '' END AS after_tab,
+              CASE WHEN dna IS NULL THEN 'missing DNA' WHEN protein IS NULL THEN 'missing protein' WHEN n % 4 = 0 THEN 'ambiguous protein' END AS reason,
+              dna IS NOT NULL AND n % 8 < 5 AS valid, CASE WHEN n % 2 = 0 THEN greatest(50 - (l + 20), l - 70) ELSE 2147483647 END AS gap,
+              CASE WHEN n % 13 = 0 THEN 'MAX' ELSE (n % 50)::VARCHAR END AS shown, round(1.0::DOUBLE / (n % 50 + 1), 9) AS inverse, len(list_intersect(ks, ref)) AS shared,
+              CASE WHEN protein IS NULL THEN NULL WHEN instr(@@AA@@, protein[3]) = 0 THEN -1 ELSE (instr(@@AA@@, 'M') - 1) * 400 + (instr(@@AA@@, 'A') - 1) * 20 + instr(@@AA@@, protein[3]) - 1 END AS triplet FROM f""".replace("@@AA@@", f"'{AMINO_ACIDS}'").replace("2147483647", str(FAR)),
+        "natural_order": "SELECT (user_id % 20) || '.' || user_id AS id, row_number() OVER (PARTITION BY user_id % 20 ORDER BY user_id) AS place FROM (SELECT DISTINCT user_id FROM events)",
+        "local_families": "SELECT 'L' || (user_id % 4) || '_' || (event_id % 9) AS class, count(*) AS n, count(DISTINCT user_id) AS genomes FROM events WHERE event_id % 6 > 0 GROUP BY 1",
+        "random_families": "SELECT user_id AS genome, 'f' || floor(value / 20)::BIGINT AS class, count(*) AS n FROM events WHERE value >= 10 GROUP BY ALL",
+        "resume_after": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > (SELECT min(o_orderkey) FROM orders WHERE o_custkey = 7)",
+        "seed_proteins": "SELECT user_id AS genome, arg_min(lpad(event_id::VARCHAR, 9, '0'), (-length(props), event_id)) AS fid, max(length(props)) + 1 AS letters FROM events WHERE event_type IN ('click', 'error') GROUP BY user_id",
+        "flagged": "SELECT c_custkey AS id, c_custkey % 4 < 2 AS good FROM customer",
+        "level_folders": f"WITH RECURSIVE {BUILD} SELECT level, r.id, domain, rating FROM reps r JOIN rated USING (id)",
         "genome_modes": f"""WITH RECURSIVE {BUILD}, t AS (
               SELECT 'lists' AS name, (SELECT count(*) FROM placed) AS n UNION ALL SELECT 'groups', (SELECT count(*) FROM (SELECT DISTINCT level, ref_id FROM placed))
               UNION ALL SELECT 'good', (SELECT count(*) FROM rated) UNION ALL SELECT 'finder', (SELECT count(*) FROM placed WHERE level = {max(LEVELS)}) UNION ALL SELECT 'genomes', (SELECT count(*) FROM reps))

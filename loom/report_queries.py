@@ -6,10 +6,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loom import queries as q
+from loom.functions import kmers, sequences
 from loom.operators import coupling, nearest, ratings, roles, sets, taxonomy
 from loom.plans import build as plans
+from loom.sources import tables
 
 LEAST = 10
 
@@ -136,7 +139,69 @@ def genome_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def feature_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The column expressions on feature ids, comments, sequences and places, over all events."""
+    e = q.table(spark, sf_dir, "events")
+    n = F.col("event_id")
+    fid = F.when(n % 5 == 0, F.concat(F.lit("peg."), n.cast("string"))).otherwise(F.concat(F.lit("fig|"), F.col("user_id").cast("string"), F.lit("."), (n % 30).cast("string"), F.lit(".peg."), n.cast("string")))
+    comment = F.when(n % 3 == 0, F.concat("event_type", F.lit("\t"), n.cast("string"), F.lit("\tend"))).otherwise(F.col("event_type"))
+    dna = F.when(n % 7 > 0, F.concat(F.lit("acgt"), F.repeat(F.lit("n"), (n % 8).cast("int")), F.lit("acgt")))
+    protein = F.when(n % 11 > 0, F.when(n % 4 == 0, F.concat(F.lit("MAXX"), F.col("event_type"))).otherwise(F.concat(F.lit("MA"), F.upper("event_type"))))
+    left = n % 100
+    sim = F.when(n % 13 == 0, F.lit(sequences.INFINITE)).otherwise(n % 50)
+    return e.select(
+        "event_id", sequences.genome_of_feature(fid).alias("genome"), sequences.after_first_tab(comment).alias("after_tab"), sequences.incomplete_reason(dna, protein).alias("reason"), sequences.valid_dna(dna).alias("valid"),
+        sequences.gap(n % 2 == 0, left, left + 20, F.lit(50), F.lit(70)).alias("gap"), sequences.shown_similarity(sim).alias("shown"), F.round(kmers.inverse_similarity(n % 50), 9).alias("inverse"),
+        kmers.similarity(kmers.kmer_array(protein, 2), kmers.kmer_array(F.lit("MAXXCLICK"), 2)).alias("shared"), sequences.triplet_index(protein, F.lit(1)).alias("triplet"),
+    )
+
+
+def natural_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genome ids within their first part, in the order of their numbers."""
+    ids = q.table(spark, sf_dir, "events").select(F.concat((F.col("user_id") % 20).cast("string"), F.lit("."), F.col("user_id").cast("string")).alias("id")).distinct()
+    key = sequences.natural_id_key(F.col("id"))
+    return ids.withColumn("place", F.row_number().over(Window.partitionBy(key[0]).orderBy(key))).select("id", "place")
+
+
+def local_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Families of one's own, by their column, with how many features of how many users have them."""
+    feats = q.features(spark, sf_dir).withColumn("plfam", F.when(F.col("fid") % 6 > 0, F.concat(F.lit("L"), (F.col("genome") % 4).cast("string"), F.lit("_"), (F.col("fid") % 9).cast("string"))))
+    return coupling.CLASSIFIERS["LOCAL_TEST"](feats, "plfam").groupBy("class").agg(F.count("*").alias("n"), F.count_distinct("genome").alias("genomes"))
+
+
+def random_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The control keeps each user's number of features of each family."""
+    return coupling.class_counts(coupling.by_random_family(q.features(spark, sf_dir)))
+
+
+def resume_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders behind the one that was done last."""
+    return sets.after(q.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", "o_custkey", 7)
+
+
+def seed_proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest text of the users' features that have a role; an array of features a user stands for a genome document."""
+    e = q.table(spark, sf_dir, "events")
+    feature = F.struct(F.lpad(F.col("event_id").cast("string"), 9, "0").alias("fid"), F.concat("event_type", F.lit(" / other")).alias("function"), "props", F.concat("props", F.lit("x")).alias("protein"), F.lit("").alias("dna"))
+    genomes = e.groupBy(F.col("user_id").alias("id")).agg(F.collect_list(feature).alias("features"))
+    out = tables.seed_proteins(tables.features_of(genomes), ["click", "error"])
+    return out.select("genome", "fid", F.length("protein").cast("long").alias("letters"))
+
+
+def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by a cell that says whether they are good."""
+    k = F.col("c_custkey")
+    cell = F.when(k % 4 == 0, " Y ").when(k % 4 == 1, "1").when(k % 4 == 2, "").otherwise(F.lit(None))
+    return q.table(spark, sf_dir, "customer").select(k.alias("id"), tables.flag(cell).alias("good"))
+
+
+def level_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The representatives with their genomes, as they are written to a folder a level."""
+    return plans.representative_genomes(q.built(spark, sf_dir)).select("level", "id", "domain", "rating")
+
+
 QUERIES = (
+    feature_texts, natural_order, local_families, random_families, resume_after, seed_proteins, flagged, level_folders,
     seq_test_outliers, updated_assignments, unrepresented, both_sequences, domain_universal_roles, seeded_roles, ssu_features, checksum_sequences,
     missing_roles_taxonomy, coupling_genome_counts, coupling_run_stats, coupling_reread, coupling_named, coupling_by_checksum, role_ids,
     multi_parent_report, without_species, fully_placed, genome_modes,
