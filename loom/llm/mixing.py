@@ -216,9 +216,17 @@ def _before(keys: list[str], order: list[str]):
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def read_order(seed: str = SEED) -> Column:
+def read_order(piece: Column, seed: str = SEED) -> Column:
     """The place of a piece within its shard: blocks in random order, whatever their sources."""
-    return F.md5(F.concat_ws(":", F.lit(seed), F.lit("read"), F.col("shard").cast("string"), F.col("slot").cast("string"), F.col("pass").cast("string")))
+    return F.md5(F.concat_ws(":", F.lit(seed), F.lit("read"), piece["shard"].cast("string"), piece["slot"].cast("string"), piece["pass"].cast("string")))
+
+
+def by_shard(pieces: Column) -> Column:
+    """The pieces of a document as an array of (shard, order, spans), one for each pass and shard that take any."""
+    pairs = F.array_distinct(F.transform(pieces, lambda p: F.struct(p["pass"].alias("pass"), p["shard"].alias("shard"))))
+    own = lambda g: F.filter(pieces, lambda p: (p["pass"] == g["pass"]) & (p["shard"] == g["shard"]))
+    spans = lambda g: F.array_sort(F.transform(own(g), lambda p: F.struct(p["from_word"].alias("from_word"), p["to_word"].alias("to_word"))))
+    return F.transform(pairs, lambda g: F.struct(g["shard"].alias("shard"), F.array_min(F.transform(own(g), read_order)).alias("order"), spans(g).alias("spans")))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = "n_chars", **how) -> DataFrame:
@@ -229,17 +237,16 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the random order of the blocks, so that a shard's sources are shuffled where the rows are. Docs' other columns stay as
     they are, whatever their names; empty tables give empty ones.
     """
-    row, spans, words, whole, size, shard, order = fresh(docs, "__row", "__spans", "__words", "__whole", "__size", "__shard", "__order")
+    row, size, takes, words, take = fresh(docs, "__row", "__size", "__takes", "__words", "__take")
     named = materialize(docs.withColumn(row, F.monotonically_increasing_id()))
     slim = named.select(F.col(row).alias("at"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
-    parts = mix(slim, "id", row_col="at", **how).select(F.col("row").alias("at"), "size", F.explode("pieces").alias("p")).select("at", "size", "p.*")
-    parts = parts.groupBy("at", "size", "pass", "shard").agg(F.array_sort(F.collect_list(F.struct("from_word", "to_word"))).alias(spans), F.min(read_order()).alias(order))
-    parts = parts.select(F.col("at").alias(row), F.col("size").alias(size), F.col("shard").alias(shard), spans, order)
+    chosen = mix(slim, "id", row_col="at", **how).where(F.size("pieces") > 0).select(F.col("row").alias(row), F.col("size").alias(size), by_shard(F.col("pieces")).alias(takes))
     length = lambda p: (p["to_word"] - p["from_word"]).cast("int")
-    out = named.join(parts, row).withColumn(whole, F.aggregate(spans, F.lit(0).cast("long"), lambda n, p: n + length(p)) == F.col(size))
-    out = out.withColumn(words, F.when(~F.col(whole), F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0)))
-    cut = F.array_join(F.flatten(F.transform(spans, lambda p: F.slice(F.col(words), (p["from_word"] + 1).cast("int"), length(p)))), " ")
-    out = out.withColumn(text_col, F.when(F.col(whole), F.col(text_col)).otherwise(cut))
+    whole = lambda g: F.aggregate(g["spans"], F.lit(0).cast("long"), lambda n, p: n + length(p)) == F.col(size)
+    out = named.join(chosen, row).withColumn(words, F.when(F.exists(takes, lambda g: ~whole(g)), F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0)))
+    cut = lambda g: F.array_join(F.flatten(F.transform(g["spans"], lambda p: F.slice(F.col(words), (p["from_word"] + 1).cast("int"), length(p)))), " ")
+    made = F.transform(takes, lambda g: F.struct(g["shard"].alias("shard"), g["order"].alias("order"), F.when(~whole(g), cut(g)).alias("cut")))
+    out = out.withColumn(take, F.explode(made)).withColumn(text_col, F.coalesce(F.col(take)["cut"], F.col(text_col)))
     if length_col and length_col in docs.columns:
-        out = out.withColumn(length_col, F.when(F.col(whole), F.col(length_col)).otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
-    return out.sortWithinPartitions(shard, order).select(*docs.columns)
+        out = out.withColumn(length_col, F.when(F.col(take)["cut"].isNotNull(), F.length(text_col)).otherwise(F.col(length_col)).cast(docs.schema[length_col].dataType))
+    return out.sortWithinPartitions(F.col(take)["shard"], F.col(take)["order"]).select(*docs.columns)

@@ -156,12 +156,16 @@ def expectation_maximisation(counts: dict[int, int], rounds: int = 200) -> tuple
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS, epochs: int = 6, seed: int = 3) -> QualityModel:
-    """Votes of all documents are counted by pattern (at most 3 to the number of labellers); a sample trains the scorer."""
+    """Votes of all documents are counted by pattern (at most 3 to the number of labellers); a sample trains the scorer.
+
+    The sample is the first rows by the hash of id and text; their features are made where they are, so that no task and not
+    the driver holds their texts. Null texts vote as empty ones and have no features; an empty table gives a model without any.
+    """
     base = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     voted = attach(base, "text", [T.StructField("pattern", T.LongType())], lambda c: [pa.array(patterns(c))])
     posterior, accuracy, prior = expectation_maximisation({r.pattern: r.n for r in voted.groupBy("pattern").agg(F.count("*").alias("n")).collect()})
-    order = F.xxhash64(F.coalesce("id", F.lit("")), F.lit("quality sample"))
-    limit = base.select(order.alias("h")).orderBy("h").limit(rows).agg(F.max("h").alias("h")).first().h
+    base = base.withColumn("h", F.xxhash64(F.coalesce("id", F.lit("")), F.coalesce("text", F.lit("")), F.lit("quality sample")))
+    limit = base.select("h").orderBy("h").limit(rows).agg(F.max("h").alias("h")).first().h
     weights, bias = np.zeros(BUCKETS), 0.0
     if limit is None:
         return QualityModel(posterior, accuracy, prior, weights, bias)
@@ -173,9 +177,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows:
                 doc, bucket = features(data, offs)
                 cell, count = np.unique(doc * BUCKETS + bucket, return_counts=True)
                 cut = np.searchsorted(cell, np.arange(1, j - i) * BUCKETS)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(kind[i:j]), pa.array(np.split(cell % BUCKETS, cut), pa.list_(pa.int64())), pa.array(np.split(count, cut), pa.list_(pa.int64()))], names=["id", "pattern", "u", "c"])
+                u, c = (pa.array(np.split(x, cut), pa.list_(pa.int64())) for x in (cell % BUCKETS, count))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(kind[i:j]), u, c], names=["id", "h", "pattern", "u", "c"])
 
-    got = base.where(order <= limit).orderBy(order, "id").limit(rows).mapInArrow(extract, "id string, pattern long, u array<long>, c array<long>").collect()
+    made = base.where(F.col("h") <= limit).mapInArrow(extract, "id string, h long, pattern long, u array<long>, c array<long>")
+    got = made.orderBy("h", "id").limit(rows).collect()
     sample = [(np.array(r.u), np.array(r.c) / sum(r.c), posterior[r.pattern]) for r in sorted(got, key=lambda r: (r.id or "", r.pattern, len(r.u))) if r.u]
     rng = np.random.default_rng(seed)
     for epoch in range(epochs):

@@ -283,7 +283,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
     2. Runs of windows under such anchors become passages, grouped word for word with their counts, then dealt to reference
        shards by anchor: windows that could be equal meet in one shard. Where an anchor has several different passages, a
        suffix automaton of all of them, weighted by their counts, reads them again, and its matching statistics tell which
-       windows stand once. A passage that is alone under its anchor needs none: its count tells.
+       windows stand once. A passage that is alone under its anchor needs none: its count tells. Bitmaps of the anchors
+       route the passages, so that only those of several are shuffled again.
     3. An anchor with more than MAX_PASSAGES different passages is split: they are cut into runs of windows that share the
        next anchor as well, grouped and dealt anew; where these are still too many, into single windows, whose counts tell.
     4. The windows found twice make a bitmap; those found once that it lets through are kept as false alarms. Documents
