@@ -58,6 +58,8 @@ def oracle_sql() -> dict[str, str]:
               dna IS NOT NULL AND n % 8 < 5 AS valid, CASE WHEN n % 2 = 0 THEN greatest(50 - (l + 20), l - 70) ELSE 2147483647 END AS gap,
               CASE WHEN n % 13 = 0 THEN 'MAX' ELSE (n % 50)::VARCHAR END AS shown, round(1.0::DOUBLE / (n % 50 + 1), 9) AS inverse, len(list_intersect(ks, ref)) AS shared,
               CASE WHEN protein IS NULL THEN NULL WHEN instr(@@AA@@, protein[3]) = 0 THEN -1 ELSE (instr(@@AA@@, 'M') - 1) * 400 + (instr(@@AA@@, 'A') - 1) * 20 + instr(@@AA@@, protein[3]) - 1 END AS triplet FROM f""".replace("@@AA@@", f"'{AMINO_ACIDS}'").replace("2147483647", str(FAR)),
+        "rank_correlation": """WITH p AS (SELECT p_partkey AS i, p_size::DOUBLE AS x, p_retailprice AS y FROM part)
+            SELECT (SELECT count(*) FROM p) AS n, round(sum(sign(a.x - b.x) * sign(a.y - b.y)) / sqrt(sum(abs(sign(a.x - b.x)))::DOUBLE * sum(abs(sign(a.y - b.y)))), 6) AS tau FROM p a JOIN p b ON a.i < b.i""",
         "natural_order": "SELECT (user_id % 20) || '.' || user_id AS id, row_number() OVER (PARTITION BY user_id % 20 ORDER BY user_id) AS place FROM (SELECT DISTINCT user_id FROM events)",
         "local_families": "SELECT 'L' || (user_id % 4) || '_' || (event_id % 9) AS class, count(*) AS n, count(DISTINCT user_id) AS genomes FROM events WHERE event_id % 6 > 0 GROUP BY 1",
         "random_families": "SELECT user_id AS genome, 'f' || floor(value / 20)::BIGINT AS class, count(*) AS n FROM events WHERE value >= 10 GROUP BY ALL",

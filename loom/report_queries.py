@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loom import queries as q
-from loom.functions import kmers, sequences
+from loom.functions import kmers, sequences, stats
 from loom.operators import coupling, nearest, ratings, roles, sets, taxonomy
 from loom.plans import build as plans
 from loom.sources import tables
@@ -200,8 +200,14 @@ def level_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.representative_genomes(q.built(spark, sf_dir)).select("level", "id", "domain", "rating")
 
 
+def rank_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kendall's tau of size and price over all parts at once."""
+    part = q.table(spark, sf_dir, "part").select(F.col("p_size").cast("double").alias("x"), F.col("p_retailprice").alias("y"))
+    return stats.kendall_tau_of_all(part, "x", "y").select("n", F.round("tau", 6).alias("tau"))
+
+
 QUERIES = (
-    feature_texts, natural_order, local_families, random_families, resume_after, seed_proteins, flagged, level_folders,
+    rank_correlation, feature_texts, natural_order, local_families, random_families, resume_after, seed_proteins, flagged, level_folders,
     seq_test_outliers, updated_assignments, unrepresented, both_sequences, domain_universal_roles, seeded_roles, ssu_features, checksum_sequences,
     missing_roles_taxonomy, coupling_genome_counts, coupling_run_stats, coupling_reread, coupling_named, coupling_by_checksum, role_ids,
     multi_parent_report, without_species, fully_placed, genome_modes,

@@ -37,6 +37,19 @@ def test_kendall_against_all_pairs(spark):
         assert (got[g].tau is None and want is None) or abs(got[g].tau - want) < 1e-9
 
 
+@pytest.mark.parametrize("parts", [2, 7, 64])
+def test_kendall_of_all_against_all_pairs(spark, parts):
+    rng = random.Random(parts)
+    for kind in range(3):
+        points = [(rng.choice([0.25, 0.5, 1.0, rng.random()]), rng.choice([0.5, rng.random()]) if kind else rng.randrange(3) / 3) for _ in range(150)]
+        points += [(a, a if kind == 2 else 1 - a) for a in (rng.random() for _ in range(40))]
+        df = spark.createDataFrame([*points, (None, 0.1)], "x double, y double")
+        for far in (0, 11):
+            got = stats.kendall_tau_of_all(df, "x", "y", far, parts).first()
+            assert got.n == len(points) + far and abs(got.tau - brute_tau([(round(a, 12), round(b, 12)) for a, b in points] + [(1.0, 1.0)] * far)) < 1e-9
+    assert stats.kendall_tau_of_all(df.limit(0), "x", "y").first().tau is None
+
+
 def test_pearson_of_sums_counts_far_points(spark):
     near = [(0.2, 0.5), (0.9, 0.8), (0.4, 0.1)]
     df = spark.createDataFrame(near, "x double, y double")
