@@ -17,7 +17,8 @@ def kmer_array(seq: Column, k: int) -> Column:
     places = F.sequence(F.lit(1), last)
     short = F.transform(places, lambda i: F.substring(seq, i, F.lit(k)))
     long = F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{k}}}))"), 1)
-    return F.when(last < 1, F.array().cast("array<string>")).when(last < LONG, F.array_distinct(short)).when(last >= LONG, F.array_distinct(long)).otherwise(F.array().cast("array<string>"))
+    return F.when(last < 1, F.array().cast("array<string>")).when(last < LONG, F.array_distinct(short)).when(last >= LONG,
+        F.array_distinct(long)).otherwise(F.array().cast("array<string>"))
 
 
 def word_kmer_array(text: Column, k: int) -> Column:

@@ -20,7 +20,8 @@ from loom.functions.sequences import canonical_pair, hypothetical, roles_of_func
 
 def by_role(features: DataFrame, function: str = "function") -> DataFrame:
     """Every role of the function that is not hypothetical."""
-    return features.select("genome", "fid", F.explode(F.array_distinct(F.filter(roles_of_function(F.col(function)), lambda r: ~hypothetical(r)))).alias("class"))
+    return features.select("genome", "fid", F.explode(F.array_distinct(F.filter(roles_of_function(F.col(function)),
+        lambda r: ~hypothetical(r)))).alias("class"))
 
 
 def by_family(features: DataFrame, family: str = "pgfam") -> DataFrame:
@@ -42,7 +43,8 @@ def by_sequence(features: DataFrame, families: DataFrame, checksum: str = "md5")
     return features.join(families.select(F.col("md5").alias(checksum), F.col("fam_id").alias("class")), checksum).select("genome", "fid", "class").distinct()
 
 
-CLASSIFIERS: dict[str, Callable[..., DataFrame]] = {"ROLES": by_role, "PGFAMS": by_family, "RANDOM": by_random_family, "LOCAL_TEST": by_family, "FILE_FAMILY": by_sequence}
+CLASSIFIERS: dict[str, Callable[..., DataFrame]] = {"ROLES": by_role, "PGFAMS": by_family, "RANDOM": by_random_family, "LOCAL_TEST": by_family,
+    "FILE_FAMILY": by_sequence}
 
 # --- neighbours --------------------------------------------------------------------------------------------------------
 
@@ -64,8 +66,10 @@ def close(features: DataFrame, distance: int = 5000) -> DataFrame:
     """
     width = max(1, distance)
     bin_of = lambda c: F.floor(F.col(c) / width)
-    a = features.select("genome", "contig", "strand", F.col("fid").alias("fid1"), F.col("left").alias("l1"), F.col("right").alias("r1"), F.explode(F.sequence(bin_of("left"), F.floor((F.col("right") + distance) / width))).alias("bin"))
-    b = features.select("genome", "contig", "strand", F.col("fid").alias("fid2"), F.col("left").alias("l2"), F.col("right").alias("r2"), bin_of("left").alias("bin"))
+    a = features.select("genome", "contig", "strand", F.col("fid").alias("fid1"), F.col("left").alias("l1"), F.col("right").alias("r1"),
+        F.explode(F.sequence(bin_of("left"), F.floor((F.col("right") + distance) / width))).alias("bin"))
+    b = features.select("genome", "contig", "strand", F.col("fid").alias("fid2"), F.col("left").alias("l2"), F.col("right").alias("r2"),
+        bin_of("left").alias("bin"))
     after = (F.col("l2") > F.col("l1")) | ((F.col("l2") == F.col("l1")) & (F.col("fid2") > F.col("fid1")))
     pairs = a.join(b, ["genome", "contig", "strand", "bin"]).where(after).withColumn("gap", F.greatest(F.col("l2") - F.col("r1"), F.col("l1") - F.col("r2")))
     return pairs.where(F.col("gap") <= distance).select("genome", "fid1", "fid2", "gap")
@@ -104,7 +108,8 @@ def class_pairs(neighbors: DataFrame, classes: DataFrame, weights: DataFrame) ->
     two = classes.select("genome", F.col("fid").alias("fid2"), F.col("class").alias("b"))
     low, high = canonical_pair(F.col("a"), F.col("b"))
     out = neighbors.join(one, ["genome", "fid1"]).join(two, ["genome", "fid2"]).where("a <> b").withColumns({"class1": low, "class2": high})
-    out = out.join(weights.select("genome", F.col("class").alias("class1"), F.col("n").alias("n1")), ["genome", "class1"]).join(weights.select("genome", F.col("class").alias("class2"), F.col("n").alias("n2")), ["genome", "class2"])
+    out = out.join(weights.select("genome", F.col("class").alias("class1"), F.col("n").alias("n1")),
+        ["genome", "class1"]).join(weights.select("genome", F.col("class").alias("class2"), F.col("n").alias("n2")), ["genome", "class2"])
     return out.select("class1", "class2", "genome", "fid1", "fid2", (1.0 / (F.col("n1") * F.col("n2"))).alias("weight"))
 
 
@@ -124,7 +129,8 @@ def pair_genomes(pairs: DataFrame, subsystems: DataFrame | None = None) -> DataF
     else:
         none = F.array().cast("array<string>")
         for i in ("1", "2"):
-            pairs = pairs.join(subsystems.select("genome", F.col("fid").alias(f"fid{i}"), F.col("subsystems").alias(f"s{i}")), ["genome", f"fid{i}"], "left").withColumn(f"s{i}", F.coalesce(f"s{i}", none))
+            pairs = pairs.join(subsystems.select("genome", F.col("fid").alias(f"fid{i}"), F.col("subsystems").alias(f"s{i}")), ["genome", f"fid{i}"],
+                "left").withColumn(f"s{i}", F.coalesce(f"s{i}", none))
         hit = F.arrays_overlap("s1", "s2")
         pairs = pairs.withColumns({"hit": hit.cast("int"), "miss": (~hit & (F.size("s1") + F.size("s2") > 0)).cast("int")})
     return pairs.groupBy("class1", "class2", "genome").agg(F.min("weight").alias("weight"), F.sum("hit").alias("sub_match"), F.sum("miss").alias("sub_fail"))
@@ -132,7 +138,8 @@ def pair_genomes(pairs: DataFrame, subsystems: DataFrame | None = None) -> DataF
 
 def pair_totals(per_genome: DataFrame) -> DataFrame:
     """(class1, class2, size, weight, sub_match, sub_fail)."""
-    return per_genome.groupBy("class1", "class2").agg(F.count("*").alias("size"), F.sum("weight").alias("weight"), F.sum("sub_match").alias("sub_match"), F.sum("sub_fail").alias("sub_fail"))
+    return per_genome.groupBy("class1", "class2").agg(F.count("*").alias("size"), F.sum("weight").alias("weight"),
+        F.sum("sub_match").alias("sub_match"), F.sum("sub_fail").alias("sub_fail"))
 
 
 def by_size(totals: DataFrame, limit: float = 15.0) -> DataFrame:
@@ -180,7 +187,9 @@ def scores_report(per_genome: DataFrame, totals: DataFrame, classes: DataFrame,
     out = totals.join(less, ["class1", "class2"], "left")
     for i in ("1", "2"):
         out = out.join(has.select(F.col("class").alias(f"class{i}"), F.col("genomes").alias(f"has{i}")), f"class{i}")
-    return out.select(*totals.columns, (all_pairs - F.coalesce("less_sim", F.lit(0.0))).alias("sim_distance"), (all_pairs - F.coalesce("less_real", F.lit(0.0))).alias("real_distance"), (100.0 * F.col("size") / F.col("has1")).alias("percent1"), (100.0 * F.col("size") / F.col("has2")).alias("percent2"))
+    return out.select(*totals.columns, (all_pairs - F.coalesce("less_sim", F.lit(0.0))).alias("sim_distance"),
+        (all_pairs - F.coalesce("less_real", F.lit(0.0))).alias("real_distance"), (100.0 * F.col("size") / F.col("has1")).alias("percent1"),
+        (100.0 * F.col("size") / F.col("has2")).alias("percent2"))
 
 
 def verify_report(known: DataFrame, classes: DataFrame, totals: DataFrame) -> DataFrame:
@@ -188,7 +197,8 @@ def verify_report(known: DataFrame, classes: DataFrame, totals: DataFrame) -> Da
     low, high = canonical_pair(F.col("class1"), F.col("class2"))
     pairs = known.select(low.alias("class1"), high.alias("class2")).distinct()
     has = classes.select("genome", "class").distinct()
-    both = pairs.join(has.select("genome", F.col("class").alias("class1")), "class1").join(has.select("genome", F.col("class").alias("class2")), ["genome", "class2"])
+    both = pairs.join(has.select("genome", F.col("class").alias("class1")), "class1").join(has.select("genome", F.col("class").alias("class2")),
+        ["genome", "class2"])
     occurs = both.groupBy("class1", "class2").agg(F.count("*").alias("occurrences"))
     out = pairs.join(occurs, ["class1", "class2"], "left").join(totals.select("class1", "class2", "size"), ["class1", "class2"], "left")
     size, n = F.coalesce("size", F.lit(0)), F.coalesce("occurrences", F.lit(0))
@@ -234,14 +244,16 @@ def read_report(lines: DataFrame, kind: str = "ROLES") -> DataFrame:
     part, (one, two, size) = F.split("line", "\t"), (0, 1, 2) if kind == "ROLES" else (0, 2, 4)
     rows = lines.select(part.alias("p")).where(F.size("p") > size + 1)
     low, high = canonical_pair(F.get("p", F.lit(one)), F.get("p", F.lit(two)))
-    return rows.select(low.alias("class1"), high.alias("class2"), F.get("p", F.lit(size)).try_cast("long").alias("size"), F.get("p", F.lit(size + 1)).try_cast("double").alias("strength")).where("size IS NOT NULL")
+    return rows.select(low.alias("class1"), high.alias("class2"), F.get("p", F.lit(size)).try_cast("long").alias("size"),
+        F.get("p", F.lit(size + 1)).try_cast("double").alias("strength")).where("size IS NOT NULL")
 
 
 def named(report: DataFrame, names: DataFrame) -> DataFrame:
     """report with family_product1 and family_product2 from names (class, name); '' where there is none."""
     out = report
     for i in ("1", "2"):
-        out = out.join(names.select(F.col("class").alias(f"class{i}"), F.col("name").alias(f"family_product{i}")), f"class{i}", "left").withColumn(f"family_product{i}", F.coalesce(f"family_product{i}", F.lit("")))
+        out = out.join(names.select(F.col("class").alias(f"class{i}"), F.col("name").alias(f"family_product{i}")), f"class{i}",
+            "left").withColumn(f"family_product{i}", F.coalesce(f"family_product{i}", F.lit("")))
     return out
 
 

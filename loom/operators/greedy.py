@@ -24,13 +24,17 @@ def select_representatives(nodes: DataFrame, edges: DataFrame, seeds: DataFrame
     When SMALL edges or fewer are left, one task decides the rest. A round writes its remaining edges, once, to the shared folder, so lineage stays short and lost executors do not lose it.
     """
     order = nodes.select("id", "priority")
-    ranked = edges.join(order.select(F.col("id").alias("id1"), F.col("priority").alias("p1")), "id1").join(order.select(F.col("id").alias("id2"), F.col("priority").alias("p2")), "id2")
+    ranked = edges.join(order.select(F.col("id").alias("id1"), F.col("priority").alias("p1")),
+        "id1").join(order.select(F.col("id").alias("id2"), F.col("priority").alias("p2")), "id2")
     first = F.struct("p1", "id1") < F.struct("p2", "id2")
-    graph = ranked.where("id1 <> id2").select(F.when(first, F.col("id1")).otherwise(F.col("id2")).alias("lo"), F.when(first, F.col("id2")).otherwise(F.col("id1")).alias("hi")).distinct()
+    graph = ranked.where("id1 <> id2").select(F.when(first, F.col("id1")).otherwise(F.col("id2")).alias("lo"),
+        F.when(first, F.col("id2")).otherwise(F.col("id1")).alias("hi")).distinct()
     dropped = []
     if seeds is not None:
         kept = seeds.select("id").distinct()
-        near = edges.join(kept.withColumnRenamed("id", "id1"), "id1", "left_semi").select(F.col("id2").alias("id")).union(edges.join(kept.withColumnRenamed("id", "id2"), "id2", "left_semi").select(F.col("id1").alias("id")))
+        near = edges.join(kept.withColumnRenamed("id", "id1"), "id1",
+            "left_semi").select(F.col("id2").alias("id")).union(edges.join(kept.withColumnRenamed("id", "id2"), "id2",
+            "left_semi").select(F.col("id1").alias("id")))
         gone = written(near.union(kept).distinct())
         dropped.append(gone)
         graph = _without(graph, gone, "lo", "hi")

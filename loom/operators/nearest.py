@@ -28,7 +28,8 @@ def nearest(queries: DataFrame, references: DataFrame, level: int = 1) -> DataFr
     own, theirs = sizes(queries), sizes(references)
     top = with_distance(best(cross_sims(queries, references)), "id", own, "ref_id", theirs)
     out = own.select("id").join(top, "id", "left")
-    return out.select("id", "ref_id", F.coalesce("sim", F.lit(0)).alias("sim"), F.coalesce("distance", F.lit(1.0)).alias("distance"), (F.coalesce("sim", F.lit(0)) < level).alias("outlier"))
+    return out.select("id", "ref_id", F.coalesce("sim", F.lit(0)).alias("sim"), F.coalesce("distance", F.lit(1.0)).alias("distance"),
+        (F.coalesce("sim", F.lit(0)) < level).alias("outlier"))
 
 
 def updated_assignments(queries: DataFrame, references: DataFrame, level: int) -> DataFrame:
@@ -41,8 +42,10 @@ def updated_assignments(queries: DataFrame, references: DataFrame, level: int) -
     nodes = index.select("id").distinct().select("id", F.col("id").alias("priority"))
     sims = written(pair_sims(index, level))
     added = written(select_representatives(nodes, sims.select("id1", "id2"), references.select("id").distinct()).select("id"))
-    known = references.select("id", "kmer", F.lit(False).alias("new")).unionByName(queries.join(added, "id", "left_semi").select("id", "kmer", F.lit(True).alias("new")))
-    counted = queries.join(known.select(F.col("id").alias("ref_id"), "kmer", "new"), "kmer").where("NOT new OR ref_id < id").groupBy("id", "ref_id").agg(F.count("*").alias("sim"))
+    known = references.select("id", "kmer", F.lit(False).alias("new")).unionByName(queries.join(added, "id", "left_semi").select("id", "kmer",
+        F.lit(True).alias("new")))
+    counted = queries.join(known.select(F.col("id").alias("ref_id"), "kmer", "new"), "kmer").where("NOT new OR ref_id < id").groupBy("id",
+        "ref_id").agg(F.count("*").alias("sim"))
     n = sizes(index)
     top = with_distance(best(counted), "id", n, "ref_id", n).where(F.col("sim") >= level)
     own = added.select("id", F.col("id").alias("ref_id"), F.lit(9999).cast("long").alias("sim"), F.lit(0.0).alias("distance"), F.lit(True).alias("outlier"))
@@ -62,7 +65,8 @@ def cross_proximity(queries: tuple[DataFrame, DataFrame], references: tuple[Data
         out = out.join(other.select("id", F.col("ref_id").alias(rep), F.col("sim").alias(name)), ["id", rep], "left")
     for r, name in zip(references, ("ref_seed_sim", "ref_rna_sim"), strict=True):
         pair = out.select("seed_rep", "rna_rep").distinct()
-        shared = pair.join(r.select(F.col("id").alias("seed_rep"), "kmer"), "seed_rep").join(r.select(F.col("id").alias("rna_rep"), "kmer"), ["rna_rep", "kmer"])
+        shared = pair.join(r.select(F.col("id").alias("seed_rep"), "kmer"), "seed_rep").join(r.select(F.col("id").alias("rna_rep"), "kmer"),
+            ["rna_rep", "kmer"])
         out = out.join(shared.groupBy("seed_rep", "rna_rep").agg(F.count("*").alias(name)), ["seed_rep", "rna_rep"], "left")
     none = [F.coalesce(c, F.lit(0)).alias(c) for c in ("seed_rep_rna_sim", "rna_rep_seed_sim", "ref_seed_sim", "ref_rna_sim")]
     return out.select("id", "seed_rep", "seed_sim", "rna_rep", "rna_sim", *none)
@@ -89,7 +93,8 @@ def top_with_ties(queries: DataFrame, references: DataFrame, n: int = 5, least:
     kept = sims.withColumn("rank", F.rank().over(w)).where(F.col("rank") <= n)
     kept = kept.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("sim"), "ref_id")))
     out = own.select("id", F.col("n").alias("size")).join(kept, "id", "left")
-    return out.select("id", "size", "place", "ref_id", "sim", "distance", F.when(F.col("place") == 1, "Y").otherwise("").alias("closest"), signal(F.col("size"), F.col("distance")).alias("signal"))
+    return out.select("id", "size", "place", "ref_id", "sim", "distance", F.when(F.col("place") == 1, "Y").otherwise("").alias("closest"),
+        signal(F.col("size"), F.col("distance")).alias("signal"))
 
 
 def group_distance(queries: DataFrame, groups: DataFrame, members: DataFrame, most: float = 0.995) -> DataFrame:
@@ -98,6 +103,7 @@ def group_distance(queries: DataFrame, groups: DataFrame, members: DataFrame, mo
     queries: (id, kmer); groups: (id, grp) of queries; members: (id, grp, kmer).
     """
     n = sizes(members.select("id", "kmer").distinct())
-    sims = queries.join(groups, "id").join(members.select(F.col("id").alias("ref_id"), "grp", "kmer"), ["grp", "kmer"]).where("id <> ref_id").groupBy("id", "grp", "ref_id").agg(F.count("*").alias("sim"))
+    sims = queries.join(groups, "id").join(members.select(F.col("id").alias("ref_id"), "grp", "kmer"),
+        ["grp", "kmer"]).where("id <> ref_id").groupBy("id", "grp", "ref_id").agg(F.count("*").alias("sim"))
     out = with_distance(sims, "id", sizes(queries), "ref_id", n).groupBy("id", "grp").agg(F.min("distance").alias("distance"))
     return out.where(F.col("distance") <= most)

@@ -33,13 +33,16 @@ def ssu_verdicts(genomes: DataFrame, rnas: DataFrame, k: int = 15, useful: int =
     equals. Only pairs within a genome are compared, by an equi-join on (genome, k-mer).
     """
     good = rnas.where(valid(F.col("seq"))).withColumn("len", F.length("seq"))
-    counts = good.groupBy("id").agg(F.count_if(F.col("len") >= useful).alias("useful"), F.max("len").alias("longest"), F.min_by("seq", F.struct(-F.col("len"), "pos")).alias("ssu"))
+    counts = good.groupBy("id").agg(F.count_if(F.col("len") >= useful).alias("useful"), F.max("len").alias("longest"),
+        F.min_by("seq", F.struct(-F.col("len"), "pos")).alias("ssu"))
     use = good.where(F.col("len") >= useful).select("id", "pos", "seq").distinct()
     index = use.select(F.struct("id", "pos").alias("id"), F.explode(kmer_array(F.col("seq"), k)).alias("kmer"))
     own = index.select(F.col("id")["id"].alias("g"), F.col("id")["pos"].alias("p"), "kmer")
-    sims = own.withColumnRenamed("p", "p1").join(own.withColumnRenamed("p", "p2"), ["g", "kmer"]).where("p1 < p2").groupBy("g", "p1", "p2").agg(F.count("*").alias("sim"))
+    sims = own.withColumnRenamed("p", "p1").join(own.withColumnRenamed("p", "p2"), ["g", "kmer"]).where("p1 < p2").groupBy("g", "p1",
+        "p2").agg(F.count("*").alias("sim"))
     n = own.groupBy("g", "p").agg(F.count("*").alias("n"))
-    near = sims.join(n.select("g", F.col("p").alias("p1"), F.col("n").alias("n1")), ["g", "p1"]).join(n.select("g", F.col("p").alias("p2"), F.col("n").alias("n2")), ["g", "p2"])
+    near = sims.join(n.select("g", F.col("p").alias("p1"), F.col("n").alias("n1")),
+        ["g", "p1"]).join(n.select("g", F.col("p").alias("p2"), F.col("n").alias("n2")), ["g", "p2"])
     close = near.where(1.0 - F.col("sim") / (F.col("n1") + F.col("n2") - F.col("sim")) <= SAME_GENOME).groupBy(F.col("g").alias("id")).agg(F.count("*").alias("close"))
     out = genomes.join(counts, "id", "left").join(close, "id", "left")
     pairs = F.col("useful") * (F.col("useful") - 1) / 2
@@ -60,12 +63,14 @@ def genus_retry(genomes: DataFrame, k: int = 15, full: int = FULL_LENGTH) -> Dat
     reference they stay SINGLE; without a genus they are left out.
     """
     w = Window.partitionBy("genus").orderBy("priority", "id")
-    reference = genomes.where((rating_order() <= RATINGS.index("NORMAL")) & F.col("genus").isNotNull()).withColumn("n", F.row_number().over(w)).where("n = 1").select("genus", F.col("id").alias("ref"), F.col("ssu").alias("ref_ssu"))
+    reference = genomes.where((rating_order() <= RATINGS.index("NORMAL")) & F.col("genus").isNotNull()).withColumn("n",
+        F.row_number().over(w)).where("n = 1").select("genus", F.col("id").alias("ref"), F.col("ssu").alias("ref_ssu"))
     single = genomes.where("rating = 'SINGLE_SSU' AND genus IS NOT NULL").join(reference, "genus", "left")
     sim = F.size(F.array_intersect(kmer_array(F.col("ssu"), k), kmer_array(F.col("ref_ssu"), k)))
     union = F.size(F.array_union(kmer_array(F.col("ssu"), k), kmer_array(F.col("ref_ssu"), k)))
     distance = F.when(union > 0, 1.0 - sim / union).otherwise(1.0)
-    verdict = F.when(F.col("ref").isNull(), "SINGLE_SSU").when(distance >= SAME_GENUS, "BAD_SSU").when(F.length("ref_ssu") < full, "SHORT_SSU").otherwise("NORMAL")
+    verdict = F.when(F.col("ref").isNull(), "SINGLE_SSU").when(distance >= SAME_GENUS, "BAD_SSU").when(F.length("ref_ssu") < full,
+        "SHORT_SSU").otherwise("NORMAL")
     judged = single.withColumn("rating", verdict).select(*genomes.columns)
     return genomes.where("rating <> 'SINGLE_SSU'").unionByName(judged)
 
@@ -97,11 +102,14 @@ def max_pair_distance(seqs: DataFrame, group: str, k: int = 15) -> DataFrame:
     """
     n = seqs.groupBy(F.col(group).alias("grp")).agg(F.count("*").alias("count")).where("count > 1")
     own = seqs.select(F.col(group).alias("grp"), "id", F.explode(kmer_array(F.col("seq"), k)).alias("kmer"))
-    sims = own.withColumnRenamed("id", "id1").join(own.withColumnRenamed("id", "id2"), ["grp", "kmer"]).where("id1 < id2").groupBy("grp", "id1", "id2").agg(F.count("*").alias("sim"))
+    sims = own.withColumnRenamed("id", "id1").join(own.withColumnRenamed("id", "id2"), ["grp", "kmer"]).where("id1 < id2").groupBy("grp", "id1",
+        "id2").agg(F.count("*").alias("sim"))
     size = own.groupBy("grp", "id").agg(F.count("*").alias("n"))
-    near = sims.join(size.select("grp", F.col("id").alias("id1"), F.col("n").alias("n1")), ["grp", "id1"]).join(size.select("grp", F.col("id").alias("id2"), F.col("n").alias("n2")), ["grp", "id2"])
+    near = sims.join(size.select("grp", F.col("id").alias("id1"), F.col("n").alias("n1")),
+        ["grp", "id1"]).join(size.select("grp", F.col("id").alias("id2"), F.col("n").alias("n2")), ["grp", "id2"])
     near = near.groupBy("grp").agg(F.count("*").alias("near"), F.max(1.0 - F.col("sim") / (F.col("n1") + F.col("n2") - F.col("sim"))).alias("far"))
     all_pairs = F.col("count") * (F.col("count") - 1) / 2
-    return n.join(near, "grp", "left").select(F.col("grp").alias(group), "count", F.when(F.coalesce("near", F.lit(0)) < all_pairs, 1.0).otherwise(F.col("far")).alias("max_dist"))
+    return n.join(near, "grp", "left").select(F.col("grp").alias(group), "count",
+        F.when(F.coalesce("near", F.lit(0)) < all_pairs, 1.0).otherwise(F.col("far")).alias("max_dist"))
 
 

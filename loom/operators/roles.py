@@ -20,11 +20,13 @@ def universal_roles(features: DataFrame, percent: float = 80.0) -> DataFrame:
     """
     genomes = features.agg(F.count_distinct("genome").alias("genomes"))
     per_genome = features.groupBy("genome", "role").agg(F.count("*").alias("n"), F.min("length").alias("length"))
-    single = per_genome.where("n = 1").groupBy("role").agg(F.count("*").alias("count"), F.avg("length").alias("mean_len"), sample_deviation(F.col("length")).alias("sdev_len"))
+    single = per_genome.where("n = 1").groupBy("role").agg(F.count("*").alias("count"), F.avg("length").alias("mean_len"),
+        sample_deviation(F.col("length")).alias("sdev_len"))
     families = features.where("family IS NOT NULL").groupBy("role").agg(F.array_join(F.sort_array(F.collect_set("family")), ",").alias("families"))
     kept = single.crossJoin(F.broadcast(genomes)).where(F.col("count") >= percent_threshold(percent, F.col("genomes")))  # one row
     out = kept.join(families, "role", "left")
-    return out.select("role", "count", (F.col("count") * 100.0 / F.col("genomes")).alias("percent"), "mean_len", "sdev_len", F.coalesce("families", F.lit("")).alias("families"))
+    return out.select("role", "count", (F.col("count") * 100.0 / F.col("genomes")).alias("percent"), "mean_len", "sdev_len",
+        F.coalesce("families", F.lit("")).alias("families"))
 
 
 def in_domains(features: DataFrame, genomes: DataFrame, domains: tuple[str, ...] = DOMAINS) -> DataFrame:
@@ -62,7 +64,8 @@ def role_counts(roles: DataFrame, genomes: DataFrame, features: DataFrame, repor
     grid = genomes.select("genome").crossJoin(F.broadcast(asked)).select("genome", F.explode("roles").alias("role"))  # one row
     counts = features.groupBy("genome", "role").agg(F.count("*").alias("n"))
     n = F.coalesce("n", F.lit(0))
-    return grid.join(counts, ["genome", "role"], "left").select("role", "genome", n.alias("count"), role_type(n).alias("type")).where(F.col("type").isin(*REPORTS[report]))
+    return grid.join(counts, ["genome", "role"], "left").select("role", "genome", n.alias("count"),
+        role_type(n).alias("type")).where(F.col("type").isin(*REPORTS[report]))
 
 
 def distinct_roles_summary(counts: DataFrame) -> DataFrame:

@@ -25,7 +25,8 @@ def parse_lineage(genomes: DataFrame, taxa: DataFrame) -> DataFrame:
         F.max_by("genetic_code", F.when(F.col("rank") == "species", F.col("pos"))).alias("code"),
         F.when(F.max((F.col("tax_id") == ARCHAEA).cast("int")) == 1, "Archaea").otherwise("Bacteria").alias("domain"),
     )
-    found = found.select("id", F.coalesce("genus", F.lit("")).alias("genus"), "species", "domain", F.coalesce("code", F.lit(DEFAULT_CODE)).alias("genetic_code"))
+    found = found.select("id", F.coalesce("genus", F.lit("")).alias("genus"), "species", "domain",
+        F.coalesce("code", F.lit(DEFAULT_CODE)).alias("genetic_code"))
     return genomes.join(found.where("species IS NOT NULL"), "id")
 
 
@@ -36,7 +37,9 @@ def without_species(genomes: DataFrame, parsed: DataFrame) -> DataFrame:
 
 def taxon_report(good: DataFrame, rep_col: str, genus_col: str = "genus", species_col: str = "species") -> DataFrame:
     """(tax_id, rank, repgen_id, count, weight): how often each genus and species falls to each representative."""
-    taxa = good.select(F.col(rep_col).alias("repgen_id"), F.explode(F.array(F.struct(F.lit("genus").alias("rank"), F.col(genus_col).cast("string").alias("tax_id")), F.struct(F.lit("species").alias("rank"), F.col(species_col).cast("string").alias("tax_id")))).alias("t")).select("repgen_id", "t.*")
+    taxa = good.select(F.col(rep_col).alias("repgen_id"),
+        F.explode(F.array(F.struct(F.lit("genus").alias("rank"), F.col(genus_col).cast("string").alias("tax_id")),
+        F.struct(F.lit("species").alias("rank"), F.col(species_col).cast("string").alias("tax_id")))).alias("t")).select("repgen_id", "t.*")
     counts = taxa.where("tax_id IS NOT NULL AND tax_id NOT IN ('', '0')").groupBy("tax_id", "rank", "repgen_id").agg(F.count("*").alias("count"))
     total = counts.groupBy("tax_id", "rank").agg(F.sum("count").alias("total"))
     return counts.join(total, ["tax_id", "rank"]).select("tax_id", "rank", "repgen_id", "count", (F.col("count") / F.col("total")).alias("weight"))
@@ -65,7 +68,8 @@ def hierarchy_errors(good: DataFrame, levels: list[int]) -> DataFrame:
     both = good.select("id", cols[-1], own.alias("actual")).join(reps, cols[-1], "left")
     found = F.when(F.col("expected").isNull(), F.lit(len(cols) - 1)).otherwise(last_mismatch(F.col("expected"), F.col("actual")))
     bad = both.withColumn("at", found).where("at IS NOT NULL")
-    return bad.select("id", F.get(F.array(*[F.lit(n) for n in sorted(levels)]), F.col("at")).alias("level"), F.get("expected", F.col("at")).alias("expected"), F.get("actual", F.col("at")).alias("actual"))
+    return bad.select("id", F.get(F.array(*[F.lit(n) for n in sorted(levels)]), F.col("at")).alias("level"),
+        F.get("expected", F.col("at")).alias("expected"), F.get("actual", F.col("at")).alias("actual"))
 
 
 def parents(good: DataFrame, levels: list[int]) -> DataFrame:
@@ -86,7 +90,8 @@ def blanked(edges: DataFrame) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("level", "id").orderBy("parent"))
     rows = multiple_parents(edges).withColumn("place", place)
     shown = lambda c: F.when(F.col("place") == 1, c).otherwise("")
-    return rows.select("level", "id", "place", shown(F.col("id").cast("string")).alias("child"), shown(F.concat(F.lit("rep"), F.col("level").cast("string"))).alias("set_name"), "parent")
+    return rows.select("level", "id", "place", shown(F.col("id").cast("string")).alias("child"),
+        shown(F.concat(F.lit("rep"), F.col("level").cast("string"))).alias("set_name"), "parent")
 
 
 def tree(edges: DataFrame, levels: list[int]) -> DataFrame:
@@ -97,7 +102,8 @@ def tree(edges: DataFrame, levels: list[int]) -> DataFrame:
     out = level
     for depth, k in enumerate(n[1:], 1):
         down = edges.where(F.col("level") == k).select(F.col("id").alias("child"), "parent")
-        level = level.join(down, level.id == down.parent).select(F.lit(depth).alias("depth"), F.col("child").alias("id"), F.concat("path", F.array("child")).alias("path"))
+        level = level.join(down, level.id == down.parent).select(F.lit(depth).alias("depth"), F.col("child").alias("id"),
+            F.concat("path", F.array("child")).alias("path"))
         out = out.unionByName(level)
     return out
 
@@ -117,7 +123,10 @@ def missing_in_finer(sets: DataFrame) -> DataFrame:
 
 def representation_errors(good: DataFrame, sets: DataFrame, levels: list[int]) -> DataFrame:
     """(id, level, bad_rep, error): assigned ids that are no representative, and representatives not their own."""
-    long = good.select("id", F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.col(f"rep{n}").alias("rep")) for n in sorted(levels)])).alias("r")).select("id", "r.*").where("rep IS NOT NULL")
-    strange = long.join(sets.select("level", F.col("id").alias("rep")), ["level", "rep"], "left_anti").select("id", "level", F.col("rep").alias("bad_rep"), F.lit("Not a Representative").alias("error"))
-    other = long.join(sets.select("level", "id"), ["level", "id"], "left_semi").where("rep <> id").select("id", "level", F.col("rep").alias("bad_rep"), F.lit("Not Self-Representing").alias("error"))
+    long = good.select("id", F.explode(F.array(*[F.struct(F.lit(n).alias("level"),
+        F.col(f"rep{n}").alias("rep")) for n in sorted(levels)])).alias("r")).select("id", "r.*").where("rep IS NOT NULL")
+    strange = long.join(sets.select("level", F.col("id").alias("rep")), ["level", "rep"], "left_anti").select("id", "level",
+        F.col("rep").alias("bad_rep"), F.lit("Not a Representative").alias("error"))
+    other = long.join(sets.select("level", "id"), ["level", "id"], "left_semi").where("rep <> id").select("id", "level",
+        F.col("rep").alias("bad_rep"), F.lit("Not Self-Representing").alias("error"))
     return strange.unionByName(other)

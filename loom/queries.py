@@ -52,9 +52,13 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as features of a user: a minute long, on one of two strands, with families and subsystems."""
     e = table(spark, sf_dir, "events")
     left = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ '2024-01-01 00:00:00', ts)").cast("long")
-    sub = F.when(F.col("event_id") % 3 == 0, F.array(F.concat(F.lit("s"), (F.col("event_id") % 5).cast("string")), F.lit("s9"))).when(F.col("event_id") % 3 == 1, F.array(F.concat(F.lit("s"), (F.col("event_id") % 5).cast("string")))).otherwise(F.array().cast("array<string>"))
+    sub = F.when(F.col("event_id") % 3 == 0, F.array(F.concat(F.lit("s"), (F.col("event_id") % 5).cast("string")),
+        F.lit("s9"))).when(F.col("event_id") % 3 == 1, F.array(F.concat(F.lit("s"),
+        (F.col("event_id") % 5).cast("string")))).otherwise(F.array().cast("array<string>"))
     family = F.when(F.col("value") < 10, F.lit(None)).otherwise(F.concat(F.lit("f"), F.floor(F.col("value") / 20).cast("string")))
-    return e.select(F.col("user_id").alias("genome"), F.col("event_id").alias("fid"), F.lit("c").alias("contig"), (F.col("event_id") % 2).alias("strand"), left.alias("left"), (left + 60).alias("right"), F.concat("event_type", F.lit(" / hypothetical protein # note")).alias("function"), family.alias("pgfam"), sub.alias("subsystems"))
+    return e.select(F.col("user_id").alias("genome"), F.col("event_id").alias("fid"), F.lit("c").alias("contig"),
+        (F.col("event_id") % 2).alias("strand"), left.alias("left"), (left + 60).alias("right"),
+        F.concat("event_type", F.lit(" / hypothetical protein # note")).alias("function"), family.alias("pgfam"), sub.alias("subsystems"))
 
 
 def event_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +84,8 @@ def event_totals(spark: SparkSession, sf_dir: str, finder: str = "CLOSE", keep:
 def kmer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = similarity.sizes(index(spark, sf_dir))
     seqs = sequences(spark, sf_dir)
-    return seqs.join(n, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("kmers"), ambiguity_count(F.col("seq"), "x").alias("ambiguous"), F.length("seq").cast("long").alias("letters"))
+    return seqs.join(n, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("kmers"), ambiguity_count(F.col("seq"), "x").alias("ambiguous"),
+        F.length("seq").cast("long").alias("letters"))
 
 
 def pair_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,11 +95,14 @@ def pair_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def distance_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summary of all pairs; those that share nothing enter as sim 0 and distance 1, by their number."""
     idx = index(spark, sf_dir)
-    near = similarity.pair_distances(idx).agg(F.count("*").alias("near"), F.sum("sim").alias("s"), F.sum(F.col("sim") * F.col("sim")).alias("ss"), F.sum(1 - F.col("distance")).alias("d"), F.sum((1 - F.col("distance")) * (1 - F.col("distance"))).alias("dd"))
+    near = similarity.pair_distances(idx).agg(F.count("*").alias("near"), F.sum("sim").alias("s"), F.sum(F.col("sim") * F.col("sim")).alias("ss"),
+        F.sum(1 - F.col("distance")).alias("d"), F.sum((1 - F.col("distance")) * (1 - F.col("distance"))).alias("dd"))
     n = idx.agg(F.count_distinct("id").alias("n")).select((F.col("n") * (F.col("n") - 1) / 2).alias("pairs"))
     both = near.crossJoin(F.broadcast(n))  # one row each
     mean_s, mean_d = F.col("s") / F.col("pairs"), F.col("d") / F.col("pairs")
-    return both.select(F.col("pairs").cast("long").alias("pairs"), (F.col("pairs") - F.col("near")).cast("long").alias("zero_pairs"), F.round(mean_s, 6).alias("mean_sim"), F.round(F.sqrt(F.col("ss") / F.col("pairs") - mean_s * mean_s), 6).alias("sd_sim"), F.round(1 - mean_d, 6).alias("mean_distance"), F.round(F.sqrt(F.col("dd") / F.col("pairs") - mean_d * mean_d), 6).alias("sd_distance"))
+    return both.select(F.col("pairs").cast("long").alias("pairs"), (F.col("pairs") - F.col("near")).cast("long").alias("zero_pairs"),
+        F.round(mean_s, 6).alias("mean_sim"), F.round(F.sqrt(F.col("ss") / F.col("pairs") - mean_s * mean_s), 6).alias("sd_sim"),
+        F.round(1 - mean_d, 6).alias("mean_distance"), F.round(F.sqrt(F.col("dd") / F.col("pairs") - mean_d * mean_d), 6).alias("sd_distance"))
 
 
 def nearest_representative(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +134,8 @@ def group_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def seq_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best representative by each of two k-mer sizes, and whether they agree."""
-    best = [nearest.nearest(index(spark, sf_dir, k, "user"), index(spark, sf_dir, k, "assistant")).select("id", F.col("ref_id").alias(f"{n}_rep"), F.col("sim").alias(f"{n}_sim")) for n, k in (("seed", 8), ("rna", 12))]
+    best = [nearest.nearest(index(spark, sf_dir, k, "user"), index(spark, sf_dir, k, "assistant")).select("id", F.col("ref_id").alias(f"{n}_rep"),
+        F.col("sim").alias(f"{n}_sim")) for n, k in (("seed", 8), ("rna", 12))]
     return best[0].join(best[1], "id").withColumn("same", F.col("seed_rep").eqNullSafe(F.col("rna_rep")))
 
 
@@ -231,7 +240,9 @@ def coupling_pair_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which filters each pair passes."""
     totals = event_totals(spark, sf_dir)
     white = spark.createDataFrame([("error",), ("f0",)], "class string")
-    passed = [f.select("class1", "class2", F.lit(n).alias("filter"), "size") for n, f in (("SIZE", coupling.by_size(totals, 140.0)), ("WEIGHT", coupling.by_weight(totals, 1.0)), ("WHITELIST", coupling.whitelisted(totals, white)))]
+    passed = [f.select("class1", "class2", F.lit(n).alias("filter"), "size") for n,
+        f in (("SIZE", coupling.by_size(totals, 140.0)), ("WEIGHT", coupling.by_weight(totals, 1.0)),
+        ("WHITELIST", coupling.whitelisted(totals, white)))]
     return passed[0].union(passed[1]).union(passed[2])
 
 
@@ -244,8 +255,10 @@ def coupling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def coupling_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of a conversation as neighbours of a genome; classes are roles and lengths."""
     seqs = sequences(spark, sf_dir)
-    classes = seqs.select(F.col("conv_id").alias("genome"), F.col("turn").alias("fid"), F.explode(F.array("role", F.concat(F.lit("len"), F.floor(F.length("seq") / 400).cast("string")))).alias("class"))
-    feats = seqs.select(F.col("conv_id").alias("genome"), F.col("turn").alias("fid"), F.lit("c").alias("contig"), F.lit(0).alias("strand"), F.col("turn").alias("left"), F.col("turn").alias("right"))
+    classes = seqs.select(F.col("conv_id").alias("genome"), F.col("turn").alias("fid"),
+        F.explode(F.array("role", F.concat(F.lit("len"), F.floor(F.length("seq") / 400).cast("string")))).alias("class"))
+    feats = seqs.select(F.col("conv_id").alias("genome"), F.col("turn").alias("fid"), F.lit("c").alias("contig"), F.lit(0).alias("strand"),
+        F.col("turn").alias("left"), F.col("turn").alias("right"))
     per = coupling.pair_genomes(coupling.class_pairs(coupling.adjacent(feats, 1), classes, coupling.class_counts(classes)))
     seeds = kmer_index(roles.longest_per_group(seqs.select("conv_id", "turn", "seq"), "conv_id", "seq", "turn"), "conv_id", "seq", K)
     sims = similarity.pair_distances(seeds).select(F.col("id1").alias("g1"), F.col("id2").alias("g2"), "sim", "distance")
@@ -277,7 +290,8 @@ def coupling_feature_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def universal_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    feats = lines.join(part, lines.l_partkey == part.p_partkey).select(F.col("l_orderkey").alias("genome"), F.col("p_type").alias("role"), F.col("l_quantity").alias("length"), F.col("p_brand").alias("family"))
+    feats = lines.join(part, lines.l_partkey == part.p_partkey).select(F.col("l_orderkey").alias("genome"), F.col("p_type").alias("role"),
+        F.col("l_quantity").alias("length"), F.col("p_brand").alias("family"))
     out = roles.universal_roles(feats, 15.0)
     return out.select("role", "count", "families", *[F.round(c, 6).alias(c) for c in ("percent", "mean_len", "sdev_len")]).orderBy(F.desc("count"), "role")
 
@@ -312,28 +326,37 @@ def tax_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineage_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     rank = F.when(F.col("c_custkey") % 3 == 0, "species").when(F.col("c_custkey") % 3 == 1, "genus").otherwise("strain")
-    chain = F.array(F.struct(rank.alias("rank"), F.col("c_name").alias("name")), F.struct(F.when(F.col("c_custkey") % 2 == 0, "genus").otherwise("clade").alias("rank"), F.col("n_name").alias("name")), F.struct(F.lit("phylum").alias("rank"), F.col("r_name").alias("name")))
+    chain = F.array(F.struct(rank.alias("rank"), F.col("c_name").alias("name")),
+        F.struct(F.when(F.col("c_custkey") % 2 == 0, "genus").otherwise("clade").alias("rank"), F.col("n_name").alias("name")),
+        F.struct(F.lit("phylum").alias("rank"), F.col("r_name").alias("name")))
     return _customers(spark, sf_dir).select("c_custkey", taxonomy.lineage_text(chain, F.lit("Bacteria"), "GENUS").alias("taxonomy"))
 
 
 def lineage_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _customers(spark, sf_dir)
-    rows = c.select(F.col("c_custkey").alias("id"), F.concat(F.when(F.col("n_regionkey") == 2, "2157::").otherwise(""), F.lit("r"), F.col("n_regionkey").cast("string"), F.lit("::n"), F.col("c_nationkey").cast("string"), F.when(F.col("c_custkey") % 4 > 0, F.concat(F.lit("::"), F.lower("c_mktsegment"))).otherwise("")).alias("lineage"))
+    rows = c.select(F.col("c_custkey").alias("id"),
+        F.concat(F.when(F.col("n_regionkey") == 2, "2157::").otherwise(""), F.lit("r"), F.col("n_regionkey").cast("string"), F.lit("::n"),
+        F.col("c_nationkey").cast("string"), F.when(F.col("c_custkey") % 4 > 0,
+        F.concat(F.lit("::"), F.lower("c_mktsegment"))).otherwise("")).alias("lineage"))
     n = table(spark, sf_dir, "nation")
-    taxa = n.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("tax_id"), F.lit("genus").alias("rank"), F.lit(None).cast("int").alias("genetic_code"))
-    segments = c.select(F.lower("c_mktsegment").alias("tax_id"), F.lit("species").alias("rank"), F.when(F.col("c_mktsegment") == "BUILDING", 4).cast("int").alias("genetic_code")).distinct()
+    taxa = n.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("tax_id"), F.lit("genus").alias("rank"),
+        F.lit(None).cast("int").alias("genetic_code"))
+    segments = c.select(F.lower("c_mktsegment").alias("tax_id"), F.lit("species").alias("rank"),
+        F.when(F.col("c_mktsegment") == "BUILDING", 4).cast("int").alias("genetic_code")).distinct()
     return taxonomy.parse_lineage(rows, taxa.unionByName(segments)).select("id", "genus", "species", "domain", "genetic_code")
 
 
 def _good(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with representatives at three levels, nested but for some."""
     k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(k.alias("id"), (k % 5).alias("rep10"), F.when(k % 11 == 0, k % 7).otherwise(k % 25).alias("rep50"), (k % 100).alias("rep100"))
+    return table(spark, sf_dir, "customer").select(k.alias("id"), (k % 5).alias("rep10"), F.when(k % 11 == 0, k % 7).otherwise(k % 25).alias("rep50"),
+        (k % 100).alias("rep100"))
 
 
 def _good_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
-    return k.where("id < 5").select(F.lit(10).alias("level"), "id").union(k.where("id < 25 AND id <> 3").select(F.lit(50), "id")).union(k.where("id < 100 AND id % 10 <> 7").select(F.lit(100), "id"))
+    return k.where("id < 5").select(F.lit(10).alias("level"),
+        "id").union(k.where("id < 25 AND id <> 3").select(F.lit(50), "id")).union(k.where("id < 100 AND id % 10 <> 7").select(F.lit(100), "id"))
 
 
 def hierarchy_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,7 +424,8 @@ def _sums(rows: DataFrame, by: list[str]) -> DataFrame:
     """Sums over 1 - distance, in which pairs at distance 1 are 0."""
     u, v = 1 - F.col("seed_dist"), 1 - F.col("rna_dist")
     d = F.abs(F.col("seed_dist") - F.col("rna_dist"))
-    return rows.groupBy(*by).agg(F.count("*").alias("near"), F.sum(u).alias("u"), F.sum(v).alias("v"), F.sum(u * u).alias("uu"), F.sum(v * v).alias("vv"), F.sum(u * v).alias("uv"), F.sum(d).alias("d"), F.sum(d * d).alias("dd"))
+    return rows.groupBy(*by).agg(F.count("*").alias("near"), F.sum(u).alias("u"), F.sum(v).alias("v"), F.sum(u * u).alias("uu"),
+        F.sum(v * v).alias("vv"), F.sum(u * v).alias("uv"), F.sum(d).alias("d"), F.sum(d * d).alias("dd"))
 
 
 def _pearson(n: Column) -> Column:
@@ -411,7 +435,8 @@ def _pearson(n: Column) -> Column:
 def seq_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over all pairs; those at (1, 1) enter by their number."""
     n = sequences(spark, sf_dir).count()
-    return _sums(_compared(spark, sf_dir), []).select(F.lit(n * (n - 1) // 2).cast("long").alias("pairs"), _pearson(F.lit(float(n * (n - 1) // 2))).alias("pearson"))
+    return _sums(_compared(spark, sf_dir), []).select(F.lit(n * (n - 1) // 2).cast("long").alias("pairs"),
+        _pearson(F.lit(float(n * (n - 1) // 2))).alias("pearson"))
 
 
 def _each(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -423,7 +448,8 @@ def error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each turn's errors against all others, the largest mean first."""
     n = sequences(spark, sf_dir).count() - 1
     out = sequences(spark, sf_dir).select("id").join(_sums(_each(spark, sf_dir), ["id"]), "id", "left").fillna(0.0, ["d", "dd"])
-    out = out.select("id", F.round(F.col("d") / n, 6).alias("mean_error"), F.round(stats.deviation_of_sums(F.lit(n), F.col("d"), F.col("dd")), 6).alias("sd_error"))
+    out = out.select("id", F.round(F.col("d") / n, 6).alias("mean_error"),
+        F.round(stats.deviation_of_sums(F.lit(n), F.col("d"), F.col("dd")), 6).alias("sd_error"))
     return out.orderBy(F.desc("mean_error"), "id")
 
 
@@ -448,10 +474,12 @@ def neighbor_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         d = similarity.with_distance(similarity.cross_sims(q, r), "id", similarity.sizes(q), "ref_id", similarity.sizes(r))
         u = 1 - F.col("distance")
         got = d.groupBy("id").agg(F.sort_array(F.collect_list("distance")).alias("d"), F.sum(u).alias("u"), F.sum(u * u).alias("uu"))
-        got = others.join(got, "id", "left").select("id", F.coalesce("d", F.array().cast("array<double>")).alias("d"), F.coalesce("u", F.lit(0.0)).alias("u"), F.coalesce("uu", F.lit(0.0)).alias("uu"))
+        got = others.join(got, "id", "left").select("id", F.coalesce("d", F.array().cast("array<double>")).alias("d"),
+            F.coalesce("u", F.lit(0.0)).alias("u"), F.coalesce("uu", F.lit(0.0)).alias("uu"))
         s, n, far = F.col("d"), F.lit(refs), F.lit(1.0)
         at = lambda i: F.coalesce(F.get(s, i), far)  # noqa: B023, E731
-        cols = {"min": at(F.lit(0)), "v100": at(F.least(F.lit(100), n - 1)), "max": at(n - 1), "mean": 1 - F.col("u") / n, "sdev": stats.deviation_of_sums(n, F.col("u"), F.col("uu"))}
+        cols = {"min": at(F.lit(0)), "v100": at(F.least(F.lit(100), n - 1)), "max": at(n - 1), "mean": 1 - F.col("u") / n,
+            "sdev": stats.deviation_of_sums(n, F.col("u"), F.col("uu"))}
         cols |= {f"q{i}": stats.padded_percentile(s, n, far, i / 4) for i in (1, 2, 3)}
         part = got.select("id", F.lit(measure).alias("measure"), *[F.round(c, 6).alias(name) for name, c in cols.items()])
         out = part if out is None else out.unionByName(part)

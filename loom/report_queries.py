@@ -43,7 +43,8 @@ def both_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, part = q.table(spark, sf_dir, "lineitem"), q.table(spark, sf_dir, "part")
-    return lines.join(part, lines.l_partkey == part.p_partkey).select(F.col("l_orderkey").alias("genome"), F.col("p_type").alias("role"), F.col("l_quantity").alias("length"), F.col("p_brand").alias("family"))
+    return lines.join(part, lines.l_partkey == part.p_partkey).select(F.col("l_orderkey").alias("genome"), F.col("p_type").alias("role"),
+        F.col("l_quantity").alias("length"), F.col("p_brand").alias("family"))
 
 
 def domain_universal_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,21 +96,24 @@ def coupling_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def coupling_reread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A coupling report as text, read again; half of it the other way round."""
     totals = q.event_totals(spark, sf_dir, "ADJACENT")
-    turned = totals.select(F.when(F.col("size") % 2 == 0, F.col("class1")).otherwise(F.col("class2")).alias("class1"), F.when(F.col("size") % 2 == 0, F.col("class2")).otherwise(F.col("class1")).alias("class2"), "size", "weight")
+    turned = totals.select(F.when(F.col("size") % 2 == 0, F.col("class1")).otherwise(F.col("class2")).alias("class1"),
+        F.when(F.col("size") % 2 == 0, F.col("class2")).otherwise(F.col("class1")).alias("class2"), "size", "weight")
     return coupling.read_report(coupling.report_lines(turned)).select("class1", "class2", "size", F.round("strength", 6).alias("strength"))
 
 
 def coupling_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coupled classes with their names, and '' for those without one."""
     totals = q.event_totals(spark, sf_dir, "ADJACENT")
-    names = q.event_classes(spark, sf_dir).select("class").distinct().where("class LIKE 'f%'").select("class", F.concat(F.lit("family "), F.substring("class", 2, 9)).alias("name"))
+    names = q.event_classes(spark, sf_dir).select("class").distinct().where("class LIKE 'f%'").select("class",
+        F.concat(F.lit("family "), F.substring("class", 2, 9)).alias("name"))
     return coupling.named(totals, names).select("class1", "family_product1", "class2", "family_product2", "size")
 
 
 def coupling_by_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features whose family is that of their protein's checksum, counted by family."""
     feats = q.features(spark, sf_dir).withColumn("md5", F.md5(F.concat(F.lit("p"), (F.col("fid") % 50).cast("string"))))
-    families = spark.range(40).select(F.concat(F.lit("X"), (F.col("id") % 7).cast("string")).alias("fam_id"), F.lit("").alias("product"), F.md5(F.concat(F.lit("p"), F.col("id").cast("string"))).alias("md5"))
+    families = spark.range(40).select(F.concat(F.lit("X"), (F.col("id") % 7).cast("string")).alias("fam_id"), F.lit("").alias("product"),
+        F.md5(F.concat(F.lit("p"), F.col("id").cast("string"))).alias("md5"))
     return coupling.by_sequence(feats, families).groupBy("class").agg(F.count("*").alias("n"), F.count_distinct("genome").alias("genomes"))
 
 
@@ -135,7 +139,8 @@ def fully_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def genome_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of each table that each genome mode gives out."""
     b = q.built(spark, sf_dir)
-    rows = [df.agg(F.count("*").alias("n")).select(F.lit(mode).alias("mode"), F.lit(name).alias("name"), "n") for mode in plans.MODES for name, df in plans.outputs(b, mode).items()]
+    rows = [df.agg(F.count("*").alias("n")).select(F.lit(mode).alias("mode"), F.lit(name).alias("name"), "n") for mode in plans.MODES for name,
+        df in plans.outputs(b, mode).items()]
     return reduce(DataFrame.unionByName, rows)
 
 
@@ -143,29 +148,35 @@ def feature_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The column expressions on feature ids, comments, sequences and places, over all events."""
     e = q.table(spark, sf_dir, "events")
     n = F.col("event_id")
-    fid = F.when(n % 5 == 0, F.concat(F.lit("peg."), n.cast("string"))).otherwise(F.concat(F.lit("fig|"), F.col("user_id").cast("string"), F.lit("."), (n % 30).cast("string"), F.lit(".peg."), n.cast("string")))
+    fid = F.when(n % 5 == 0, F.concat(F.lit("peg."), n.cast("string"))).otherwise(F.concat(F.lit("fig|"), F.col("user_id").cast("string"), F.lit("."),
+        (n % 30).cast("string"), F.lit(".peg."), n.cast("string")))
     comment = F.when(n % 3 == 0, F.concat("event_type", F.lit("\t"), n.cast("string"), F.lit("\tend"))).otherwise(F.col("event_type"))
     dna = F.when(n % 7 > 0, F.concat(F.lit("acgt"), F.repeat(F.lit("n"), (n % 8).cast("int")), F.lit("acgt")))
     protein = F.when(n % 11 > 0, F.when(n % 4 == 0, F.concat(F.lit("MAXX"), F.col("event_type"))).otherwise(F.concat(F.lit("MA"), F.upper("event_type"))))
     left = n % 100
     sim = F.when(n % 13 == 0, F.lit(sequences.INFINITE)).otherwise(n % 50)
     return e.select(
-        "event_id", sequences.genome_of_feature(fid).alias("genome"), sequences.after_first_tab(comment).alias("after_tab"), sequences.incomplete_reason(dna, protein).alias("reason"), sequences.valid_dna(dna).alias("valid"),
-        sequences.gap(n % 2 == 0, left, left + 20, F.lit(50), F.lit(70)).alias("gap"), sequences.shown_similarity(sim).alias("shown"), F.round(kmers.inverse_similarity(n % 50), 9).alias("inverse"),
-        kmers.similarity(kmers.kmer_array(protein, 2), kmers.kmer_array(F.lit("MAXXCLICK"), 2)).alias("shared"), sequences.triplet_index(protein, F.lit(1)).alias("triplet"),
+        "event_id", sequences.genome_of_feature(fid).alias("genome"), sequences.after_first_tab(comment).alias("after_tab"),
+            sequences.incomplete_reason(dna, protein).alias("reason"), sequences.valid_dna(dna).alias("valid"),
+        sequences.gap(n % 2 == 0, left, left + 20, F.lit(50), F.lit(70)).alias("gap"), sequences.shown_similarity(sim).alias("shown"),
+            F.round(kmers.inverse_similarity(n % 50), 9).alias("inverse"),
+        kmers.similarity(kmers.kmer_array(protein, 2), kmers.kmer_array(F.lit("MAXXCLICK"), 2)).alias("shared"),
+            sequences.triplet_index(protein, F.lit(1)).alias("triplet"),
     )
 
 
 def natural_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Genome ids within their first part, in the order of their numbers."""
-    ids = q.table(spark, sf_dir, "events").select(F.concat((F.col("user_id") % 20).cast("string"), F.lit("."), F.col("user_id").cast("string")).alias("id")).distinct()
+    ids = q.table(spark, sf_dir, "events").select(F.concat((F.col("user_id") % 20).cast("string"), F.lit("."),
+        F.col("user_id").cast("string")).alias("id")).distinct()
     key = sequences.natural_id_key(F.col("id"))
     return ids.withColumn("place", F.row_number().over(Window.partitionBy(key[0]).orderBy(key))).select("id", "place")
 
 
 def local_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Families of one's own, by their column, with how many features of how many users have them."""
-    feats = q.features(spark, sf_dir).withColumn("plfam", F.when(F.col("fid") % 6 > 0, F.concat(F.lit("L"), (F.col("genome") % 4).cast("string"), F.lit("_"), (F.col("fid") % 9).cast("string"))))
+    feats = q.features(spark, sf_dir).withColumn("plfam",
+        F.when(F.col("fid") % 6 > 0, F.concat(F.lit("L"), (F.col("genome") % 4).cast("string"), F.lit("_"), (F.col("fid") % 9).cast("string"))))
     return coupling.CLASSIFIERS["LOCAL_TEST"](feats, "plfam").groupBy("class").agg(F.count("*").alias("n"), F.count_distinct("genome").alias("genomes"))
 
 
@@ -182,7 +193,8 @@ def resume_after(spark: SparkSession, sf_dir: str) -> DataFrame:
 def seed_proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The longest text of the users' features that have a role; an array of features a user stands for a genome document."""
     e = q.table(spark, sf_dir, "events")
-    feature = F.struct(F.lpad(F.col("event_id").cast("string"), 9, "0").alias("fid"), F.concat("event_type", F.lit(" / other")).alias("function"), "props", F.concat("props", F.lit("x")).alias("protein"), F.lit("").alias("dna"))
+    feature = F.struct(F.lpad(F.col("event_id").cast("string"), 9, "0").alias("fid"), F.concat("event_type", F.lit(" / other")).alias("function"),
+        "props", F.concat("props", F.lit("x")).alias("protein"), F.lit("").alias("dna"))
     genomes = e.groupBy(F.col("user_id").alias("id")).agg(F.collect_list(feature).alias("features"))
     out = tables.seed_proteins(tables.features_of(genomes), ["click", "error"])
     return out.select("genome", "fid", F.length("protein").cast("long").alias("letters"))

@@ -18,7 +18,8 @@ GENOME = (
 
 def read_tsv(spark: SparkSession, path: str, schema: str | None = None, header: bool = True) -> DataFrame:
     """Cells are trimmed text unless schema says otherwise; without a header, columns are those of schema or c1, c2, ..."""
-    reader = spark.read.option("sep", "\t").option("header", header).option("quote", "").option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).option("enforceSchema", False if header and schema else True)
+    reader = spark.read.option("sep", "\t").option("header", header).option("quote", "").option("ignoreLeadingWhiteSpace",
+        True).option("ignoreTrailingWhiteSpace", True).option("enforceSchema", False if header and schema else True)
     df = reader.schema(schema).csv(path) if schema else reader.csv(path)
     return df if header or schema else df.toDF(*[f"c{i + 1}" for i in range(len(df.columns))])
 
@@ -51,19 +52,22 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     record = F.regexp_replace("value", "^>", "")
     head, body = F.substring_index(record, "\n", 1), F.regexp_extract(record, r"(?s)\n(.*)$", 1)
     first = F.regexp_extract(head, r"^(\S*)\s*(.*?)\s*$", 1)
-    out = raw.where(F.trim("value") != "").select(F.monotonically_increasing_id().alias("position"), first.alias("label"), F.regexp_extract(head, r"^(\S*)\s?(.*?)\s*$", 2).alias("comment"), F.regexp_replace(body, r"\s", "").alias("sequence"))
+    out = raw.where(F.trim("value") != "").select(F.monotonically_increasing_id().alias("position"), first.alias("label"),
+        F.regexp_extract(head, r"^(\S*)\s?(.*?)\s*$", 2).alias("comment"), F.regexp_replace(body, r"\s", "").alias("sequence"))
     return out
 
 
 def write_fasta(df: DataFrame, path: str, label: str = "label", comment: str = "comment", sequence: str = "sequence") -> None:
-    text = F.concat(F.lit(">"), F.col(label), F.when(F.coalesce(F.col(comment), F.lit("")) != "", F.concat(F.lit(" "), F.col(comment))).otherwise(""), F.lit("\n"), F.coalesce(F.col(sequence), F.lit("")))
+    text = F.concat(F.lit(">"), F.col(label), F.when(F.coalesce(F.col(comment), F.lit("")) != "", F.concat(F.lit(" "), F.col(comment))).otherwise(""),
+        F.lit("\n"), F.coalesce(F.col(sequence), F.lit("")))
     df.select(text.alias("value")).write.mode("overwrite").text(path)
 
 
 def write_tsv(df: DataFrame, path: str, formats: dict[str, str] | None = None) -> None:
     """Numbers are formatted here and only here; nulls are empty cells."""
     cols = [F.format_string(formats[c], F.col(c)).alias(c) if formats and c in formats else F.col(c) for c in df.columns]
-    df.select(*cols).write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("quote", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    df.select(*cols).write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("quote",
+        "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_genomes(spark: SparkSession, path: str, kind: str = "DIR") -> DataFrame:
@@ -75,7 +79,8 @@ def read_genomes(spark: SparkSession, path: str, kind: str = "DIR") -> DataFrame
         return spark.read.parquet(path)
     if kind not in ("DIR", "MASTER"):
         raise ValueError(f"unknown kind of genome source {kind!r}")
-    docs = spark.read.schema(GENOME).option("multiLine", True).option("recursiveFileLookup", kind == "MASTER").option("pathGlobFilter", "*.gto*").json(path).withColumn("__file", F.input_file_name())
+    docs = spark.read.schema(GENOME).option("multiLine", True).option("recursiveFileLookup", kind == "MASTER").option("pathGlobFilter",
+        "*.gto*").json(path).withColumn("__file", F.input_file_name())
     return docs.groupBy("id").agg(F.min_by(F.struct(*[c for c in docs.columns if c not in ("id", "__file")]), "__file").alias("g")).select("id", "g.*")
 
 

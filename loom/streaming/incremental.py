@@ -27,4 +27,5 @@ def running_counts(stream: DataFrame, time: str, key: str, window: str = "1 hour
     """(start, key, count) of a stream of rows by event time; state older than `late` is let go."""
     from pyspark.sql import functions as F
 
-    return stream.withWatermark(time, late).groupBy(F.window(time, window), key).agg(F.count("*").alias("count")).select(F.col("window.start").alias("start"), key, "count")
+    return stream.withWatermark(time, late).groupBy(F.window(time, window),
+        key).agg(F.count("*").alias("count")).select(F.col("window.start").alias("start"), key, "count")
