@@ -126,7 +126,8 @@ def bit_filter(hashes: DataFrame, bits: int, repeated: bool) -> np.ndarray:
                 hit = once[byte] & bit != 0
                 np.bitwise_or.at(again, byte[hit | (n > 1)], bit[hit | (n > 1)])
                 np.bitwise_or.at(once, byte, bit)
-        yield from _segments({i: (a, b) for i, (a, b) in enumerate(zip(once.reshape(-1, _SEGMENT_BITS // 8), again.reshape(-1, _SEGMENT_BITS // 8), strict=True)) if a.any()})
+        yield from _segments({i: (a, b) for i, (a, b) in enumerate(zip(once.reshape(-1, _SEGMENT_BITS // 8), again.reshape(-1, _SEGMENT_BITS // 8),
+            strict=True)) if a.any()})
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -151,4 +152,5 @@ def bit_filter(hashes: DataFrame, bits: int, repeated: bool) -> np.ndarray:
 
 def _segments(held: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     for s, (a, b) in held.items():
-        yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([a.tobytes()], pa.binary()), pa.array([b.tobytes()], pa.binary())], names=["segment", "once", "again"])
+        yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([a.tobytes()], pa.binary()), pa.array([b.tobytes()], pa.binary())],
+            names=["segment", "once", "again"])

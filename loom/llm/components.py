@@ -26,7 +26,8 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         best = materialize(current.groupBy("x").agg(F.min(ranked("y")).alias("m")).select("x", F.least("m", ranked("x"))["to"].alias("to")))
         maps.append(best)
         left = current.join(best, "x").select(F.col("to").alias("x"), "y")
-        current = materialize(left.join(best.select(F.col("x").alias("y"), F.col("to").alias("z")), "y").select("x", F.col("z").alias("y")).where("x <> y").distinct())
+        current = materialize(left.join(best.select(F.col("x").alias("y"), F.col("to").alias("z")), "y").select("x",
+            F.col("z").alias("y")).where("x <> y").distinct())
     out = nodes.withColumn("label", F.col("node"))
     for best in maps:
         out = out.join(best.select(F.col("x").alias("label"), "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))

@@ -211,10 +211,12 @@ def search(index: Index, h: np.ndarray, first: np.ndarray) -> dict[int, tuple[in
     return {d: x[2] for d, x in out.items()}
 
 
-FIELDS = [T.StructField("item_id", T.LongType()), T.StructField("equal_tokens", T.IntegerType()), T.StructField("span_tokens", T.IntegerType()), T.StructField("doc_from", T.IntegerType()), T.StructField("item_from", T.IntegerType())]
+FIELDS = [T.StructField("item_id", T.LongType()), T.StructField("equal_tokens", T.IntegerType()), T.StructField("span_tokens", T.IntegerType()),
+    T.StructField("doc_from", T.IntegerType()), T.StructField("item_from", T.IntegerType())]
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", min_tokens: int = MIN_TOKENS, similarity: float = SIMILARITY) -> DataFrame:
+def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+        min_tokens: int = MIN_TOKENS, similarity: float = SIMILARITY) -> DataFrame:
     """docs with contaminated and the longest overlap: item_id, equal_tokens, span_tokens, doc_from, item_from (else null).
 
     A document is contaminated when it shares with an item a stretch of min_tokens tokens or more (a shorter item: all of its

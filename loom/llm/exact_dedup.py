@@ -31,7 +31,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     partial sums; the groups of two and more are written out, so that the join back to the rows has an exchange on both
     sides that adaptive execution can split where one text holds a third of the rows.
     """
-    hashed = materialize(docs.select(F.col(id_col).alias("id"), F.unhex(text_sha(F.col(text_col))).alias("sha")).withColumn("row", F.monotonically_increasing_id()))
+    hashed = materialize(docs.select(F.col(id_col).alias("id"), F.unhex(text_sha(F.col(text_col))).alias("sha")).withColumn("row",
+        F.monotonically_increasing_id()))
     bits = filter_bits(hashed.count())
     h = F.conv(F.hex(F.substring("sha", 1, 8)), 16, -10).cast("long")
     bitmap = hashed.sparkSession.sparkContext.broadcast(bit_filter(hashed.select(h.alias("h")), bits, repeated=True))
@@ -45,6 +46,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     alone, candidates = probed.where(~F.col("maybe")), probed.where("maybe")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
     groups = materialize(candidates.groupBy("sha").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1"))
-    joined = candidates.join(groups, "sha", "left").select("id", "sha", F.when(F.col("n") > 1, F.col("first.id")).otherwise(F.col("id")).alias("keep_id"), F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), F.coalesce(F.col("first.row") == F.col("row"), F.lit(True)).alias("kept"))
+    joined = candidates.join(groups, "sha", "left").select("id", "sha",
+        F.when(F.col("n") > 1, F.col("first.id")).otherwise(F.col("id")).alias("keep_id"), F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
+        F.coalesce(F.col("first.row") == F.col("row"), F.lit(True)).alias("kept"))
     single = alone.select("id", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     return single.unionByName(joined).select(F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))

@@ -153,7 +153,8 @@ def training_row(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string")) % 5 != 0
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES, max_chars: int = TRAIN_CHARS) -> LanguageModel:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_PER_LANGUAGE,
+        max_languages: int = MAX_LANGUAGES, max_chars: int = TRAIN_CHARS) -> LanguageModel:
     """Fits on at most per_language labelled training documents of each of the max_languages most frequent languages.
 
     Rows without a language, an id or a text are not learned from; rows alike in id and text count once; extra columns are
@@ -168,12 +169,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     step = F.floor((n - max_chars // STRETCHES) / F.lit(STRETCHES - 1)).cast("int")
     stretches = F.transform(F.sequence(F.lit(0), F.lit(STRETCHES - 1)), lambda k: text.substr((k * step + 1).cast("int"), F.lit(max_chars // STRETCHES)))
     known = F.col(lang_col).isNotNull() & text.isNotNull() & training_row(id_col)
-    rows = docs.where(known).select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string"), text, F.lit("language sample")).alias("order"), F.when(n > max_chars, F.array_join(stretches, " ")).otherwise(text).alias("text"))
+    rows = docs.where(known).select(F.col(lang_col).cast("string").alias("lang"),
+        F.xxhash64(F.col(id_col).cast("string"), text, F.lit("language sample")).alias("order"),
+        F.when(n > max_chars, F.array_join(stretches, " ")).otherwise(text).alias("text"))
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("order").alias("different"))
     counts = counts.orderBy(F.desc("n"), "lang").limit(max_languages).collect()
     if not counts:
         return fit([], [])
-    limits = docs.sparkSession.createDataFrame([(r.lang, min(2**63 - 1, int(min(1.0, 1.5 * per_language / max(1, r.different)) * 2**64) - 2**63)) for r in counts], "lang string, most long")
+    limits = docs.sparkSession.createDataFrame([(r.lang,
+        min(2**63 - 1, int(min(1.0, 1.5 * per_language / max(1, r.different)) * 2**64) - 2**63)) for r in counts], "lang string, most long")
     near = rows.join(F.broadcast(limits), "lang").where(F.col("order") <= F.col("most")).groupBy("lang", "order").agg(F.min("text").alias("text"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
     found = sorted((r.lang, r.order, r.text) for r in near.withColumn("nth", nth).where(F.col("nth") <= per_language).select("lang", "order", "text").collect())
@@ -196,4 +200,5 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
 
     out = attach(docs, text_col, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], make)
     known = letter & (F.col("lang_pred") != UNKNOWN)
-    return out.withColumns({"lang_pred": F.when(known, F.col("lang_pred")).otherwise(UNKNOWN), "score": F.when(known, F.col("score")).otherwise(0.0), "accepted": known & (F.col("score") >= model.threshold)})
+    return out.withColumns({"lang_pred": F.when(known, F.col("lang_pred")).otherwise(UNKNOWN), "score": F.when(known, F.col("score")).otherwise(0.0),
+        "accepted": known & (F.col("score") >= model.threshold)})

@@ -22,7 +22,8 @@ def page_lines(html: Column) -> Column:
     return F.filter(lines, lambda x: x != "")
 
 
-def boilerplate_free(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate_free(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", ratio: float = RATIO,
+        min_pages: int = MIN_PAGES) -> DataFrame:
     """One row per row of pages: id, host, n_lines, n_dropped, kept_text (the kept lines joined by line ends).
 
     A line is dropped when more than `ratio` of its host's pages contain it, on hosts of at least min_pages pages. The host is
@@ -37,8 +38,11 @@ def boilerplate_free(pages: DataFrame, id_col: str = "page_id", url_col: str = "
     lines = materialize(pages.select(F.col(id_col).alias("id"), host.alias("host"), page_lines(F.col(html_col)).alias("lines")))
     key = lambda x: F.unhex(F.md5(x))
     total = lines.where("host IS NOT NULL").groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
-    counted = lines.where("host IS NOT NULL").select("host", F.explode(F.array_distinct(F.transform("lines", key))).alias("key")).groupBy("host", "key").agg(F.count("*").alias("n"))
-    frequent = materialize(counted.join(materialize(total), "host").where(F.col("n") > F.col("pages") * F.lit(ratio)).groupBy("host").agg(F.collect_list("key").alias("keys")))
+    counted = lines.where("host IS NOT NULL").select("host", F.explode(F.array_distinct(F.transform("lines", key))).alias("key")).groupBy("host",
+        "key").agg(F.count("*").alias("n"))
+    frequent = materialize(counted.join(materialize(total),
+        "host").where(F.col("n") > F.col("pages") * F.lit(ratio)).groupBy("host").agg(F.collect_list("key").alias("keys")))
     joined = lines.join(frequent, "host", "left")
     kept = F.when(F.col("keys").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains("keys", key(x))))
-    return joined.withColumn("kept", kept).select(F.col("id").alias(id_col), "host", F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"), F.array_join("kept", "\n").alias("kept_text"))
+    return joined.withColumn("kept", kept).select(F.col("id").alias(id_col), "host", F.size("lines").cast("long").alias("n_lines"),
+        (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"), F.array_join("kept", "\n").alias("kept_text"))

@@ -93,7 +93,8 @@ def permuted(numbers: Column, n: Column, step: Column, e: int, seed: str = SEED)
     """
     wide = F.greatest(F.lit(1), F.floor(F.sqrt(n.cast("double")))).cast("long")
     high = F.floor(n / wide).cast("long")
-    turn = lambda kind, x: F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit(kind), F.lit(e), x.cast("string"))), 1, 8), 16, 10).cast("long")
+    turn = lambda kind, x: F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit(kind), F.lit(e), x.cast("string"))), 1, 8), 16,
+        10).cast("long")
     row, column = lambda x: F.floor(x / wide).cast("long"), lambda x: F.pmod(x, wide)
     x = F.transform(numbers, lambda b: F.pmod(b * step + F.lit(e), n))
     x = F.transform(x, lambda b: F.when(b < high * wide, F.pmod(row(b) + turn("column", column(b)), high) * wide + column(b)).otherwise(b))
@@ -106,9 +107,12 @@ def coprime_step(n: Column) -> Column:
 
     Euclid's algorithm in a fold: 64 steps end it for any two longs that fit.
     """
-    gcd = lambda a: F.aggregate(F.sequence(F.lit(1), F.lit(90)), F.struct(a.cast("long").alias("a"), n.alias("b")), lambda s, _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), F.pmod(s["a"], F.when(s["b"] == 0, F.lit(1)).otherwise(s["b"])).alias("b"))), lambda s: s["a"])
+    gcd = lambda a: F.aggregate(F.sequence(F.lit(1), F.lit(90)), F.struct(a.cast("long").alias("a"), n.alias("b")), lambda s,
+        _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), F.pmod(s["a"], F.when(s["b"] == 0, F.lit(1)).otherwise(s["b"])).alias("b"))),
+        lambda s: s["a"])
     start = F.floor(n * 5 / 8).cast("long") + 1
-    return F.coalesce(F.element_at(F.filter(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: start + k), lambda x: gcd(x) == 1), 1), F.lit(1)).cast("long")
+    return F.coalesce(F.element_at(F.filter(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: start + k), lambda x: gcd(x) == 1), 1),
+        F.lit(1)).cast("long")
 
 
 def word_count(text: Column) -> Column:
@@ -120,7 +124,8 @@ def order_key(identifier: Column, spread: Column, seed: str = SEED) -> Column:
     return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(identifier.cast("string"), F.lit("null")), spread))
 
 
-def plan_sources(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
+def plan_sources(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP,
+        shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """The plan of each source and, for each column of the tree, the slots before which each shard ends.
 
     totals: (source, size, rows). Sources by code point, null last, take the weights in turn; their number has no bound, as
@@ -137,18 +142,22 @@ def plan_sources(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: f
         base = np.cumsum([0] + [sums[p] for p in sorted(sums)]).tolist()
         starts = _table(rows.sparkSession, list(zip(sorted(sums), base[:-1], strict=True)), "range long, start long")
         own = F.coalesce(F.sum(amount).over(Window.partitionBy(part).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        return rows.withColumn(name, own).join(F.broadcast(starts), part == F.col("range")).withColumn(name, F.col(name) + F.col("start")).drop("range", "start")
+        return rows.withColumn(name, own).join(F.broadcast(starts), part == F.col("range")).withColumn(name,
+            F.col(name) + F.col("start")).drop("range", "start")
 
     turns = F.array(*[F.lit(w) for w in weights])
-    numbered = before(sorted_rows, F.lit(1).cast("long"), "number").withColumn("weight", F.element_at(turns, (F.pmod("number", F.lit(len(weights))) + 1).cast("int")))
+    numbered = before(sorted_rows, F.lit(1).cast("long"), "number").withColumn("weight",
+        F.element_at(turns, (F.pmod("number", F.lit(len(weights))) + 1).cast("int")))
     numbered = materialize(numbered)
     words = numbered.agg(F.sum("size")).first()[0] or 0
     fair = F.lit(water_level(numbered, words, share, cap)) * F.col("weight")
     most = max(BLOCK_WORDS, -(-cap * words // 500_000_000))
     plan = numbered.withColumn("target", F.when(fair > cap * F.col("size"), (cap * F.col("size")).cast("double")).otherwise(fair))
-    plan = plan.withColumn("block", F.when(F.col("size") <= most * 1000, F.greatest(F.lit(1), F.least(F.lit(most), F.floor(F.col("size") / 1000)))).otherwise(most).cast("long"))
+    plan = plan.withColumn("block", F.when(F.col("size") <= most * 1000,
+        F.greatest(F.lit(1), F.least(F.lit(most), F.floor(F.col("size") / 1000)))).otherwise(most).cast("long"))
     plan = plan.withColumn("blocks", F.ceil(F.col("size") / F.col("block")).cast("long"))
-    plan = plan.withColumn("quota", F.least(cap * F.col("blocks"), F.floor(F.col("target") / F.col("block") + 0.5).cast("long"))).withColumn("step", coprime_step(F.greatest(F.lit(1).cast("long"), F.col("blocks"))))
+    plan = plan.withColumn("quota", F.least(cap * F.col("blocks"), F.floor(F.col("target") / F.col("block") + 0.5).cast("long"))).withColumn("step",
+        coprime_step(F.greatest(F.lit(1).cast("long"), F.col("blocks"))))
     plan = materialize(plan)
     own = [(r.number, r.quota) for r in plan.orderBy(F.desc("quota"), "number").limit(COLUMNS).collect()]
     own = sorted(own)
@@ -165,7 +174,8 @@ def plan_sources(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: f
     return materialize(plan), bounds
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, shards: int = SHARDS, row_col: str | None = None) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS,
+        share: float = SHARE, cap: int = CAP, shards: int = SHARDS, row_col: str | None = None) -> DataFrame:
     """One row per row of docs: row, id, source, size, source_size, target, pieces and taken, in docs' order of rows.
 
     A source's documents in hash order are one stream of words, cut into blocks (1024 words, or a thousandth of a small
@@ -182,21 +192,28 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Rows that share an id with others, or have none, are spread over the ranges by their places.
     """
     place = F.col(row_col) if row_col else F.monotonically_increasing_id()
-    slim = docs.select(place.alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
+    slim = docs.select(place.alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
+        word_count(F.col(text_col)).alias("size"))
     slim = materialize(slim)
-    repeated = materialize(slim.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("same"), F.lit(True).alias("again")))
+    repeated = materialize(slim.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("same"),
+        F.lit(True).alias("again")))
     told = slim.join(repeated, F.col("id") == F.col("same"), "left") if not repeated.isEmpty() else slim.withColumn("again", F.lit(False))
     spread = F.when(F.col("id").isNull() | F.coalesce("again", F.lit(False)), F.concat(F.lit(":"), F.col("row").cast("string"))).otherwise(F.lit(""))
     slim = materialize(told.select("row", "id", "source", "size", order_key(F.col("id"), spread).alias("key")))
     totals = slim.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
     plan, bounds = plan_sources(totals, weights, share, cap, shards)
-    known = plan.select(F.col("source").alias("s"), F.col("size").alias("source_size"), "target", "block", "blocks", "quota", "step", "column", "offset", F.ceil(F.col("rows") / GROUP_ROWS).alias("groups"))
-    rows = slim.join(known.select("s", "groups"), F.col("source").eqNullSafe(F.col("s"))).withColumn("part", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.col("groups") / F.lit(1 << 32)).cast("long")).drop("s", "groups")
+    known = plan.select(F.col("source").alias("s"), F.col("size").alias("source_size"), "target", "block", "blocks", "quota", "step", "column",
+        "offset", F.ceil(F.col("rows") / GROUP_ROWS).alias("groups"))
+    rows = slim.join(known.select("s", "groups"), F.col("source").eqNullSafe(F.col("s"))).withColumn("part",
+        F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.col("groups") / F.lit(1 << 32)).cast("long")).drop("s", "groups")
     base = materialize(rows.groupBy("source", "part").agg(F.sum("size").alias("words")).withColumn("base", F.sum("words").over(_before(["source"], ["part"]))))
     within = F.coalesce(F.sum("size").over(_before(["source", "part"], ["key", "size", "row"])), F.lit(0))
-    placed = rows.withColumn("within", within).join(base.select(F.col("source").alias("b_source"), F.col("part").alias("b_part"), "base"), F.col("source").eqNullSafe(F.col("b_source")) & (F.col("part") == F.col("b_part")))
-    placed = placed.withColumn("start", F.coalesce("base", F.lit(0)) + F.col("within")).join(known, F.col("source").eqNullSafe(F.col("s"))).join(F.broadcast(bounds), "column", "left")
-    numbers = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("start") / F.col("block")).cast("long"), F.floor((F.col("start") + F.col("size") - 1) / F.col("block")).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+    placed = rows.withColumn("within", within).join(base.select(F.col("source").alias("b_source"), F.col("part").alias("b_part"), "base"),
+        F.col("source").eqNullSafe(F.col("b_source")) & (F.col("part") == F.col("b_part")))
+    placed = placed.withColumn("start", F.coalesce("base", F.lit(0)) + F.col("within")).join(known,
+        F.col("source").eqNullSafe(F.col("s"))).join(F.broadcast(bounds), "column", "left")
+    numbers = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("start") / F.col("block")).cast("long"),
+        F.floor((F.col("start") + F.col("size") - 1) / F.col("block")).cast("long"))).otherwise(F.array().cast("array<bigint>"))
     placed = placed.withColumn("numbers", numbers)
     for e in range(cap):
         placed = placed.withColumn(f"slots{e}", permuted(F.col("numbers"), F.col("blocks"), F.col("step"), e))
@@ -206,7 +223,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     pieces = F.filter(F.concat(*[one_pass(e) for e in range(cap)]), lambda p: p["slot"] < F.col("quota"))
     at = F.transform("pieces", lambda p: p["slot"] + F.col("offset"))
     places = F.when(F.col("pool").isNull(), at).otherwise(permuted(at, F.coalesce("pool", F.lit(1)), F.coalesce("pool_step", F.lit(1)), cap))
-    with_shard = F.zip_with("pieces", "places", lambda p, a: F.struct(p["pass"].alias("pass"), F.size(F.filter("bounds", lambda x: x <= a)).alias("shard"), p["slot"].alias("slot"), p["from_word"].alias("from_word"), p["to_word"].alias("to_word")))
+    with_shard = F.zip_with("pieces", "places", lambda p,
+        a: F.struct(p["pass"].alias("pass"), F.size(F.filter("bounds", lambda x: x <= a)).alias("shard"), p["slot"].alias("slot"),
+        p["from_word"].alias("from_word"), p["to_word"].alias("to_word")))
     taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + p["to_word"] - p["from_word"])
     out = placed.withColumn("pieces", pieces).withColumn("places", places).withColumn("taken", taken)
     return out.select("row", F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", with_shard.alias("pieces"), "taken")
@@ -226,10 +245,12 @@ def by_shard(pieces: Column) -> Column:
     pairs = F.array_distinct(F.transform(pieces, lambda p: F.struct(p["pass"].alias("pass"), p["shard"].alias("shard"))))
     own = lambda g: F.filter(pieces, lambda p: (p["pass"] == g["pass"]) & (p["shard"] == g["shard"]))
     spans = lambda g: F.array_sort(F.transform(own(g), lambda p: F.struct(p["from_word"].alias("from_word"), p["to_word"].alias("to_word"))))
-    return F.transform(pairs, lambda g: F.struct(g["shard"].alias("shard"), F.array_min(F.transform(own(g), read_order)).alias("order"), spans(g).alias("spans")))
+    return F.transform(pairs, lambda g: F.struct(g["shard"].alias("shard"), F.array_min(F.transform(own(g), read_order)).alias("order"),
+        spans(g).alias("spans")))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = "n_chars", **how) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = "n_chars",
+        **how) -> DataFrame:
     """docs as the mix takes them, with docs' columns: a row for each pass and shard that take words of a document.
 
     A document taken whole keeps its text; one taken in part has the words taken, in order, joined by one space, and its
@@ -240,13 +261,16 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row, size, takes, words, take = fresh(docs, "__row", "__size", "__takes", "__words", "__take")
     named = materialize(docs.withColumn(row, F.monotonically_increasing_id()))
     slim = named.select(F.col(row).alias("at"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
-    chosen = mix(slim, "id", row_col="at", **how).where(F.size("pieces") > 0).select(F.col("row").alias(row), F.col("size").alias(size), by_shard(F.col("pieces")).alias(takes))
+    chosen = mix(slim, "id", row_col="at", **how).where(F.size("pieces") > 0).select(F.col("row").alias(row), F.col("size").alias(size),
+        by_shard(F.col("pieces")).alias(takes))
     length = lambda p: (p["to_word"] - p["from_word"]).cast("int")
     whole = lambda g: F.aggregate(g["spans"], F.lit(0).cast("long"), lambda n, p: n + length(p)) == F.col(size)
     out = named.join(chosen, row).withColumn(words, F.when(F.exists(takes, lambda g: ~whole(g)), F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0)))
-    cut = lambda g: F.array_join(F.flatten(F.transform(g["spans"], lambda p: F.slice(F.col(words), (p["from_word"] + 1).cast("int"), length(p)))), " ")
+    cut = lambda g: F.array_join(F.flatten(F.transform(g["spans"], lambda p: F.slice(F.col(words), (p["from_word"] + 1).cast("int"), length(p)))),
+        " ")
     made = F.transform(takes, lambda g: F.struct(g["shard"].alias("shard"), g["order"].alias("order"), F.when(~whole(g), cut(g)).alias("cut")))
     out = out.withColumn(take, F.explode(made)).withColumn(text_col, F.coalesce(F.col(take)["cut"], F.col(text_col)))
     if length_col and length_col in docs.columns:
-        out = out.withColumn(length_col, F.when(F.col(take)["cut"].isNotNull(), F.length(text_col)).otherwise(F.col(length_col)).cast(docs.schema[length_col].dataType))
+        out = out.withColumn(length_col, F.when(F.col(take)["cut"].isNotNull(),
+            F.length(text_col)).otherwise(F.col(length_col)).cast(docs.schema[length_col].dataType))
     return out.sortWithinPartitions(F.col(take)["shard"], F.col(take)["order"]).select(*docs.columns)

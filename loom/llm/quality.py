@@ -117,11 +117,13 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     doc = np.repeat(np.arange(len(offs) - 1), np.diff(first))
     if not len(starts):
         return doc, doc
-    kind = np.where((data >= 65) & (data <= 90), 65, np.where(((data >= 97) & (data <= 122)) | (data >= 128), 97, np.where((data >= 48) & (data <= 57), 48, data)))
+    kind = np.where((data >= 65) & (data <= 90), 65,
+        np.where(((data >= 97) & (data <= 122)) | (data >= 128), 97, np.where((data >= 48) & (data <= 57), 48, data)))
     word = range_hashes(data, starts, ends)
     again = np.zeros(len(word), np.uint64)
     again[1:] = (word[1:] == word[:-1]) & (doc[1:] == doc[:-1])
-    got = [word, mix(again + np.uint64(12345)), range_hashes(kind, starts, np.minimum(ends, starts + 4)) ^ np.uint64(0x3333), range_hashes(kind, np.maximum(starts, ends - 4), ends) ^ np.uint64(0x7777)]
+    got = [word, mix(again + np.uint64(12345)), range_hashes(kind, starts, np.minimum(ends, starts + 4)) ^ np.uint64(0x3333),
+        range_hashes(kind, np.maximum(starts, ends - 4), ends) ^ np.uint64(0x7777)]
     return np.tile(doc, 4), np.concatenate([(h >> np.uint64(48)).astype(np.int64) for h in got])
 
 
@@ -151,7 +153,8 @@ def expectation_maximisation(counts: dict[int, int], rounds: int = 200) -> tuple
         p = new
         if done:
             break
-    accuracy = {name: float((prior * g[2] + (1 - prior) * b[1]) / max(1e-12, prior * (g[1] + g[2]) + (1 - prior) * (b[1] + b[2]))) for name, (g, b) in zip(LABELLERS, chance, strict=True)}
+    accuracy = {name: float((prior * g[2] + (1 - prior) * b[1]) / max(1e-12, prior * (g[1] + g[2]) + (1 - prior) * (b[1] + b[2]))) for name,
+        (g, b) in zip(LABELLERS, chance, strict=True)}
     return dict(zip(keys, p.tolist(), strict=True)), accuracy, float(prior)
 
 
@@ -178,7 +181,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows:
                 cell, count = np.unique(doc * BUCKETS + bucket, return_counts=True)
                 cut = np.searchsorted(cell, np.arange(1, j - i) * BUCKETS)
                 u, c = (pa.array(np.split(x, cut), pa.list_(pa.int64())) for x in (cell % BUCKETS, count))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(kind[i:j]), u, c], names=["id", "h", "pattern", "u", "c"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(kind[i:j]), u, c],
+                    names=["id", "h", "pattern", "u", "c"])
 
     made = base.where(F.col("h") <= limit).mapInArrow(extract, "id string, h long, pattern long, u array<long>, c array<long>")
     got = made.orderBy("h", "id").limit(rows).collect()
@@ -212,4 +216,5 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataF
             out[i:j] = np.where(n > 0, 1 / (1 + np.exp(-np.clip(total / np.maximum(n, 1) + model.bias, -30, 30))), 0.0)
         return [pa.array(out), pa.array([model.posterior.get(k, model.prior) for k in kind.tolist()], pa.float64()), pa.array(kind)]
 
-    return attach(docs, text_col, [T.StructField("quality", T.DoubleType()), T.StructField("weak_posterior", T.DoubleType()), T.StructField("votes", T.LongType())], make)
+    return attach(docs, text_col, [T.StructField("quality", T.DoubleType()), T.StructField("weak_posterior", T.DoubleType()),
+        T.StructField("votes", T.LongType())], make)

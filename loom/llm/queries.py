@@ -19,7 +19,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = toxicity.train(docs, _table(spark, sf_dir, "labels"))
     out = toxicity.score(docs.select("doc_id", "text"), index)
     held_out = F.coalesce(~toxicity.training_row(), F.lit(False)).alias("held_out")
-    return out.select("doc_id", held_out, F.col("toxicity").alias("score"), (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "evidence")
+    return out.select("doc_id", held_out, F.col("toxicity").alias("score"), (F.col("toxicity") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "evidence")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +60,8 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.boilerplate_free(_table(spark, sf_dir, "pages")).select("page_id", "host", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return line_dedup.boilerplate_free(_table(spark, sf_dir, "pages")).select("page_id", "host", "n_lines", "n_dropped",
+        F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +76,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_toxicity, op2_exact_dedup, op3_language_id, op4_simhash_dedup, op5_quality, op6_mixing, op7_sharding, op8_substring_dedup, op9_line_dedup, op10_decontaminate, pipeline)
+    own = (op1_toxicity, op2_exact_dedup, op3_language_id, op4_simhash_dedup, op5_quality, op6_mixing, op7_sharding, op8_substring_dedup,
+        op9_line_dedup, op10_decontaminate, pipeline)
     return {f.__name__: f for f in own}
 
 

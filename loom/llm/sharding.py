@@ -42,5 +42,6 @@ def place(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     spark = docs.sparkSession
     table = spark.createDataFrame(list(enumerate(lookup_table([f"shard-{i}" for i in range(shards)], slots))), "slot int, shard int")
     kept = docs.select(*[c for c in docs.columns if c.lower() not in ("slot", "shard")])
-    key = F.coalesce(F.concat(F.lit("id:"), F.col(id_col).cast("string")), F.when(F.col(id_col).isNull(), F.concat(F.lit("text:"), F.coalesce(F.col(text_col), F.lit("")))))
+    key = F.coalesce(F.concat(F.lit("id:"), F.col(id_col).cast("string")),
+        F.when(F.col(id_col).isNull(), F.concat(F.lit("text:"), F.coalesce(F.col(text_col), F.lit("")))))
     return kept.withColumn("slot", F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")).join(F.broadcast(table), "slot").select(*kept.columns, "slot", "shard")

@@ -127,18 +127,21 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     parts = _segments(fps.count(), radius)
     value = lambda shift, width: F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
-    rows = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("seg"), value(s, w).alias("val")) for i, (s, w, _) in enumerate(parts)])).alias("e")).select("fp", "e.*")
+    rows = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("seg"), value(s, w).alias("val")) for i,
+        (s, w, _) in enumerate(parts)])).alias("e")).select("fp", "e.*")
     slots = materialize(rows.groupBy("seg", "val").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")))
     large = materialize(slots.where("blocks > 1").select("seg", "val", "blocks"))
     block = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("fp"), F.col("blocks"))).otherwise(0).cast("int")
-    held = materialize(rows.join(large, ["seg", "val"], "left").select("seg", "val", block.alias("block"), "fp").repartition("seg", "val", "block").groupBy("seg", "val", "block").agg(F.collect_list("fp").alias("fps")))
+    held = materialize(rows.join(large, ["seg", "val"], "left").select("seg", "val", block.alias("block"), "fp").repartition("seg", "val",
+        "block").groupBy("seg", "val", "block").agg(F.collect_list("fp").alias("fps")))
 
     ball = F.array().cast("array<bigint>")
     for i, (_, width, r) in enumerate(parts):
         masks = [sum(1 << b for b in bits) for k in range(1, r + 1) for bits in combinations(range(width), k)]
         ball = F.when(F.col("seg") == i, F.array(*[F.lit(x).cast("long") for x in masks]).cast("array<bigint>")).otherwise(ball)
     ball = F.filter(F.transform(ball, lambda m: F.col("val").bitwiseXOR(m)), lambda v: v > F.col("val"))
-    met = slots.select("seg", "val", "blocks", F.explode(ball).alias("val2")).join(slots.select("seg", F.col("val").alias("val2"), F.col("blocks").alias("blocks2")), ["seg", "val2"])
+    met = slots.select("seg", "val", "blocks", F.explode(ball).alias("val2")).join(slots.select("seg", F.col("val").alias("val2"),
+        F.col("blocks").alias("blocks2")), ["seg", "val2"])
     met = met.select("seg", "val", "blocks", "val2", "blocks2").union(slots.where("n > 1").select("seg", "val", "blocks", "val", "blocks"))
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     met = met.withColumn("block", F.explode(upto("blocks"))).withColumn("block2", F.explode(upto("blocks2"))).where("val <> val2 OR block <= block2")
@@ -172,7 +175,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     stamped = materialize(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).select("id", "simhash"))
     found = near_components(stamped, "id", "simhash", radius)
-    return stamped.join(found.withColumnRenamed("fp", "simhash"), "simhash").select(F.col("id").alias(id_col), as_hex(F.col("simhash")).alias("fingerprint"), "component_id")
+    return stamped.join(found.withColumnRenamed("fp", "simhash"), "simhash").select(F.col("id").alias(id_col),
+        as_hex(F.col("simhash")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -185,7 +189,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     slim = materialize(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).select("id", "simhash"))
     found = near_components(slim, "id", "simhash", radius)
     slim = slim.withColumnRenamed("simhash", "key")
-    return first_of_each(docs, slim, slim.join(found.select(F.col("fp").alias("key"), "label"), "key"), lambda d, name: with_fingerprint(d, text_col, name), id_col)
+    return first_of_each(docs, slim, slim.join(found.select(F.col("fp").alias("key"), "label"), "key"), lambda d,
+        name: with_fingerprint(d, text_col, name), id_col)
 
 
 def first_of_each(docs: DataFrame, slim: DataFrame, found: DataFrame, stamp: Callable[[DataFrame, str], DataFrame], id_col: str) -> DataFrame:
@@ -196,7 +201,8 @@ def first_of_each(docs: DataFrame, slim: DataFrame, found: DataFrame, stamp: Cal
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
     repeated = slim.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 OR id IS NULL").select(F.col("id").alias("odd_id"), F.lit(True).alias("odd"))
     chosen = found.groupBy("label").agg(first.alias("first")).select("first.id", "first.key")
-    chosen = materialize(chosen.join(repeated, F.col("id").eqNullSafe(F.col("odd_id")), "left").select("id", "key", F.coalesce("odd", F.lit(False)).alias("odd")))
+    chosen = materialize(chosen.join(repeated, F.col("id").eqNullSafe(F.col("odd_id")), "left").select("id", "key",
+        F.coalesce("odd", F.lit(False)).alias("odd")))
     own_id, own_key, key, rank, row = fresh(docs, "__id", "__fp", "__key", "__rank", "__row")
     plain = chosen.where("NOT odd").select(F.col("id").alias(own_id))
     out = docs.join(plain.hint("merge"), F.col(id_col) == F.col(own_id), "left_semi")
@@ -205,6 +211,7 @@ def first_of_each(docs: DataFrame, slim: DataFrame, found: DataFrame, stamp: Cal
         return out
     some = docs.join(odd.select(own_id).distinct(), F.col(id_col).eqNullSafe(F.col(own_id)), "left_semi")
     told = stamp(some, key).join(odd, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(key) == F.col(own_key)), "left_semi")
-    told = materialize(told.withColumn(row, F.monotonically_increasing_id()).withColumn(rank, F.struct(*[F.xxhash64(*docs.columns, F.lit(k)).alias(f"h{k}") for k in range(2)], row)))
+    told = materialize(told.withColumn(row, F.monotonically_increasing_id()).withColumn(rank,
+        F.struct(*[F.xxhash64(*docs.columns, F.lit(k)).alias(f"h{k}") for k in range(2)], row)))
     one = told.groupBy(id_col, key).agg(F.min(rank).alias(rank)).select(F.col(rank)[row].alias(own_id))
     return out.unionByName(told.join(one, F.col(row) == F.col(own_id), "left_semi").select(*docs.columns))

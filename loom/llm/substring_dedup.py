@@ -169,7 +169,8 @@ def _cut(w: Words, which: np.ndarray, value: np.ndarray, place: np.ndarray) -> l
     raw[before[blank[before]]] = 32
     at = np.concatenate(([0], np.cumsum(keep)))
     whole = raw[keep].tobytes()
-    return [value[which[begin]].view(np.int64), pa.array([whole[x:y] for x, y in zip(at[w.starts[a]].tolist(), at[w.ends[b - 1]].tolist(), strict=True)], pa.binary())]
+    return [value[which[begin]].view(np.int64), pa.array([whole[x:y] for x,
+        y in zip(at[w.starts[a]].tolist(), at[w.ends[b - 1]].tolist(), strict=True)], pa.binary())]
 
 
 def _as_text(passages: list[bytes]) -> pa.Array:
@@ -192,7 +193,8 @@ def _all_windows(window: int):
         for batch in batches:
             if len(batch):
                 h, twice = window_hashes_of(batch.column(0).to_pylist(), window), batch.column(1).to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h).view(np.int64)), pa.array(np.repeat(twice, [len(x) for x in h]))], names=["value", "twice"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h).view(np.int64)), pa.array(np.repeat(twice, [len(x) for x in h]))],
+                    names=["value", "twice"])
 
     return run
 
@@ -228,7 +230,8 @@ def _by_automata(window: int):
                 held = anchor
                 group.append((words, n))
             if done:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([h for h, _ in done])), pa.array(np.concatenate([t for _, t in done]))], names=["value", "twice"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([h for h, _ in done])), pa.array(np.concatenate([t for _, t in done]))],
+                    names=["value", "twice"])
         if group:
             yield pa.RecordBatch.from_arrays(list(map(pa.array, settle(group, window))), names=["value", "twice"])
 
@@ -319,7 +322,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
     first_level = _column(text, "anchor long, words binary", passages).groupBy("anchor", "words").agg(F.count("*").alias("n"))
     level, judged = materialize(first_level), []
     for cut in (_next_anchor, _single_windows):
-        sizes = materialize(level.groupBy("anchor").agg(F.count("*").alias("passages")).where("passages > 1").select(F.col("anchor").alias("value"), "passages"))
+        sizes = materialize(level.groupBy("anchor").agg(F.count("*").alias("passages")).where("passages > 1").select(F.col("anchor").alias("value"),
+            "passages"))
         hot = sizes.where(F.col("passages") > MAX_PASSAGES)
         crowded = not hot.isEmpty()
         filters = [_repeated_filter(spark, sizes.where(F.col("passages") <= MAX_PASSAGES)), *([_repeated_filter(spark, hot)] if crowded else [])]
@@ -337,7 +341,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
 
             return run
 
-        judged.append(level.mapInArrow(routed(0), level.schema).select("words", (F.col("n") > 1).alias("twice")).mapInArrow(_all_windows(window), "value long, twice boolean"))
+        judged.append(level.mapInArrow(routed(0), level.schema).select("words", (F.col("n") > 1).alias("twice")).mapInArrow(_all_windows(window),
+            "value long, twice boolean"))
         shards = level.mapInArrow(routed(1), level.schema).repartition("anchor").sortWithinPartitions("anchor")
         judged.append(shards.mapInArrow(_by_automata(window), "value long, twice boolean"))
         if not crowded:
@@ -428,7 +433,8 @@ def _with_join(docs: DataFrame, text_col: str, fields: list[T.StructField], make
                     which, h = positive(w)
                     yield pa.RecordBatch.from_arrays([pa.array(rows[i + w.doc[which]]), pa.array(h.view(np.int64))], names=["row", "value"])
 
-    lost = named.select(own, text_col).mapInArrow(values, "row long, value long").join(false, "value").groupBy(F.col("row").alias(own)).agg(F.collect_set("value").alias(spare))
+    lost = named.select(own, text_col).mapInArrow(values, "row long, value long").join(false,
+        "value").groupBy(F.col("row").alias(own)).agg(F.collect_set("value").alias(spare))
     joined = named.join(lost, own, "left").drop(own)
     names = {f.name.lower() for f in fields}
     kept = [f for f in docs.schema.fields if f.name.lower() not in names]

@@ -199,7 +199,8 @@ def _calibrate(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tu
     return np.array(x or [0.0]), np.array(y or [0.0])
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS, max_examples: int = MAX_EXAMPLES) -> Index:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS,
+        max_examples: int = MAX_EXAMPLES) -> Index:
     """Chooses the vocabulary from up to max_rows labelled training rows of each label and indexes up to max_examples of each.
 
     Rows without a label or id are not learned from. A label that stands several times for an id counts once, as 1 if any is
@@ -209,13 +210,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     over all of docs, which takes no label. Chances are weighed by how often each label stands among all labelled training
     rows. Null texts count as empty; extra columns are not read; without labels every text scores the prior.
     """
-    marked = materialize(labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)").where(training_row("id")).groupBy("id").agg(F.max("label").alias("label")))
+    marked = materialize(labels.select(F.col(id_col).alias("id"),
+        F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)").where(training_row("id")).groupBy("id").agg(F.max("label").alias("label")))
     n = {r.label: r.n for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     by_hash = F.xxhash64(F.col("id").cast("string"), F.lit("toxicity sample"))
     chosen_ids = marked.where("label = 0").orderBy(by_hash, "id").limit(max_rows).union(marked.where("label = 1").orderBy(by_hash, "id").limit(max_rows))
     found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen_ids), "id").select("id", "label", "text")
-    rows = materialize(attach(found.withColumn("row", F.monotonically_increasing_id()), "text", [T.StructField("marks", T.ArrayType(T.LongType()))], lambda c: [marks(c)]))
+    rows = materialize(attach(found.withColumn("row", F.monotonically_increasing_id()), "text", [T.StructField("marks", T.ArrayType(T.LongType()))],
+        lambda c: [marks(c)]))
     order = F.struct(by_hash.alias("h"), "row")
     first = rows.select(F.posexplode("marks").alias("k", "mark"), order.alias("order")).groupBy("k", "mark").agg(F.min("order").alias("order"))
     alone = first.groupBy(F.col("order.row").alias("row")).agg(F.count("*").alias("n")).where(F.col("n") == MARKS).select("row")
@@ -229,7 +232,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 one = y[i:j][doc] == 1
                 value, place = np.unique(term, return_inverse=True)
                 sums = [np.bincount(place[at], what[at], len(value)).astype(np.int64) for what in (np.ones(len(times)), times) for at in (~one, one)]
-                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), *map(pa.array, sums)], names=["term", "zeros", "ones", "zero_times", "one_times"])
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), *map(pa.array, sums)],
+                    names=["term", "zeros", "ones", "zero_times", "one_times"])
 
     have = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     m0, m1 = have.get(0, 0), have.get(1, 0)
@@ -242,7 +246,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     tested = counts.where((both >= MIN_DOCUMENTS) & (both < m0 + m1))
     limit = float(2 * np.log(max(1, tested.count())))
     lift = F.greatest("zero_times", F.lit(0.5)) * F.lit(t1 or 1) / (F.greatest("one_times", F.lit(0.5)) * F.lit(t0 or 1))
-    passes = ((lift >= MIN_LIFT) | (lift <= 1 / MIN_LIFT)) & (_ratio(F.col("zeros"), F.col("ones"), m0, m1) > limit) & (_ratio(F.col("zero_times"), F.col("one_times"), t0, t1) > limit) if m0 and m1 and t0 and t1 else F.lit(False)
+    passes = ((lift >= MIN_LIFT) | (lift <= 1 / MIN_LIFT)) & (_ratio(F.col("zeros"), F.col("ones"), m0, m1) > limit) & (_ratio(F.col("zero_times"),
+        F.col("one_times"), t0, t1) > limit) if m0 and m1 and t0 and t1 else F.lit(False)
     chosen = tested.where(passes).select("term").collect()
     vocabulary = np.array(sorted(r.term & (1 << 64) - 1 for r in chosen), np.uint64)
     idf = _frequencies(docs.select(F.col(text_col).alias("text")), vocabulary)
@@ -253,7 +258,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             out_at, out_c = [[]] * len(batch), [[]] * len(batch)
             for d, t, c in _known(held.value, batch.column(2)):
                 out_at[d], out_c[d] = t, c
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out_at, pa.list_(pa.int64())), pa.array(out_c, pa.list_(pa.int64()))], names=["id", "label", "at", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out_at, pa.list_(pa.int64())),
+                pa.array(out_c, pa.list_(pa.int64()))], names=["id", "label", "at", "n"])
 
     kinds = [rows.schema["id"], rows.schema["label"], T.StructField("at", T.ArrayType(T.LongType())), T.StructField("n", T.ArrayType(T.LongType()))]
     vector = materialize(rows.mapInArrow(vectors, T.StructType(kinds)))
@@ -323,19 +329,22 @@ def build_index(vocabulary: np.ndarray, idf: np.ndarray, examples: list, prior:
     label, gives the chances.
     """
     none = np.zeros(0, np.int64)
-    blank = Index(vocabulary, idf, [], np.zeros(0), np.zeros(len(vocabulary) + 1, np.int64), none, np.zeros(0), np.zeros(1, np.int64), none, np.zeros(0), np.zeros(1), np.zeros(1), prior)
+    blank = Index(vocabulary, idf, [], np.zeros(0), np.zeros(len(vocabulary) + 1, np.int64), none, np.zeros(0), np.zeros(1, np.int64), none,
+        np.zeros(0), np.zeros(1), np.zeros(1), prior)
     if not examples:
         return blank
     strongest = lambda r: r.at[int(np.argmax((1 + np.log(r.n)) * idf[r.at]))]
     examples = sorted(examples, key=lambda r: (strongest(r), tuple(r.at), tuple(r.n), str(r.id)))
     labels = np.array([r.label for r in examples], float)
-    vectors = weigh(blank, np.concatenate(([0], np.cumsum([len(r.at) for r in examples]))), np.concatenate([r.at for r in examples]), np.concatenate([r.n for r in examples]))
+    vectors = weigh(blank, np.concatenate(([0], np.cumsum([len(r.at) for r in examples]))), np.concatenate([r.at for r in examples]),
+        np.concatenate([r.n for r in examples]))
     place = np.repeat(np.arange(len(examples)), np.diff(vectors.begin))
     order = np.lexsort((place, vectors.at))
     term, place, w = vectors.at[order], place[order], vectors.w[order]
     entry = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (place[1:] // BLOCK != place[:-1] // BLOCK))))
     first = np.searchsorted(term[entry], np.arange(len(vocabulary) + 1))
-    index = replace(blank, ids=[r.id for r in examples], labels=labels, first=first, block=place[entry] // BLOCK, most=np.maximum.reduceat(w, entry), begin=np.concatenate((entry, [len(place)])), place=place, weight=w)
+    index = replace(blank, ids=[r.id for r in examples], labels=labels, first=first, block=place[entry] // BLOCK, most=np.maximum.reduceat(w, entry),
+        begin=np.concatenate((entry, [len(place)])), place=place, weight=w)
     votes = np.concatenate([vote(index, *nearest(index, part, leave=np.arange(i, i + len(part.begin) - 1))) for i, part in _parts(vectors)])
     some = ~np.isnan(votes)
     truth = labels[some]
@@ -388,5 +397,7 @@ def score(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
         found = [(index.prior, []) if key is None else known[key] for key in keys]
         return [pa.array([c for c, _ in found], pa.float64()), pa.array([e for _, e in found], kind)]
 
-    fields = [T.StructField("toxicity", T.DoubleType()), T.StructField("evidence", T.ArrayType(T.StructType([T.StructField("id", T.StringType()), T.StructField("cosine", T.DoubleType()), T.StructField("label", T.IntegerType())])))]
+    fields = [T.StructField("toxicity", T.DoubleType()),
+        T.StructField("evidence", T.ArrayType(T.StructType([T.StructField("id", T.StringType()), T.StructField("cosine", T.DoubleType()),
+        T.StructField("label", T.IntegerType())])))]
     return attach(docs, text_col, fields, make)
