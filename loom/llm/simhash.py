@@ -212,6 +212,6 @@ def first_of_each(docs: DataFrame, slim: DataFrame, found: DataFrame, stamp: Cal
     some = docs.join(odd.select(own_id).distinct(), F.col(id_col).eqNullSafe(F.col(own_id)), "left_semi")
     told = stamp(some, key).join(odd, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(key) == F.col(own_key)), "left_semi")
     told = materialize(told.withColumn(row, F.monotonically_increasing_id()).withColumn(rank,
-        F.struct(*[F.xxhash64(*docs.columns, F.lit(k)).alias(f"h{k}") for k in range(2)], row)))
+        F.struct(*[F.xxhash64(F.to_json(F.struct(*docs.columns)), F.lit(k)).alias(f"h{k}") for k in range(2)], row)))
     one = told.groupBy(id_col, key).agg(F.min(rank).alias(rank)).select(F.col(rank)[row].alias(own_id))
     return out.unionByName(told.join(one, F.col(row) == F.col(own_id), "left_semi").select(*docs.columns))
