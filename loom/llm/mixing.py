@@ -240,18 +240,19 @@ def read_order(piece: Column, seed: str = SEED) -> Column:
     return F.md5(F.concat_ws(":", F.lit(seed), F.lit("read"), piece["shard"].cast("string"), piece["slot"].cast("string"), piece["pass"].cast("string")))
 
 
-def by_shard(pieces: Column) -> Column:
-    """The pieces of a document as an array of (shard, order, spans), one for each pass and shard that take any."""
-    pairs = F.array_distinct(F.transform(pieces, lambda p: F.struct(p["pass"].alias("pass"), p["shard"].alias("shard"))))
-    own = lambda g: F.filter(pieces, lambda p: (p["pass"] == g["pass"]) & (p["shard"] == g["shard"]))
-    spans = lambda g: F.array_sort(F.transform(own(g), lambda p: F.struct(p["from_word"].alias("from_word"), p["to_word"].alias("to_word"))))
-    return F.transform(pairs, lambda g: F.struct(g["shard"].alias("shard"), F.array_min(F.transform(own(g), read_order)).alias("order"),
-        spans(g).alias("spans")))
+def by_pass(pieces: Column) -> Column:
+    """The pieces of a document as an array of (shard, order, spans), one for each pass that takes any: its first shard's."""
+    passes = F.array_distinct(F.transform(pieces, lambda p: p["pass"]))
+    own = lambda e: F.filter(pieces, lambda p: p["pass"] == e)
+    first = lambda e: F.array_min(F.transform(own(e), lambda p: F.struct(p["shard"].alias("shard"), read_order(p).alias("order"))))
+    span = lambda p: F.struct(p["from_word"].alias("from_word"), p["to_word"].alias("to_word"))
+    return F.transform(passes, lambda e: F.struct(first(e)["shard"].alias("shard"), first(e)["order"].alias("order"),
+        F.array_sort(F.transform(own(e), span)).alias("spans")))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = "n_chars",
         **how) -> DataFrame:
-    """docs as the mix takes them, with docs' columns: a row for each pass and shard that take words of a document.
+    """docs as the mix takes them, with docs' columns: a row for each pass that takes words of a document.
 
     A document taken whole keeps its text; one taken in part has the words taken, in order, joined by one space, and its
     length in length_col. Documents the mix leaves out are absent. Each task writes its rows by shard and, within a shard, in
@@ -262,7 +263,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = materialize(docs.withColumn(row, F.monotonically_increasing_id()))
     slim = named.select(F.col(row).alias("at"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
     chosen = mix(slim, "id", row_col="at", **how).where(F.size("pieces") > 0).select(F.col("row").alias(row), F.col("size").alias(size),
-        by_shard(F.col("pieces")).alias(takes))
+        by_pass(F.col("pieces")).alias(takes))
     length = lambda p: (p["to_word"] - p["from_word"]).cast("int")
     whole = lambda g: F.aggregate(g["spans"], F.lit(0).cast("long"), lambda n, p: n + length(p)) == F.col(size)
     out = named.join(chosen, row).withColumn(words, F.when(F.exists(takes, lambda g: ~whole(g)), F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0)))
