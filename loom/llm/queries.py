@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loom.llm import decontaminate, exact_dedup, language_id, line_dedup, mixing, quality, sharding, simhash, substring_dedup, toxicity
+from loom.llm import (
+    conversation_repair, decontaminate, exact_dedup, filter_audit, language_id, line_dedup, mixing, packing, quality, sharding, simhash, substring_dedup,
+    toxicity,
+)
+from loom.llm.repair_oracle import REPAIR_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +73,36 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "contaminated", "item_id", "equal_tokens", "span_tokens", "doc_from", "item_from")
 
 
+def repaired(conversations: DataFrame, turns: DataFrame) -> DataFrame:
+    """A row for each conversation of conversations: what repairing turns, its counted rows, found and did."""
+    done = conversation_repair.repair_counted(turns)
+    every = conversations.select(F.col("conv_id").alias("id")).distinct()
+    report = done.report.join(conversation_repair.digests(done.turns).withColumnRenamed("conv", "same"), F.col("conv").eqNullSafe(F.col("same")), "left")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(report, F.col("id").eqNullSafe(F.col("conv")), "left").select(F.col("id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return repaired(conversations, conversation_repair.damaged(conversations))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def audited(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    return filter_audit.replay(filter_audit.labelled(filter_audit.failures(docs), labels))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,7 +111,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_toxicity, op2_exact_dedup, op3_language_id, op4_simhash_dedup, op5_quality, op6_mixing, op7_sharding, op8_substring_dedup,
-        op9_line_dedup, op10_decontaminate, pipeline)
+        op9_line_dedup, op10_decontaminate, op11_conversation_repair, op12_best_fit_packing, op13_filter_audit, pipeline)
     return {f.__name__: f for f in own}
 
 
@@ -177,4 +211,30 @@ def oracle_sql() -> dict[str, str]:
               SELECT page_id, host, lines, CASE WHEN drop_lines IS NULL THEN lines ELSE list_filter(lines, lambda x: NOT list_contains(drop_lines, x)) END AS kept
               FROM parts LEFT JOIN frequent USING (host))
             SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(kept))::BIGINT AS n_dropped, sha256(array_to_string(kept, chr(10))) AS kept_sha256 FROM kept""",
+        "op11_conversation_repair": REPAIR_SQL,
+        "op13_filter_audit": r"""
+            WITH read AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+            split AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS least FROM read),
+            marks AS (SELECT doc_id, quality = 1 AS good, toxic = 1 AS toxic FROM labels),
+            labelled AS (SELECT doc_id, coalesce(bool_or(good), false) AS good, coalesce(bool_or(toxic), false) AS toxic FROM marks GROUP BY doc_id),
+            flags AS (
+              SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                     {'A': len(words) < 200, 'B': 100 * len(list_distinct(words)) < 50 * len(words),
+                      'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text), 'D': regexp_matches(text, '[#$%&*|]'),
+                      'E': coalesce(least < doc_id, false)} AS f
+              FROM split LEFT JOIN labelled USING (doc_id)),
+            failed AS (SELECT part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: CASE x WHEN 'A' THEN f.A WHEN 'B' THEN f.B WHEN 'C' THEN f.C WHEN 'D' THEN f.D ELSE f.E END) AS fails FROM flags),
+            letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+            orders AS (
+              SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+              WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+            replayed AS (
+              SELECT part, good, toxic, fails, filter_order, list_min(list_transform(fails, lambda x: instr(filter_order, x))) AS first, unnest(range(1, 6)) AS step FROM failed, orders),
+            sums AS (
+              SELECT part, filter_order, step::INTEGER AS step, count(*) FILTER (first IS NULL OR first > step) AS kept, count(*) FILTER (first = step) AS removed,
+                     count(*) FILTER (first < step AND list_contains(fails, filter_order[step])) AS redundant,
+                     count(*) FILTER (fails = [filter_order[step]]) AS unique_fails, count(*) FILTER (first = step AND good) AS good_lost,
+                     count(*) FILTER (first = step AND toxic) AS toxic_lost
+              FROM replayed GROUP BY ALL)
+            SELECT *, sum(removed) OVER (PARTITION BY part, filter_order[step])::BIGINT AS shapley FROM sums""",
     }
