@@ -220,7 +220,8 @@ def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
     """docs with contaminated and the longest overlap: item_id, equal_tokens, span_tokens, doc_from, item_from (else null).
 
     A document is contaminated when it shares with an item a stretch of min_tokens tokens or more (a shorter item: all of its
-    tokens) of which the given part agrees, place by place; an item of under WHOLE tokens must agree in all. Null and empty
+    tokens) of which the given part agrees, place by place; an item of under WHOLE tokens must agree in all, so that an item of
+    one token marks every document with that token. Null and empty
     items match nothing; null and empty documents are clean. Of equally long overlaps the first item by id counts, a null id
     last. Columns of these names are replaced, all others kept; equal rows get equal results; empty tables give empty ones.
     No overlap is missed at the given defaults. With min_tokens below 13 or a lower similarity MASKS may miss long items'.

@@ -85,7 +85,7 @@ def test_decontaminate(spark, monkeypatch):
     say = lambda n: [rng.choice(vocabulary) for _ in range(n)]
     items = [say(30) for _ in range(20)]
     bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)] + [(90, None), (91, ""), (92, "one two"), (None, "null " * 9)], "item_id long, text string")
-    docs, want = [(0, None), (1, ""), (2, "one two three")], {0: False, 1: False, 2: False}
+    docs, want = [(0, None), (1, ""), (2, "one two three")], {0: False, 1: False, 2: True}
     for k in range(60):
         base = say(80)
         passage = items[k % 20][:]
@@ -108,7 +108,7 @@ def test_decontaminate(spark, monkeypatch):
         out = decontaminate.mark(df, bench).collect()
         assert len(out) == len(docs)
         assert {r.doc_id: r.contaminated for r in out} == want
-        assert all(r.item_id == (r.doc_id - 10) % 20 for r in out if r.contaminated and r.doc_id < 500)
+        assert all(r.item_id == (92 if r.doc_id == 2 else (r.doc_id - 10) % 20) for r in out if r.contaminated and r.doc_id < 500)
     assert decontaminate.mark(df, bench.limit(0)).where("contaminated").count() == 0
     assert decontaminate.mark(df.limit(0), bench).count() == 0
 
