@@ -22,13 +22,23 @@ from loom.llm.common import materialize, ship
 CAPACITY, END = 2048, 0
 
 #: Words that a task remembers, the longest of them in characters, words that are encoded at a time, words whose ids are held at a time.
-_KNOWN, _LONGEST, _AT_ONCE, _RUN = 300_000, 64, 4096, 1 << 18
+_KNOWN, _LONGEST, _AT_ONCE, _RUN = 400_000, 64, 4096, 1 << 18
+#: Letters and marks after them, which most tokenizers part anyway.
+_PARTS = "^(?P<head>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,;:!?]*)$"
+
+
+def _gather(flat: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """flat[start : start + n] of each range, one after another."""
+    upto = np.cumsum(n)
+    return flat[np.repeat(start - upto + n, n) + np.arange(upto[-1] if len(upto) else 0)]
 
 
 class WordIds:
     """Token ids of many texts, word by word; no token of the tokenizers that this serves reaches over a blank.
 
-    The words of a batch are encoded once each; frequent ones are remembered over batches, in bounded number.
+    The words of a batch are encoded once each; frequent ones are remembered over batches, in bounded number. Where the tokenizer
+    parts marks from the letters before them and ignores case, letters and marks are words of their own; where it gives words of
+    small ASCII letters to its model as they are, they go there at once. A few words tell whether it does.
     """
 
     def __init__(self, tokenizer: str) -> None:
@@ -36,31 +46,56 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self._tokenizer, self._known = Tokenizer.from_str(tokenizer), {}
+        ids = lambda w: self._tokenizer.encode(w, add_special_tokens=False).ids
+        self._parted = all(ids(h + t) == ids(h.lower()) + ids(t) for h in ("Word", "ÉTÉ", "i", "THE") for t in (".", "!?", ",;:"))
+        self._plain = all(self._by_model(w) == ids(w) for w in ("word", "i", "qqzzx", "antidisestablishmentarianism"))
+
+    def _by_model(self, word: str) -> list[int]:
+        return [t.id for t in self._tokenizer.model.tokenize(word)]
 
     def _encoded(self, words: list[str]) -> list[bytes]:
         out = [self._known.get(w) for w in words]
-        missing = [i for i, x in enumerate(out) if x is None]
-        for k in range(0, len(missing), _AT_ONCE):
-            part = missing[k : k + _AT_ONCE]
-            for i, e in zip(part, self._tokenizer.encode_batch([words[i] for i in part], add_special_tokens=False), strict=True):
+        missing, others, model = [i for i, x in enumerate(out) if x is None], [], self._tokenizer.model
+        for i in missing:
+            word = words[i]
+            if self._plain and word.isascii() and word.isalpha() and word.islower():
+                out[i] = b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(word)])
+            else:
+                others.append(i)
+        for k in range(0, len(others), _AT_ONCE):
+            part = others[k : k + _AT_ONCE]
+            for i, e in zip(part, self._tokenizer.encode_batch_fast([words[i] for i in part], add_special_tokens=False), strict=True):
                 out[i] = np.array(e.ids, "<u4").tobytes()
-                if len(words[i]) <= _LONGEST and len(self._known) < _KNOWN:
-                    self._known[words[i]] = out[i]
+        for i in missing:
+            if len(self._known) >= _KNOWN:
+                break
+            if len(words[i]) <= _LONGEST:
+                self._known[words[i]] = out[i]
         return out
 
+    def _vocabulary(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different words, one after another, and the number of each word's."""
+        parts = pc.extract_regex(words, _PARTS) if self._parted else None
+        whole = parts is None or parts.null_count == len(parts)
+        heads = words if whole else pc.if_else(parts.is_valid(), pc.utf8_lower(pc.struct_field(parts, "head")), words)
+        tails = None if whole else pc.fill_null(pc.if_else(parts.is_valid(), pc.struct_field(parts, "tail"), ""), "")
+        both = pa.concat_arrays([heads] if whole else [heads, tails]).dictionary_encode()
+        coded = self._encoded(both.dictionary.to_pylist())
+        flat, n = np.frombuffer(b"".join(coded), "<u4"), np.array([len(x) >> 2 for x in coded], np.int64)
+        which = np.asarray(both.indices, dtype=np.int64).reshape(-1, len(words)).T
+        return _gather(flat, (np.cumsum(n) - n)[which.ravel()], n[which.ravel()]), n[which].sum(axis=1)
+
     def runs(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, bool]]:
         """(row, some of its ids, whether they are its last), rows in order; long texts come in several runs."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = pc.list_flatten(lists).dictionary_encode()
-        coded = self._encoded(words.dictionary.to_pylist())
-        flat, n = np.frombuffer(b"".join(coded), "<u4"), np.array([len(x) >> 2 for x in coded], np.int64)
+        flat, n = self._vocabulary(words.dictionary)
         start, which = np.cumsum(n) - n, np.asarray(words.indices, dtype=np.int64)
         ends = np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))
         row = 0
         for a in range(0, len(which), _RUN):
             w = which[a : a + _RUN]
-            upto = np.cumsum(n[w])
-            ids = flat[np.repeat(start[w] - upto + n[w], n[w]) + np.arange(upto[-1])]
+            upto, ids = np.cumsum(n[w]), _gather(flat, start[w], n[w])
             done = 0
             while row < len(texts) and ends[row] <= a + len(w):
                 end = int(upto[ends[row] - a - 1])
