@@ -536,6 +536,6 @@ QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from loom import report_queries
+    from loom import report_queries, stored_queries
 
-    return {f.__name__: f for f in (*QUERIES, *report_queries.QUERIES)}
+    return {f.__name__: f for f in (*QUERIES, *report_queries.QUERIES, *stored_queries.QUERIES)}
