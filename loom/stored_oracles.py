@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loom.oracles import ALL, RATED, near, walk
+from loom.oracles import ALL, RATED, SEQS, kmers, near, sizes, walk
 from loom.queries import LEVELS
 from loom.stored_queries import LOOKED_UP
 
@@ -27,6 +27,14 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT *, regexp_replace(text, '\s', '', 'g') AS s FROM conversations WHERE role <> 'system')""",
         "genome_lookup": f"""SELECT conv_id::VARCHAR AS id, conv_id || '.' || turn AS fid, role AS function, length(text)::BIGINT AS letters FROM conversations
             WHERE conv_id BETWEEN {LOOKED_UP[0]} AND {LOOKED_UP[-1]}""",
+        "admitted_once": "SELECT DISTINCT user_id, event_type FROM events",
+        "running_representatives": f"""WITH RECURSIVE {SEQS}, {kmers()}, own AS MATERIALIZED (SELECT k.*, conv_id AS grp FROM kmers k JOIN seqs USING (id)), {sizes('kmers', 'sizes')},
+            pairs AS MATERIALIZED (SELECT a.id AS id1, b.id AS id2, count(*) AS sim FROM own a JOIN own b USING (grp, kmer) WHERE a.id < b.id GROUP BY ALL),
+            {walk('kept', 'id', near(f'sim >= {min(LEVELS)}'))},
+            best AS (SELECT id2 AS id, arg_min(id1, (-sim, id1)) AS ref_id, max(sim) AS sim FROM pairs JOIN kept ON kept.id = id1 GROUP BY id2)
+            SELECT s.conv_id AS grp, s.id, CASE WHEN k.id IS NULL THEN ref_id ELSE s.id END AS ref_id, CASE WHEN k.id IS NULL THEN sim ELSE 9999 END AS sim,
+                   CASE WHEN k.id IS NULL THEN 1 - sim::DOUBLE / (x.n + y.n - sim) ELSE 0 END AS distance, k.id IS NOT NULL AS added
+            FROM seqs s LEFT JOIN kept k ON k.id = s.id LEFT JOIN best b ON b.id = s.id LEFT JOIN sizes x ON x.id = s.id LEFT JOIN sizes y ON y.id = ref_id""",
         "incremental_build": f"""WITH RECURSIVE {ALL}, {RATED}, {_updates()},
             members AS (SELECT level, k.id AS ref_id, kmer FROM reps JOIN kmers k USING (id)),
             shared AS (SELECT k.id, level, ref_id, count(*) AS sim FROM kmers k JOIN members USING (kmer) GROUP BY ALL)
