@@ -48,7 +48,7 @@ def test_killed_and_restarted(spark, tmp_path):
 
 def test_keys_are_forgotten(spark, tmp_path):
     schema = "id long, key string, ts timestamp"
-    hours = [[(1, "a", 0), (2, "b", 0)], [(3, "b", 3), (4, "c", 6)], [(5, "a", 6), (6, "b", 6)], [(7, "c", 7)]]
+    hours = [[(1, "a", 0), (2, "b", 0)], [(3, "b", 3), (4, "c", 6)], [(5, "a", 7), (6, "b", 7)], [(7, "c", 8)]]
     for part, rows in enumerate(hours):
         df = spark.createDataFrame([(i, k, 1_700_000_000 + 3600 * h) for i, k, h in rows], "id long, key string, h long")
         df.select("id", "key", F.timestamp_seconds("h").alias("ts")).coalesce(1).write.parquet(f"{tmp_path}/in/{part}")
