@@ -25,6 +25,7 @@ def nearest(queries: DataFrame, references: DataFrame, level: int = 1) -> DataFr
 
     A query that shares nothing with any reference has null ref_id, sim 0 and distance 1.
     """
+    queries, references = written(queries), written(references)
     own, theirs = sizes(queries), sizes(references)
     top = with_distance(best(cross_sims(queries, references)), "id", own, "ref_id", theirs)
     out = own.select("id").join(top, "id", "left")
@@ -87,6 +88,7 @@ def top_with_ties(queries: DataFrame, references: DataFrame, n: int = 5, least:
 
     A query with none has one row of nulls; the first row of a query has closest 'Y'.
     """
+    queries, references = written(queries), written(references)
     own, theirs = sizes(queries), sizes(references)
     sims = with_distance(cross_sims(queries, references, least), "id", own, "ref_id", theirs)
     w = Window.partitionBy("id").orderBy(F.desc("sim"))
@@ -102,6 +104,7 @@ def group_distance(queries: DataFrame, groups: DataFrame, members: DataFrame, mo
 
     queries: (id, kmer); groups: (id, grp) of queries; members: (id, grp, kmer).
     """
+    queries, members = written(queries), written(members)
     n = sizes(members.select("id", "kmer").distinct())
     sims = queries.join(groups, "id").join(members.select(F.col("id").alias("ref_id"), "grp", "kmer"),
         ["grp", "kmer"]).where("id <> ref_id").groupBy("id", "grp", "ref_id").agg(F.count("*").alias("sim"))

@@ -24,3 +24,9 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/loom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in as many partitions as the session has cores where its scan has fewer, as that of a small file has; else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

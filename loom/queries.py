@@ -16,7 +16,7 @@ from loom.functions.kmers import kmer_index
 from loom.functions.sequences import ambiguity_count, genome_checksum
 from loom.operators import coupling, greedy, nearest, ratings, roles, sets, similarity, taxonomy
 from loom.plans import build as plans
-from loom.plans.shared import written
+from loom.plans.shared import spread, written
 
 K, LEVELS = 8, (10, 20, 40)
 REACH = 40_000
@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, conv_id, turn, role, seq)."""
-    t = table(spark, sf_dir, "conversations")
+    t = spread(table(spark, sf_dir, "conversations"))
     return t.select((F.col("conv_id") * 100 + F.col("turn")).alias("id"), "conv_id", "turn", "role", F.col("text").alias("seq"))
 
 
@@ -50,7 +50,7 @@ def built(spark: SparkSession, sf_dir: str) -> plans.Build:
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as features of a user: a minute long, on one of two strands, with families and subsystems."""
-    e = table(spark, sf_dir, "events")
+    e = spread(table(spark, sf_dir, "events"))
     left = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ '2024-01-01 00:00:00', ts)").cast("long")
     sub = F.when(F.col("event_id") % 3 == 0, F.array(F.concat(F.lit("s"), (F.col("event_id") % 5).cast("string")),
         F.lit("s9"))).when(F.col("event_id") % 3 == 1, F.array(F.concat(F.lit("s"),
