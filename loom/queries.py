@@ -143,7 +143,7 @@ def seq_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sims(spark: SparkSession, sf_dir: str, least: int) -> DataFrame:
-    return written(similarity.pair_sims(index(spark, sf_dir), least))
+    return written(similarity.pair_sims(written(index(spark, sf_dir)), least))
 
 
 def greedy_representatives(spark: SparkSession, sf_dir: str) -> DataFrame:
