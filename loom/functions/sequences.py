@@ -83,6 +83,12 @@ def triplet_index(protein: Column, at: Column) -> Column:
     return F.when(bad, -1).otherwise(digit[0] * 400 + digit[1] * 20 + digit[2]).cast("int")
 
 
+def triplets() -> Column:
+    """All triplets of amino acids as an array, in the order of triplet_index()."""
+    letters = F.array(*[F.lit(x) for x in AMINO_ACIDS])
+    return F.flatten(F.transform(letters, lambda a: F.flatten(F.transform(letters, lambda b: F.transform(letters, lambda c: F.concat(a, b, c))))))
+
+
 def shown_similarity(sim: Column) -> Column:
     return F.when(sim == INFINITE, "MAX").otherwise(sim.cast("string"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loom.functions.sequences import canonical_pair, hypothetical, roles_of_function
+from loom.operators.ranks import ranked
 
 # --- classifiers: features -> (genome, fid, class) ---------------------------------------------------------------------
 
@@ -30,11 +31,11 @@ def by_family(features: DataFrame, family: str = "pgfam") -> DataFrame:
 
 
 def by_random_family(features: DataFrame, family: str = "pgfam", seed: int = 0) -> DataFrame:
-    """A control: the families of a genome dealt anew among its features that have one, by the hash order of a seed."""
+    """A control: the families of a genome dealt anew among its features that have one, by the order of MD5("genome:fid:seed")."""
     own = features.where(F.coalesce(F.col(family), F.lit("")) != "").select("genome", "fid", F.col(family).alias("class"))
     w = Window.partitionBy("genome")
     a = own.select("genome", "fid", F.row_number().over(w.orderBy("fid")).alias("n"))
-    b = own.select("genome", "class", F.row_number().over(w.orderBy(F.xxhash64("genome", "fid", F.lit(seed)), "fid")).alias("n"))
+    b = own.select("genome", "class", F.row_number().over(w.orderBy(F.md5(F.concat_ws(":", "genome", "fid", F.lit(seed))), "fid")).alias("n"))
     return a.join(b, ["genome", "n"]).select("genome", "fid", "class")
 
 
@@ -142,6 +143,11 @@ def pair_totals(per_genome: DataFrame) -> DataFrame:
         F.sum("sub_match").alias("sub_match"), F.sum("sub_fail").alias("sub_fail"))
 
 
+def in_size_order(totals: DataFrame) -> DataFrame:
+    """totals with place: the largest couplings first, equal ones by their classes."""
+    return ranked(totals, F.desc("size"), F.col("class1"), F.col("class2"))
+
+
 def by_size(totals: DataFrame, limit: float = 15.0) -> DataFrame:
     if limit <= 1:
         raise ValueError("a size limit must exceed 1")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from loom.functions.sequences import percent_threshold, role_type, without_comment
 from loom.functions.stats import sample_deviation
+from loom.operators.ranks import ranked_within
 
 REPORTS = {"FULL": ("MISSING", "GOOD", "OVER_PRESENT"), "MISSING": ("MISSING",), "OVER_PRESENT": ("OVER_PRESENT",), "BAD": ("MISSING", "OVER_PRESENT")}
 DOMAINS = ("Bacteria", "Archaea")
@@ -45,7 +45,7 @@ def in_lineage_order(counts: DataFrame, genomes: DataFrame) -> DataFrame:
     genomes: (genome, lineage array).
     """
     out = counts.join(genomes.select("genome", "lineage", F.array_join("lineage", ", ").alias("taxonomy")), "genome")
-    return out.withColumn("place", F.row_number().over(Window.partitionBy("role").orderBy("lineage", "genome"))).drop("lineage")
+    return ranked_within(out, "role", F.col("lineage"), F.col("genome")).drop("lineage")
 
 
 def role_ids(names: DataFrame) -> DataFrame:

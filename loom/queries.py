@@ -445,22 +445,22 @@ def _each(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each turn's errors against all others, the largest mean first."""
+    """Each turn's errors against all others, the largest mean first, then the largest deviation."""
     n = sequences(spark, sf_dir).count() - 1
     out = sequences(spark, sf_dir).select("id").join(_sums(_each(spark, sf_dir), ["id"]), "id", "left").fillna(0.0, ["d", "dd"])
     out = out.select("id", F.round(F.col("d") / n, 6).alias("mean_error"),
         F.round(stats.deviation_of_sums(F.lit(n), F.col("d"), F.col("dd")), 6).alias("sd_error"))
-    return out.orderBy(F.desc("mean_error"), "id")
+    return out.orderBy(F.desc("mean_error"), F.desc("sd_error"), "id")
 
 
 def kendall_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each turn's rank and linear correlation of the two distances to all others, the smallest linear one first."""
+    """Each turn's rank and linear correlation of the two distances to all others, the smallest linear one first, then the smallest tau."""
     n, rows = sequences(spark, sf_dir).count() - 1, _each(spark, sf_dir)
     sums = written(_sums(rows, ["id"]))
     tau = stats.kendall_tau(rows.join(sums.select("id", (n - F.col("near")).alias("far")), "id"), "id", "seed_dist", "rna_dist", "far")
     out = sequences(spark, sf_dir).select("id").join(tau.select("id", "tau"), "id", "left").join(sums, "id", "left")
     out = out.select("id", F.lit(n).cast("long").alias("n"), F.round("tau", 6).alias("tau"), _pearson(F.lit(float(n))).alias("pearson"))
-    return out.orderBy("pearson", "id")
+    return out.orderBy("pearson", "tau", "id")
 
 
 def neighbor_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -536,6 +536,6 @@ QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from loom import report_queries, stored_queries
+    from loom import listing_queries, report_queries, stored_queries
 
-    return {f.__name__: f for f in (*QUERIES, *report_queries.QUERIES, *stored_queries.QUERIES)}
+    return {f.__name__: f for f in (*QUERIES, *report_queries.QUERIES, *stored_queries.QUERIES, *listing_queries.QUERIES)}
