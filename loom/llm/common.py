@@ -30,7 +30,10 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once a session, unless their path has it already; bounds Arrow batches."""
+    """Sends this package to the Python workers, once a session, unless their path has it already; bounds Arrow batches.
+
+    The bound is the session's setting of Arrow batch bytes, which becomes ARROW_BYTES where it has Spark's default, and stays so.
+    """
     if spark.conf.get(_ARROW_KEY, _ARROW_DEFAULT[0]) in _ARROW_DEFAULT:
         spark.conf.set(_ARROW_KEY, str(ARROW_BYTES))
     root = Path(__file__).resolve().parents[2]

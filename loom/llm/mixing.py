@@ -131,6 +131,7 @@ def plan_sources(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: f
     totals: (source, size, rows). Sources by code point, null last, take the weights in turn; their number has no bound, as
     they are numbered and summed within ranges. Plan: source, size, rows, target, block (words of a block), blocks (of one
     pass), quota (blocks to take in up to cap passes), step, column, offset (of its slots within the column). The shared column's slots are permuted once more.
+    A source of size 0 has quota 0; an empty table gives an empty plan.
     """
     by_name = [F.col("source").isNull(), F.col("source")]
     sorted_rows = materialize(totals.repartitionByRange(*by_name).sortWithinPartitions(*by_name).withColumn("at", F.monotonically_increasing_id()))

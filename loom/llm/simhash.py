@@ -184,7 +184,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
 
     Ids and fingerprints are written out, texts are not; the texts of the chosen ids are then fetched by a join of the same
     kind at every size. Rows whose id is null or stands several times are told apart by their fingerprints, which are made
-    again for those rows only.
+    again for those rows only. Null texts have fingerprint zero, as empty ones; an empty table gives an empty one; no column is
+    changed, whatever its name.
     """
     slim = materialize(with_fingerprint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).select("id", "simhash"))
     found = near_components(slim, "id", "simhash", radius)

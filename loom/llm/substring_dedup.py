@@ -279,8 +279,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
 
     A window is `window` consecutive words (runs of anything but blanks, unchanged) of one text; it is repeated when its
     words stand anywhere else in the input, the same text included. kept_text has the other words joined by one space. Null
-    text has no words; shorter texts keep all. All windows are judged on the input; all copies go, none stays. Columns of
-    these names are replaced, all others kept; an empty table gives an empty result.
+    text has no words; shorter texts keep all. All windows are judged on the input; all copies go, none stays; repeated rows
+    are texts of their own, whose windows of window words and more all go. Columns of these names are replaced, all others kept; an empty table gives an empty result.
 
     1. Anchors (about one for 14 words) are counted by hash; a bitmap keeps those that stand twice.
     2. Runs of windows under such anchors become passages, grouped word for word with their counts, then dealt to reference

@@ -206,8 +206,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Rows without a label or id are not learned from. A label that stands several times for an id counts once, as 1 if any is
     1. The sample is drawn from ids and labels alone, by the hash of the id; its ids are broadcast, at most 2 * max_rows, so
     that no text is shuffled. Of copies and near copies in the sample (rows that share one of their marks) one is learned
-    from: words of a text that is copied a thousand times would pass any test of significance. Every term that passes the tests of MIN_DOCUMENTS is kept. Document frequencies are counted
-    over all of docs, which takes no label. Chances are weighed by how often each label stands among all labelled training
+    from: words of a text that is copied a thousand times would pass any test of significance. The vocabulary is every term that stands in MIN_DOCUMENTS of them, passes
+    both tests of significance and is MIN_LIFT times as frequent under one label; other words count neither in products nor in
+    norms. Document frequencies are counted over all of docs, which takes no label. Chances are weighed by how often each label stands among all labelled training
     rows. Null texts count as empty; extra columns are not read; without labels every text scores the prior.
     """
     marked = materialize(labels.select(F.col(id_col).alias("id"),
