@@ -116,7 +116,7 @@ def pieces(docs: DataFrame, tokenizer: str | Path, capacity: int = CAPACITY, end
     ship(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8"))
     kind = docs.schema[id_col].dataType
-    fields = [T.StructField("id", kind), *T.StructType.fromDDL("piece int, start long, length int, ids_crc32 long, task int, rank long").fields]
+    fields = [T.StructField("id", kind), *T.StructType.fromDDL("piece int, start long, length long, ids_crc32 long, task int, rank long").fields]
     schema = T.StructType(fields + ([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +142,7 @@ def pieces(docs: DataFrame, tokenizer: str | Path, capacity: int = CAPACITY, end
             rank[order] = seen[n[order]] + np.arange(len(n)) - np.searchsorted(n[order], n[order])
             seen += np.bincount(n, minlength=capacity + 1)
             crc = pa.array([zlib.crc32(x.tobytes()) for x in parts], pa.int64())
-            columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(numbers, pa.int32()), pa.array(starts, pa.int64()), pa.array(n, pa.int32()), crc,
+            columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(numbers, pa.int32()), pa.array(starts, pa.int64()), pa.array(n, pa.int64()), crc,
                 pa.array(np.full(len(n), task), pa.int32()), pa.array(rank)]
             if with_ids:
                 offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())

@@ -84,6 +84,8 @@ def test_pack(spark, capacity):
     df = spark.createDataFrame([(i, t, 1, "x") for i, t in own], "doc_id long, text string, length int, ids string").repartition(5)
     packed = packing.pack(df, PATH, capacity, with_ids=True)
     rows = packed.collect()
+    kinds = dict(packed.dtypes)
+    assert kinds["piece"] == "int" and {kinds[c] for c in ("doc_id", "start", "length", "ids_crc32", "sequence_id", "offset")} == {"bigint"}
     want = Counter()
     for i, t in own:
         ids = [*whole.encode(t or "", add_special_tokens=False).ids, 0]
