@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from loom.functions import stats
 from loom.functions.kmers import kmer_index
 from loom.functions.sequences import ambiguity_count, genome_checksum
-from loom.operators import coupling, greedy, nearest, ratings, roles, sets, similarity, taxonomy
+from loom.operators import coupling, greedy, nearest, ratings, roles, selection, sets, similarity, taxonomy
 from loom.plans import build as plans
 from loom.plans.shared import spread, written
 
@@ -468,19 +468,23 @@ def neighbor_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
     refs = sequences(spark, sf_dir).where("role = 'assistant'").count()
     others = sequences(spark, sf_dir).where("role <> 'assistant'").select("id")
+    quartiles = [stats.percentile_ranks(refs, i / 4) for i in (1, 2, 3)]
+    places = {1, min(101, refs), refs, *(i for q in quartiles for i in q[:2])}
     for measure, k in (("seed", K), ("rna", 4)):
         r = written(index(spark, sf_dir, k, "assistant"))
         q = written(index(spark, sf_dir, k).join(others, "id", "left_semi"))
-        d = similarity.with_distance(similarity.cross_sims(q, r), "id", similarity.sizes(q), "ref_id", similarity.sizes(r))
+        d = written(similarity.with_distance(similarity.cross_sims(q, r), "id", similarity.sizes(q), "ref_id", similarity.sizes(r)))
         u = 1 - F.col("distance")
-        got = d.groupBy("id").agg(F.sort_array(F.collect_list("distance")).alias("d"), F.sum(u).alias("u"), F.sum(u * u).alias("uu"))
-        got = others.join(got, "id", "left").select("id", F.coalesce("d", F.array().cast("array<double>")).alias("d"),
-            F.coalesce("u", F.lit(0.0)).alias("u"), F.coalesce("uu", F.lit(0.0)).alias("uu"))
-        s, n, far = F.col("d"), F.lit(refs), F.lit(1.0)
-        at = lambda i: F.coalesce(F.get(s, i), far)  # noqa: B023, E731
-        cols = {"min": at(F.lit(0)), "v100": at(F.least(F.lit(100), n - 1)), "max": at(n - 1), "mean": 1 - F.col("u") / n,
-            "sdev": stats.deviation_of_sums(n, F.col("u"), F.col("uu"))}
-        cols |= {f"q{i}": stats.padded_percentile(s, n, far, i / 4) for i in (1, 2, 3)}
+        sums = d.groupBy("id").agg(F.sum(u).alias("u"), F.sum(u * u).alias("uu"))
+        ranks = others.select("id", F.explode(F.array(*[F.lit(i) for i in sorted(places)])).alias("rank"))
+        found = selection.order_statistics(d, "id", "distance", ranks).groupBy("id")
+        found = found.agg(*[F.max(F.when(F.col("rank") == i, F.col("distance"))).alias(f"v{i}") for i in sorted(places)])
+        got = others.join(sums, "id", "left").join(found, "id", "left")
+        u, uu = F.coalesce("u", F.lit(0.0)), F.coalesce("uu", F.lit(0.0))
+        at = lambda i: F.coalesce(f"v{i}", F.lit(1.0))
+        cols = {"min": at(1), "v100": at(min(101, refs)), "max": at(refs), "mean": 1 - u / refs, "sdev": stats.deviation_of_sums(F.lit(refs), u, uu)}
+        for i, (low, high, part) in enumerate(quartiles, 1):
+            cols[f"q{i}"] = at(low) + part * (at(high) - at(low))
         part = got.select("id", F.lit(measure).alias("measure"), *[F.round(c, 6).alias(name) for name, c in cols.items()])
         out = part if out is None else out.unionByName(part)
     return out
