@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loom.functions.sequences import canonical_pair, hypothetical, roles_of_function
+from loom.operators import bitmaps
 from loom.operators.ranks import ranked
 
 # --- classifiers: features -> (genome, fid, class) ---------------------------------------------------------------------
@@ -188,7 +189,7 @@ def scores_report(per_genome: DataFrame, totals: DataFrame, classes: DataFrame,
     a, b = member.withColumnRenamed("genome", "g1"), member.withColumnRenamed("genome", "g2")
     near = a.join(genome_sims, "g1").join(b, ["class1", "class2", "g2"])
     less = near.groupBy("class1", "class2").agg(F.sum(1.0 - 1.0 / (F.col("sim") + 1)).alias("less_sim"), F.sum(1.0 - F.col("distance")).alias("less_real"))
-    has = classes.select("genome", "class").distinct().groupBy("class").agg(F.count("*").alias("genomes"))
+    has = bitmaps.counted(bitmaps.bitmaps(classes, ["class"], "genome", bitmaps.dense_ids(classes, "genome")), ["class"], "genomes")
     all_pairs = F.col("size") * (F.col("size") - 1) / 2
     out = totals.join(less, ["class1", "class2"], "left")
     for i in ("1", "2"):

@@ -138,9 +138,10 @@ COMPARED = f"""{SEQS}, {kmers(4, 'k4')}, {kmers(8, 'k8')}, {sizes('k4', 'n4')},
 
 
 def oracle_sql() -> dict[str, str]:
-    from loom import listing_oracles, report_oracles, stored_oracles
+    from loom import listing_oracles, mechanism_oracles, report_oracles, stored_oracles
 
-    return {**_own(), **report_oracles.oracle_sql(), **stored_oracles.oracle_sql(), **listing_oracles.oracle_sql()}
+    parts = (report_oracles, stored_oracles, listing_oracles, mechanism_oracles)
+    return {**_own(), **{name: sql for part in parts for name, sql in part.oracle_sql().items()}}
 
 
 def _own() -> dict[str, str]:

@@ -540,6 +540,7 @@ QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from loom import listing_queries, report_queries, stored_queries
+    from loom import listing_queries, mechanism_queries, report_queries, stored_queries
 
-    return {f.__name__: f for f in (*QUERIES, *report_queries.QUERIES, *stored_queries.QUERIES, *listing_queries.QUERIES)}
+    return {f.__name__: f for f in (*QUERIES, *report_queries.QUERIES, *stored_queries.QUERIES, *listing_queries.QUERIES,
+        *mechanism_queries.QUERIES)}
