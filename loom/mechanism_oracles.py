@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "hierarchy_depths": """WITH RECURSIVE own AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 97 = 1 THEN NULL WHEN c_custkey % 1009 = 5 THEN c_custkey + 2
+        "hierarchy_depths": """WITH RECURSIVE own AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 97 = 1 THEN NULL WHEN c_custkey % 211 = 5 THEN c_custkey + 4
                 WHEN c_custkey % 499 = 0 THEN -c_custkey ELSE c_custkey - 1 - c_nationkey % 3 END AS parent FROM customer),
             up AS (SELECT o.id, p.id AS above FROM own o JOIN own p ON p.id = o.parent UNION SELECT up.id, p.id FROM up JOIN own o ON o.id = up.above JOIN own p ON p.id = o.parent),
             ends AS (SELECT o.id, o.parent IS NULL AS top FROM own o LEFT JOIN own p ON p.id = o.parent WHERE p.id IS NULL),

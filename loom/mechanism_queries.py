@@ -11,9 +11,9 @@ from loom.plans import observed
 
 
 def hierarchy_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers under a customer up to three before them, every 97th without one; every 1,009th points back up, which makes cycles."""
+    """Customers under a customer up to three before them, every 97th without one; every 211th points back up, which makes cycles."""
     c, n = F.col("c_custkey"), F.col("c_nationkey")
-    parent = F.when(c % 97 == 1, None).when(c % 1009 == 5, c + 2).when(c % 499 == 0, -c).otherwise(c - 1 - n % 3)
+    parent = F.when(c % 97 == 1, None).when(c % 211 == 5, c + 4).when(c % 499 == 0, -c).otherwise(c - 1 - n % 3)
     nodes = q.table(spark, sf_dir, "customer").select(c.alias("id"), parent.alias("parent"))
     return ancestry.ancestry(nodes)
 
