@@ -16,7 +16,7 @@ def test_all_have_sql():
 
 
 @pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables here")
-@pytest.mark.parametrize("name", ["nested_levels", "neighbors_topn_ties", "coupling_close", "coupling_scores", "universal_roles", "kendall_summary", "hierarchy_tree", "neighbor_stats"])
+@pytest.mark.parametrize("name", ["nested_levels", "neighbors_topn_ties", "coupling_close", "coupling_scores", "universal_roles", "kendall_summary", "hierarchy_tree", "neighbor_stats", "hierarchy_depths", "class_set_sizes", "rejected_documents"])
 def test_against_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
