@@ -14,12 +14,11 @@ def oracle_sql() -> dict[str, str]:
                 CASE WHEN top THEN 'root' WHEN NOT top THEN 'orphan' WHEN root IS NOT NULL THEN 'below' WHEN turns THEN 'cycle' ELSE 'above cycle' END AS state
             FROM own o LEFT JOIN ends e USING (id) LEFT JOIN reach r ON r.id = o.id""",
         "class_set_sizes": """WITH e AS (SELECT event_type, floor(value / 20)::BIGINT AS family, user_id FROM events), k AS (SELECT DISTINCT event_type, user_id FROM e WHERE user_id IS NOT NULL),
-            names AS (SELECT DISTINCT event_type FROM k)
+            pairs AS (SELECT * FROM (VALUES ('click', 'view'), ('error', 'view'), ('click', 'error'), ('click', 'nothing')) v(one, two))
             SELECT 'family' AS part, event_type AS one, family::VARCHAR AS two, count(DISTINCT user_id) AS n FROM e WHERE user_id IS NOT NULL GROUP BY ALL
             UNION ALL SELECT 'kind', event_type, NULL, count(*) FROM k GROUP BY ALL
             UNION ALL SELECT 'all', NULL, NULL, count(DISTINCT user_id) FROM k
-            UNION ALL SELECT 'both', a.event_type, b.event_type, (SELECT count(*) FROM k x JOIN k y USING (user_id) WHERE x.event_type = a.event_type AND y.event_type = b.event_type)
-            FROM names a JOIN names b ON a.event_type < b.event_type""",
+            UNION ALL SELECT 'both', one, two, (SELECT count(*) FROM k x JOIN k y USING (user_id) WHERE x.event_type = one AND y.event_type = two) FROM pairs""",
         "rejected_documents": """WITH d AS (SELECT *, CASE WHEN trim(coalesce(text, ''), ' ') = '' THEN 'no text' WHEN lang IS NULL THEN 'no language' WHEN n_chars < 200 THEN 'short' END AS reason FROM documents),
             s AS (SELECT count(*) AS rows_read, count(*) FILTER (reason IS NULL) AS rows_kept, max(n_chars) FILTER (reason IS NULL)::BIGINT AS longest, sum(n_chars) FILTER (reason IS NULL)::BIGINT AS chars FROM d)
             SELECT doc_id, reason, rows_read, rows_kept, longest, chars FROM d, s WHERE reason IS NOT NULL""",
