@@ -3,9 +3,11 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from loom.llm import decontaminate, line_dedup, mixing, quality, sharding, substring_dedup, toxicity
+from loom.llm import common, decontaminate, line_dedup, mixing, quality, sharding, substring_dedup, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words long, slot string"
 
@@ -298,3 +300,15 @@ def test_quality(spark):
     assert sum(good) / len(good) > 0.95
     assert all(r.quality == 0 for r in rows if r.doc_id == 1000)
     assert quality.score(df.limit(0), quality.train(df.limit(0))).count() == 0
+
+
+def test_bit_filter_jobs(spark):
+    """A filter of 64 parts takes as many jobs as one of a single part: the parts come to the driver together."""
+    jobs, h = [], spark.range(1000).select(F.xxhash64("id").alias("h"))
+    for bits in (1 << 18, 1 << 24):
+        spark.sparkContext.setJobGroup(f"filter {bits}", "")
+        bitmap = common.bit_filter(h, bits, repeated=False)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"filter {bits}")))
+        assert common.maybe(bitmap, np.array([r.h for r in h.collect()], np.int64).view(np.uint64), bits).all()
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs[0] == jobs[1] <= 2
