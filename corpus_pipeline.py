@@ -21,6 +21,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies: five-word shingles, Jaccard similarity 0.8 and more.
 
+    Multi-index hashing of SimHashes finds the candidates, whole shingle sets decide.
+
     The smallest id stays, null last; of rows of one id the first by their shingles, then by the hash of all columns; of
     rows alike in all columns one. Texts without words are one group. An empty table gives an empty one. No column is changed.
     """
@@ -57,7 +59,7 @@ def placed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language ID", known_language), ("near-dedup", one_of_each_group), ("decontamination", clean_of_benchmarks), ("mixing", mixed), ("sharding", placed)]
 
-#: SQL has no MinHash bands, no trained model and no spaced seeds.
+#: SQL has no SimHash, no trained model and no spaced seeds.
 ORACLE_SQL = None
 
 

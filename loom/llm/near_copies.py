@@ -1,4 +1,4 @@
-"""Near copies by the Jaccard similarity of whole word-shingle sets: MinHash bands find clusters, full sets decide in them."""
+"""Near copies by the Jaccard similarity of whole word-shingle sets: multi-index hashing of SimHashes finds clusters, full sets decide."""
 
 from __future__ import annotations
 
@@ -12,18 +12,24 @@ from pyspark.sql import types as T
 
 from loom.llm.common import attach, bit_filter, filter_bits, materialize, maybe
 from loom.llm.components import components
-from loom.llm.simhash import first_of_each
+from loom.llm.simhash import first_of_each, joined
 from loom.llm.textnp import chunks, is_space, mix, range_hashes, spans
 
 #: Words of a shingle, and the least similarity of near copies as a fraction.
 SHINGLE, LEAST = 5, (4, 5)
-#: Bands and the minima of each. A pair at similarity 0.8 shares no band in (1 - 0.8 ** 6) ** 26 = 0.04 % of cases.
-BANDS, ROWS = 26, 6
+#: SimHash segments for up to so many sets: (sets, segments, bits of each). Values that differ in one bit at most meet, so a pair
+#: at similarity 0.8 (15 % of its bits differ) meets in no segment in 0.04 % of cases.
+PLANS = ((1 << 20, 24, 16), (1 << 24, 32, 18), (1 << 63, 42, 20))
+#: The first 64-bit words of the fingerprints that meet are compared in full; more different bits are no candidate.
+WORDS, RADIUS = 3, 55
+#: Sets of so few shingles have a second fingerprint, as a shingle more or less changes more of their bits.
+SHORT = 8
+#: A slot with more fingerprints, and with twice its share, is dealt into blocks.
+SLOT = 4096
 #: Sets of a cluster are compared in blocks of about so many, of about so many shingles.
 BLOCK, BLOCK_SHINGLES = 512, 1 << 18
-
-_SEEDS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64)).reshape(2, -1)
-
+#: Shingles (their bits are counted in bytes), and pairs of fingerprints, that are worked on at once.
+CHUNK, SOME = 255, 1 << 18
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of the distinct shingles, sorted: A-Z lower-cased, words between blanks; a short text is one shingle."""
@@ -49,29 +55,159 @@ def _keys(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
         return doc[begin], begin, mix(np.add.reduceat(mix(h ^ np.uint64(0x3C6EF372FE94F82B)), begin)) if len(begin) else h
 
 
-def with_key(docs: DataFrame, text_col: str = "text", name: str = "key", bands: bool = False) -> DataFrame:
-    """docs and a long that is equal for equal shingle sets (0 for none); with bands, also n (shingles) and buckets."""
+def simhashes(h: np.ndarray, begin: np.ndarray, words: int, salt: int = 0) -> np.ndarray:
+    """SimHashes of the sets that begin there: a row of 64-bit words for each; a bit is 1 if set in over half the shingles' hashes."""
+    out, end = np.zeros((len(begin), words), np.uint64), np.concatenate((begin[1:], [len(h)]))
+    with np.errstate(over="ignore"):
+        seeds = mix(np.arange(1, words + 1, dtype=np.uint64) + np.uint64(salt * words))
+    for d, (a, b) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
+        ones = 0
+        for k in range(a, b, CHUNK):
+            bits = mix(h[k : min(b, k + CHUNK), None] ^ seeds)
+            ones = ones + np.add.reduce(np.unpackbits(bits.view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.uint8).astype(np.int64)
+        out[d] = np.packbits(2 * ones > b - a, bitorder="little").view(np.uint64)
+    return out
+
+
+def with_key(docs: DataFrame, text_col: str = "text", name: str = "key", words: int = 0) -> DataFrame:
+    """docs and a long that is equal for equal shingle sets (0 for none); with words, also n (shingles) and simhash.
+
+    simhash has that number of 64-bit words; for sets of at most SHORT shingles a second fingerprint follows.
+    """
 
     def make(column: pa.Array) -> list[pa.Array]:
-        key, size, buckets = np.zeros(len(column), np.uint64), np.zeros(len(column), np.int32), [None] * len(column)
+        key, size, prints = np.zeros(len(column), np.uint64), np.zeros(len(column), np.int32), [None] * len(column)
         for i, _, data, offs in chunks(column):
             doc, h = shingle_sets(data, offs)
             has, begin, found = _keys(doc, h)
             key[i + has], size[i + has] = found, np.diff(np.concatenate((begin, [len(doc)])))
-            if bands and len(begin):
-                value = np.zeros((BANDS, len(begin)), np.uint64)
-                with np.errstate(over="ignore"):
-                    for k in range(BANDS * ROWS):
-                        least = np.minimum.reduceat((h ^ _SEEDS[0, k]) * (_SEEDS[1, k] | np.uint64(1)), begin)
-                        value[k // ROWS] = mix(value[k // ROWS] + least + np.uint64(k))
-                for d, v in zip((i + has).tolist(), value.T.copy().view(np.int64), strict=True):
-                    buckets[d] = v
-        return [pa.array(key.view(np.int64))] + ([pa.array(size), pa.array(buckets, pa.list_(pa.int64()))] if bands else [])
-
-    more = [T.StructField("n", T.IntegerType()), T.StructField("buckets", T.ArrayType(T.LongType()))] if bands else []
+            if words and len(begin):
+                one = simhashes(h, begin, words)
+                for d, v in zip((i + has).tolist(), one.view(np.int64), strict=True):
+                    prints[d] = v
+                few = np.flatnonzero(size[i + has] <= SHORT)
+                two = simhashes(h, begin, words, 1)[few].view(np.int64) if len(few) else one[:0]
+                for d, v in zip((i + has[few]).tolist(), two, strict=True):
+                    prints[d] = np.concatenate((prints[d], v))
+        return [pa.array(key.view(np.int64))] + ([pa.array(size), pa.array(prints, pa.list_(pa.int64()))] if words else [])
+
+    more = [T.StructField("n", T.IntegerType()), T.StructField("simhash", T.ArrayType(T.LongType()))] if words else []
     return attach(docs, text_col, [T.StructField(name, T.LongType()), *more], make)
 
 
+def plan(sets: int) -> tuple[int, int]:
+    """Segments, and the bits of each: wider for more sets, so that a slot holds few fingerprints by chance."""
+    return next((segments, bits) for most, segments, bits in PLANS if sets <= most)
+
+
+def _slots(prints: np.ndarray, segments: int, width: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """(slot, rest) of each fingerprint, for each segment and each half of it: what the slot fixes, and the half that may differ."""
+    bits = np.unpackbits(np.ascontiguousarray(prints).view(np.uint8), axis=1, bitorder="little")[:, : segments * width]
+    half = width // 2
+    value = (bits.reshape(len(prints), 2 * segments, half) << np.arange(half)).sum(axis=2, dtype=np.int64)
+    other = value.reshape(-1, segments, 2)[:, :, ::-1].reshape(len(prints), -1)
+    table = np.arange(2 * segments) + 2 * segments * salt
+    return (table << half) + value, other
+
+
+def _met(at: np.ndarray, width: int, low: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places in at, sorted, whose values differ in one bit at most (or, where low, in just one), about SOME at a time."""
+    for mask in ([] if low else [0]) + [1 << b for b in range(width)]:
+        want = at ^ mask
+        i = np.flatnonzero(want >= at)
+        a = i + 1 if mask == 0 else np.searchsorted(at, want[i], "left")
+        n = np.searchsorted(at, want[i], "right") - a
+        upto = np.cumsum(n)
+        for k in range(0, int(upto[-1]) if len(n) else 0, SOME):
+            x, y = np.searchsorted(upto, k, "right"), np.searchsorted(upto, min(k + SOME, upto[-1]), "left") + 1
+            some = np.arange(k, min(k + SOME, int(upto[-1])))
+            row = np.searchsorted(upto[x:y], some, "right") + x
+            yield i[row], a[row] + some - (upto - n)[row]
+
+
+def candidates(nodes: DataFrame, segments: int, width: int) -> DataFrame:
+    """Edges (x, y) that connect what pairs of close fingerprints connect. nodes: (key, simhash), keys distinct.
+
+    Multi-index hashing: each segment of a fingerprint is a table, and values of it within one bit meet. Such values agree in
+    one half of the segment; that half is the slot, in which the ball of radius one around the other half is looked up.
+    What meets is compared over WORDS words. A slot with many more fingerprints than its share is dealt into blocks, and
+    every two blocks meet in a row of their own. Each slot gives a forest, not its pairs.
+    """
+    spark, half = nodes.sparkSession, width // 2
+    words = -(-segments * width // 64)
+
+    def tables(batch: pa.RecordBatch) -> Iterator[tuple]:
+        """(key, fingerprint, slots, rests) of the first fingerprints of a batch, then of the second ones."""
+        key, prints = batch.column(0).to_numpy(), batch.column(1)
+        values, size = prints.flatten().to_numpy(), np.diff(prints.offsets.to_numpy())
+        start = np.cumsum(size) - size
+        for salt in (0, 1):
+            has = np.flatnonzero(size > salt * words)
+            for some in np.array_split(has, len(has) // 4096 + 1):
+                if len(some):
+                    fp = values[start[some][:, None] + salt * words + np.arange(words)]
+                    yield key[some], fp, *_slots(fp, segments, width, salt)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(4 * segments << half, np.int64)
+        for batch in batches:
+            for _, _, slot, _ in tables(batch):
+                total += np.bincount(slot.ravel(), minlength=len(total))
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total)), pa.array(total[total > 0])], names=["slot", "n"])
+
+    most = max(SLOT, 2 * (nodes.count() >> half))
+    counted = nodes.select("key", "simhash").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    blocks = np.ones(4 * segments << half, np.int64)
+    for r in counted.where(F.col("n") > most).collect():  # a number for a slot, of which there are few
+        blocks[r.slot] = -(-r.n // most)
+    dealt = spark.sparkContext.broadcast(blocks)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, fp, slot, rest in tables(batch):
+                n = dealt.value[slot].ravel()
+                at = np.repeat(np.arange(n.size), n)
+                partner = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+                doc = at // slot.shape[1]
+                own = (mix(key[doc].view(np.uint64)) % n[at].astype(np.uint64)).astype(np.int64)
+                cell = np.minimum(own, partner) * n[at] + np.maximum(own, partner)
+                cols = [slot.ravel()[at], cell, rest.ravel()[at], key[doc], *fp[doc, :WORDS].T.copy()]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
+
+    names = ["slot", "cell", "rest", "key", *[f"w{k}" for k in range(WORDS)]]
+    schema = "slot long, cell long, rest long, key long, " + ", ".join(f"w{k} long" for k in range(WORDS))
+
+    def close(slot: int, rest: np.ndarray, key: np.ndarray, fp: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        root = np.arange(len(key))
+        for i, j in _met(rest, half, slot % 2 == 1):
+            apart = root[i] != root[j]
+            i, j = i[apart], j[apart]
+            near = sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int16) for w in fp) <= RADIUS
+            if near.any():
+                root = joined(root, i[near], j[near])
+        off = np.flatnonzero(root != np.arange(len(key)))
+        return key[off], key[root[off]]
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            new = [c.to_numpy() for c in batch.columns]
+            held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
+            begin = np.flatnonzero(np.concatenate(([True], (held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1]))))
+            yield from found(held, begin[:-1], begin[1:])
+            held = [c[begin[-1] :] for c in held]  # the last slot may go on
+        if held is not None:
+            yield from found(held, np.zeros(1, np.int64), np.array([len(held[0])]))
+
+    def found(c: list[np.ndarray], begin: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
+        edges = [close(int(c[0][a]), c[2][a:b], c[3][a:b], [w[a:b].view(np.uint64) for w in c[4:]]) for a, b in zip(begin, end, strict=True) if b - a > 1]
+        if edges:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(e)) for e in zip(*edges, strict=True)], names=["x", "y"])
+
+    met = nodes.select("key", "simhash").mapInArrow(rows, schema).repartition("slot", "cell").sortWithinPartitions("slot", "cell", "rest")
+    return met.mapInArrow(verify, "x long, y long").distinct()
+
+
 def _forest(keys: np.ndarray, sets: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
     """Edges that connect what pairs of sets at LEAST or more connect; sets: all members, one set after the other."""
     n, doc = len(keys), np.repeat(np.arange(len(keys)), size)
@@ -90,17 +226,15 @@ def _forest(keys: np.ndarray, sets: np.ndarray, size: np.ndarray) -> Iterator[tu
             root[root == r] = root[a]
 
 
-def links(docs: DataFrame, nodes: DataFrame, text_col: str = "text") -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, segments: int, width: int, text_col: str = "text") -> DataFrame:
     """Edges (x, y) between keys, with the components of all pairs at LEAST or more within a cluster.
 
-    nodes: (key, n, buckets), keys distinct. What shares buckets, over any number of steps, is a cluster; its sets are dealt
+    nodes: (key, n, simhash), keys distinct. What candidates() connects, over any number of steps, is a cluster; its sets are dealt
     into blocks by the hash of the key, and every two blocks meet in a row of their own, so that a large cluster is spread
     over tasks and no list of pairs is made. The sets are made again from the texts, only where a bit filter lets a key through. Repeated texts
     have one key, so they count once; sets without shingles are in no cluster; without clusters there are no edges.
     """
-    rows = materialize(nodes.select("key", F.explode("buckets").alias("bucket")))
-    shared = materialize(rows.groupBy("bucket").agg(F.min("key").alias("y"), F.count("*").alias("c")).where("c > 1").select("bucket", "y"))
-    cluster = materialize(components(materialize(rows.join(shared, "bucket").where("key <> y").select(F.col("key").alias("x"), "y").distinct())))
+    cluster = materialize(components(materialize(candidates(nodes, segments, width))))
     member = materialize(nodes.select("key", "n").join(cluster.withColumnRenamed("node", "key"), "key"))
     dealt = member.groupBy("label").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     member = materialize(member.join(dealt, "label").select("key", "label", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block")))
@@ -144,9 +278,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     components. Texts without words, null ones too, are one group. Of rows of one id one stays, rows alike in all columns included. No
     column is changed, whatever its name; an empty table gives an empty one.
     """
-    slim = materialize(with_key(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), bands=True).select("id", "key", "n", "buckets"))
-    nodes = materialize(slim.where("n > 0").groupBy("key").agg(F.first("n").alias("n"), F.first("buckets").alias("buckets")))
-    label = materialize(components(materialize(links(docs, nodes, text_col))).withColumnRenamed("node", "key"))
+    segments, width = plan(docs.count())
+    stamped = with_key(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), words=-(-segments * width // 64))
+    slim = materialize(stamped.select("id", "key", "n", "simhash"))
+    nodes = materialize(slim.where("n > 0").groupBy("key").agg(F.first("n").alias("n"), F.first("simhash").alias("simhash")))
+    label = materialize(components(materialize(links(docs, nodes, segments, width, text_col))).withColumnRenamed("node", "key"))
     first = slim.groupBy("key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("first"))  # exact copies, before any join
     found = first.select("first.id", "key").join(label, "key", "left").select("id", "key", F.coalesce("label", "key").alias("label"))
     return first_of_each(docs, slim.select("id", "key"), found, lambda d, name: with_key(d, text_col, name), id_col)

@@ -78,6 +78,19 @@ def _segments(n: int, radius: int) -> list[tuple[int, int, int]]:
     return [x for x in out if x[2] >= 0]
 
 
+def joined(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Least labels after links (i, j) have joined what root, the least label of each place, had apart."""
+    a, b, root = root[i], root[j], root.copy()
+    while True:  # least label over links, then over labels
+        new = root.copy()
+        np.minimum.at(new, a, root[b])
+        np.minimum.at(new, b, root[a])
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def _same_value(left: pa.Array, right: pa.Array, own: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges that connect what lies within radius across (or, where own, within) the two fingerprint lists of each row."""
     lists = []
@@ -102,15 +115,7 @@ def _same_value(left: pa.Array, right: pa.Array, own: np.ndarray, radius: int) -
         i, j = np.nonzero(np.bitwise_count(a[:, None] ^ b[None, :]) <= radius)
         value = np.unique(np.concatenate([a, b]))
         i, j = np.searchsorted(value, a[i]), np.searchsorted(value, b[j])
-        root = np.arange(len(value))
-        while True:  # least label over links, then over labels
-            new = root.copy()
-            np.minimum.at(new, i, root[j])
-            np.minimum.at(new, j, root[i])
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
+        root = joined(np.arange(len(value)), i, j)
         off = root != np.arange(len(value))
         xs.append(value[off])
         ys.append(value[root[off]])

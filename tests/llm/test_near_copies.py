@@ -2,8 +2,12 @@
 
 import random
 
+import numpy as np
+import pytest
+
 import corpus_pipeline
 from loom.llm import near_copies, simhash
+from loom.llm.components import components
 from tests.llm.test_first import table
 
 
@@ -63,3 +67,39 @@ def test_large_cluster_in_blocks(spark, monkeypatch):
             copy[at] = f"x{i}"
         rows.append((i, " ".join(copy)))
     assert {r.doc_id for r in near_copies.keep_one(table(spark, rows)).collect()} == brute(rows)
+
+
+@pytest.mark.parametrize("plan, slot", [((24, 16), 4096), ((42, 20), 4)])
+def test_multi_index(spark, plan, slot, monkeypatch):
+    """Candidates connect what pairs connect that are within one bit in a segment and within the radius; crowded slots too."""
+    monkeypatch.setattr(near_copies, "SLOT", slot)
+    (segments, width), rng = plan, np.random.default_rng(5)
+    words = -(-segments * width // 64)
+    bits = np.repeat(rng.integers(0, 2, (12, 64 * words)), 12, axis=0)
+    bits ^= rng.random(bits.shape) < np.tile([0.02, 0.1, 0.15, 0.2], 36)[:, None]
+    prints = np.packbits(bits.astype(np.uint8), axis=1, bitorder="little").view(np.int64)
+    df = spark.createDataFrame([(k * 7, p) for k, p in enumerate(prints.tolist())], "key long, simhash array<long>")
+    root = list(range(len(bits)))
+    for i in range(len(bits)):
+        apart = bits[i] != bits[:i]
+        least = apart[:, : segments * width].reshape(i, segments, width).sum(axis=2).min(axis=1) if i else np.zeros(0)
+        for j in np.flatnonzero((least <= 1) & (apart[:, : 64 * near_copies.WORDS].sum(axis=1) <= near_copies.RADIUS)):
+            one, two = sorted((root[i], root[j]))
+            root = [one if r == two else r for r in root]
+    want, got = {}, {}
+    for k, r in enumerate(root):
+        want.setdefault(r, set()).add(k * 7)
+    for r in components(near_copies.candidates(df, segments, width)).collect():
+        got.setdefault(r.label, set()).add(r.node)
+    assert sorted(map(sorted, got.values())) == sorted(sorted(x) for x in want.values() if len(x) > 1)
+
+
+def test_pairs_at_the_limit(spark):
+    """Pairs at a similarity of just 0.8, short ones too: 8 words of 9, 12 shingles in common of 15, 80 of 100."""
+    rows = []
+    for g in range(360):
+        n, more = ((8, 1), (16, 3), (84, 20))[g % 3]
+        base = [f"{g}x{i}" for i in range(n)]
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(base + [f"{g}y{i}" for i in range(more)]))]
+    assert all(5 * len(shingles(a[1]) & shingles(b[1])) == 4 * len(shingles(a[1]) | shingles(b[1])) for a, b in zip(rows[::2], rows[1::2]))
+    assert {r.doc_id for r in near_copies.keep_one(table(spark, rows)).collect()} == set(range(0, 720, 2))
