@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,8 @@ SLOT = 4096
 BLOCK, BLOCK_SHINGLES = 512, 1 << 18
 #: Shingles (their bits are counted in bytes), and pairs of fingerprints, that are worked on at once.
 CHUNK, SOME = 255, 1 << 18
+#: Values that so many fingerprints of a slot share have so many pivots, which are held against all before all pairs are.
+CROWD, PIVOTS = 128, 8
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of the distinct shingles, sorted: A-Z lower-cased, words between blanks; a short text is one shingle."""
@@ -110,19 +112,53 @@ def _slots(prints: np.ndarray, segments: int, width: int, salt: int) -> tuple[np
     return (table << half) + value, other
 
 
-def _met(at: np.ndarray, width: int, low: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places in at, sorted, whose values differ in one bit at most (or, where low, in just one), about SOME at a time."""
-    for mask in ([] if low else [0]) + [1 << b for b in range(width)]:
-        want = at ^ mask
-        i = np.flatnonzero(want >= at)
-        a = i + 1 if mask == 0 else np.searchsorted(at, want[i], "left")
-        n = np.searchsorted(at, want[i], "right") - a
+def _met(at: np.ndarray, own: np.ndarray, masks: list[int], some: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places in at, sorted, whose values differ in just one of masks and whose roots differ, about SOME at a time.
+
+    own: value and root in one number, sorted alike. With some, only pairs with these places.
+    """
+    all_places = np.arange(len(at))
+    for mask in masks:
+        i = all_places[at ^ mask >= at] if some is None else some
+        want = at[i] ^ mask
+        same = own[i] + (want - at[i]) * len(at)
+        a, z = np.searchsorted(own, same, "right"), np.searchsorted(at, want, "right")
+        if mask or some is not None:  # else the pairs with lesser roots are those of the other place
+            a, z, i = (np.concatenate(x) for x in ((np.searchsorted(at, want, "left"), a), (np.searchsorted(own, same, "left"), z), (i, i)))
+        n = z - a
         upto = np.cumsum(n)
         for k in range(0, int(upto[-1]) if len(n) else 0, SOME):
             x, y = np.searchsorted(upto, k, "right"), np.searchsorted(upto, min(k + SOME, upto[-1]), "left") + 1
-            some = np.arange(k, min(k + SOME, int(upto[-1])))
-            row = np.searchsorted(upto[x:y], some, "right") + x
-            yield i[row], a[row] + some - (upto - n)[row]
+            part = np.arange(k, min(k + SOME, int(upto[-1])))
+            row = np.searchsorted(upto[x:y], part, "right") + x
+            yield i[row], a[row] + part - (upto - n)[row]
+
+
+def _linked(rest: np.ndarray, fp: list[np.ndarray], root: np.ndarray, masks: list[int]) -> np.ndarray:
+    """root, the least label of each place, after all pairs have been linked that differ by masks in rest and lie within RADIUS.
+
+    Some places of each crowded value are held against all first: near copies are mostly linked by these, and pairs that are
+    linked already are not listed.
+    """
+    changed = True
+    for some_masks, pivots in ((masks, True), *(([m], False) for m in masks)):
+        if changed:
+            order = np.argsort(rest * len(rest) + root, kind="stable")
+            at, own = rest[order], (rest * len(rest) + root)[order]
+        some, changed = None, False
+        if pivots:
+            begin = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+            size = np.diff(np.concatenate((begin, [len(at)])))
+            begin, size = begin[size >= CROWD], size[size >= CROWD]
+            some = (begin[:, None] + size[:, None] * np.arange(PIVOTS) // PIVOTS).ravel()
+        for i, j in _met(at, own, some_masks, some):
+            i, j = order[i], order[j]
+            apart = root[i] != root[j]
+            i, j = i[apart], j[apart]
+            near = sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int16) for w in fp) <= RADIUS
+            if near.any():
+                root, changed = joined(root, i[near], j[near]), True
+    return root
 
 
 def candidates(nodes: DataFrame, segments: int, width: int) -> DataFrame:
@@ -131,7 +167,8 @@ def candidates(nodes: DataFrame, segments: int, width: int) -> DataFrame:
     Multi-index hashing: each segment of a fingerprint is a table, and values of it within one bit meet. Such values agree in
     one half of the segment; that half is the slot, in which the ball of radius one around the other half is looked up.
     What meets is compared over WORDS words. A slot with many more fingerprints than its share is dealt into blocks, and
-    every two blocks meet in a row of their own. Each slot gives a forest, not its pairs.
+    every two blocks meet in a cell of their own. A cell gives a forest from its least keys, not its pairs, so that the slots of a
+    group of near copies mostly give the same edges; a cell of two blocks gives only the edges between what either connects.
     """
     spark, half = nodes.sparkSession, width // 2
     words = -(-segments * width // 64)
@@ -178,14 +215,18 @@ def candidates(nodes: DataFrame, segments: int, width: int) -> DataFrame:
     schema = "slot long, cell long, rest long, key long, " + ", ".join(f"w{k} long" for k in range(WORDS))
 
     def close(slot: int, rest: np.ndarray, key: np.ndarray, fp: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        root = np.arange(len(key))
-        for i, j in _met(rest, half, slot % 2 == 1):
-            apart = root[i] != root[j]
-            i, j = i[apart], j[apart]
-            near = sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int16) for w in fp) <= RADIUS
-            if near.any():
-                root = joined(root, i[near], j[near])
-        off = np.flatnonzero(root != np.arange(len(key)))
+        by = np.argsort(key)
+        rest, key, fp = rest[by], key[by], [w[by] for w in fp]
+        block = mix(key.view(np.uint64)) % np.uint64(dealt.value[slot])
+        masks = ([] if slot % 2 else [0]) + [1 << b for b in range(half)]  # equal values meet in the other half's slot
+        place = np.arange(len(key))
+        own = place.copy()
+        if (block != block[0]).any():
+            for b in np.unique(block):
+                some = np.flatnonzero(block == b)
+                own[some] = some[_linked(rest[some], [w[some] for w in fp], place[: len(some)], masks)]
+        root = _linked(rest, fp, own, masks)
+        off = np.flatnonzero((own == place) & (root != place))  # what a block connects is in its own cell's forest
         return key[off], key[root[off]]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,26 +245,58 @@ def candidates(nodes: DataFrame, segments: int, width: int) -> DataFrame:
         if edges:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(e)) for e in zip(*edges, strict=True)], names=["x", "y"])
 
-    met = nodes.select("key", "simhash").mapInArrow(rows, schema).repartition("slot", "cell").sortWithinPartitions("slot", "cell", "rest")
-    return met.mapInArrow(verify, "x long, y long").distinct()
+    met = nodes.select("key", "simhash").mapInArrow(rows, schema).repartition("slot", "cell").sortWithinPartitions("slot", "cell")
+    return _to_least(met.mapInArrow(verify, "x long, y long"))
+
 
+def _to_least(edges: DataFrame) -> DataFrame:
+    """Edges that connect what edges (x, y) do: x goes to its least y only, its other ys go to that one too, and repeats are one.
+
+    An x may have an edge for each slot that it is in; its ys are few, and shared by those that meet there.
+    """
+    least = edges.withColumn("least", F.min("y").over(Window.partitionBy("x")))
+    return least.select(F.when(F.col("y") == F.col("least"), F.col("x")).otherwise(F.col("y")).alias("x"), F.col("least").alias("y")).distinct()
 
-def _forest(keys: np.ndarray, sets: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Edges that connect what pairs of sets at LEAST or more connect; sets: all members, one set after the other."""
-    n, doc = len(keys), np.repeat(np.arange(len(keys)), size)
+
+def _forest(keys: np.ndarray, block: np.ndarray, sets: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (x, y) from least keys that connect what pairs of sets at LEAST or more connect.
+
+    sets: all members, one set after the other. Of members of two blocks, what a block connects is left out: it is in its own forest.
+    """
+    n, doc, two = len(keys), np.repeat(np.arange(len(keys)), size), bool((block != block[0]).any())
     _, term, count = np.unique(sets, return_inverse=True, return_counts=True)
     posting, start = doc[np.argsort(term, kind="stable")], np.cumsum(count) - count
-    off, root = np.concatenate(([0], np.cumsum(size))), np.arange(n)
+    off, root, own = np.concatenate(([0], np.cumsum(size))), np.arange(n), np.arange(n)
     up, down = LEAST
+
+    def join(root: np.ndarray, a: int, near: np.ndarray) -> None:
+        for r in np.unique(root[near]):
+            root[root == r] = root[a]
+
     for a in range(n - 1):
+        apart = root[a + 1 :] != root[a]
+        if two:
+            apart |= (own[a + 1 :] != own[a]) & (block[a + 1 :] == block[a])
+        if not apart.any():
+            continue
         t = term[off[a] : off[a + 1]]
         wide = count[t]
         common = np.bincount(posting[np.repeat(start[t] - (np.cumsum(wide) - wide), wide) + np.arange(wide.sum())], minlength=n)
         near = np.flatnonzero((up + down) * common >= up * (size + size[a]))
-        near = near[(near > a) & (root[near] != root[a])]
-        for r, j in zip(*np.unique(root[near], return_index=True), strict=True):
-            yield keys[a], keys[near[j]]
-            root[root == r] = root[a]
+        near = near[near > a]
+        join(root, a, near)
+        if two:
+            join(own, a, near[block[near] == block[a]])
+    x, y = (_least(keys, r) for r in (own, root))
+    first = (keys == x) & (x != y)
+    return x[first], y[first]
+
+
+def _least(keys: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """The least key among those of the same root, for each."""
+    out = np.full(len(keys), np.iinfo(np.int64).max)
+    np.minimum.at(out, root, keys)
+    return out[root]
 
 
 def links(docs: DataFrame, nodes: DataFrame, segments: int, width: int, text_col: str = "text") -> DataFrame:
@@ -252,20 +325,20 @@ def links(docs: DataFrame, nodes: DataFrame, segments: int, width: int, text_col
                     names=["key", "shingles"])
 
     made = docs.select(text_col).mapInArrow(wanted, "key long, shingles array<long>").groupBy("key").agg(F.first("shingles").alias("shingles"))  # copies first
-    sets = materialize(made.join(member.select("key").hint("merge"), "key", "left_semi"))
+    sets = materialize(made.join(member.select("key").hint("merge"), "key"))  # a semi-join would be put below the grouping
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     met = member.join(sets, "key").withColumn("other", other).select("label", F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"), "key", "shingles")
-    met = met.groupBy("label", "i", "j").agg(F.collect_list(F.struct("key", "shingles")).alias("sets")).select("sets")
+        F.greatest("block", "other").alias("j"), "key", "block", "shingles")
+    met = met.groupBy("label", "i", "j").agg(F.collect_list(F.struct("key", "block", "shingles")).alias("sets")).select("sets")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            edges = []
+            edges = [(np.zeros(0, np.int64),) * 2]
             for row in batch.column(0):
-                key, shingles = row.values.flatten()
+                key, block, shingles = row.values.flatten()
                 size = np.diff(shingles.offsets.to_numpy())
-                edges += _forest(key.to_numpy(), shingles.flatten().to_numpy(), size)
-            x, y = np.array(edges, np.int64).reshape(-1, 2).T
+                edges.append(_forest(key.to_numpy(), block.to_numpy(), shingles.flatten().to_numpy(), size))
+            x, y = (np.concatenate(e) for e in zip(*edges, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
 
     return met.mapInArrow(verify, "x long, y long").distinct()

@@ -103,3 +103,29 @@ def test_pairs_at_the_limit(spark):
         rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(base + [f"{g}y{i}" for i in range(more)]))]
     assert all(5 * len(shingles(a[1]) & shingles(b[1])) == 4 * len(shingles(a[1]) | shingles(b[1])) for a, b in zip(rows[::2], rows[1::2]))
     assert {r.doc_id for r in near_copies.keep_one(table(spark, rows)).collect()} == set(range(0, 720, 2))
+
+
+@pytest.mark.parametrize("slot", [4096, 32])
+def test_edges_of_a_group_grow_with_its_members(spark, slot, monkeypatch):
+    """A group of near copies gives edges in proportion to its members, though they share all slots and fill blocks of some."""
+    monkeypatch.setattr(near_copies, "SLOT", slot)
+    rng = np.random.default_rng(8)
+    bits = rng.integers(0, 2, 384) ^ (rng.random((600, 384)) < 0.02)
+    prints = np.packbits(bits.astype(np.uint8), axis=1, bitorder="little").view(np.int64)
+    keys = rng.permutation(600) * 7
+    df = spark.createDataFrame([(int(k), p) for k, p in zip(keys, prints.tolist())], "key long, simhash array<long>")
+    edges = near_copies.candidates(df, 24, 16).cache()
+    assert edges.count() <= 3 * 600 and edges.distinct().count() == edges.count()
+    found = components(edges).collect()
+    assert len(found) == 600 and len({r.label for r in found}) == 1
+
+
+def test_links_of_a_cluster_in_blocks(spark, monkeypatch):
+    """Two blocks that meet give no edge that either block has on its own: a cluster's links don't grow with its blocks."""
+    monkeypatch.setattr(near_copies, "BLOCK", 8)
+    base = [f"w{i}" for i in range(150)]
+    df = table(spark, [(i, " ".join([*base[: i % 140], f"x{i}", *base[i % 140 + 1 :]])) for i in range(120)])
+    nodes = near_copies.with_key(df, words=6).select("key", "n", "simhash").cache()
+    edges = near_copies.links(df, nodes, 24, 16).cache()
+    assert edges.count() <= 120 + 15 * 16 // 2  # a tree in each of 15 blocks, and one edge for every two of them
+    assert len({r.label for r in components(edges).collect()}) == 1 and components(edges).count() == 120
