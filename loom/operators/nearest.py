@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loom.functions.kmers import signal
+from loom.operators import cells
 from loom.operators.greedy import select_representatives
 from loom.operators.similarity import cross_sims, pair_sims, sizes, with_distance
 from loom.plans.shared import written
@@ -33,6 +34,13 @@ def nearest(queries: DataFrame, references: DataFrame, level: int = 1) -> DataFr
         (F.coalesce("sim", F.lit(0)) < level).alias("outlier"))
 
 
+def nearest_of(queries: cells.Packed, references: cells.Packed, level: int = 1) -> DataFrame:
+    """As nearest(), of packed sequences: no row a common k-mer is shuffled."""
+    out = queries.sequences().join(cells.best(queries, references), "id", "left")
+    return out.select("id", "ref_id", F.coalesce("sim", F.lit(0)).alias("sim"), F.coalesce("distance", F.lit(1.0)).alias("distance"),
+        (F.coalesce("sim", F.lit(0)) < level).alias("outlier"))
+
+
 def updated_assignments(queries: DataFrame, references: DataFrame, level: int) -> DataFrame:
     """As nearest(), for a set that grows: a query that nothing represents becomes a representative, before all later ids.
 
