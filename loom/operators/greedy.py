@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loom.operators import cells
+from loom.operators.ranks import ranked
 from loom.plans.shared import written
 
+#: Items of a walk's first wave, and how many times as many each next one has.
+WAVE, WIDER = 8192, 3
 #: Undecided edges that one task finishes; more go through further rounds.
 SMALL = 200_000
 
@@ -96,3 +101,58 @@ def nested_levels(nodes: DataFrame, sims: DataFrame, levels: list[int]) -> DataF
         part = own.select(F.lit(level).alias("level"), "id", "priority")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@dataclass(frozen=True)
+class Ordered:
+    """Sequences in the order of a walk: order (id, place, bucket), places from 1 without gaps, and packed by bucket."""
+
+    nodes: DataFrame
+    order: DataFrame
+    seqs: cells.Packed
+
+
+def ordered(nodes: DataFrame, seqs: DataFrame, k: int) -> Ordered:
+    """nodes (id, priority), of rows of one id the first; seqs (id, seq)."""
+    nodes = nodes.groupBy("id").agg(F.min("priority").alias("priority"))
+    order = ranked(nodes, F.col("priority"), F.col("id")).select("id", "place", F.floor((F.col("place") - 1) / cells.BUCKET).cast("int").alias("bucket"))
+    order = written(order)
+    return Ordered(nodes, order, cells.packed(seqs.join(order, "id"), k))
+
+
+def walked(o: Ordered, least: int = 1, most: float = 1.0, seeds: DataFrame | None = None) -> DataFrame:
+    """(id, place, bucket): what select_representatives() keeps where sequences resemble each other that share `least` k-mers up to the distance `most`.
+
+    The order is walked in waves. What resembles a kept sequence of an earlier wave is dropped without a list of the pairs; only
+    pairs within a wave become edges, when most that resembles much is gone. So no table of all similar pairs is made.
+    """
+    left, total = o.order, o.order.count()
+    if seeds is not None:
+        old = left.join(seeds.select("id").distinct(), "id", "left_semi")
+        left = left.join(seeds.select("id").distinct(), "id", "left_anti")
+        left = written(left.join(cells.resembling(o.seqs.only(left), o.seqs.only(old), least, most).distinct(), "id", "left_anti"))
+    kept: DataFrame | None = None
+    low, size = 0, WAVE
+    while low < total:
+        wave, buckets = left.where(F.col("place").between(low + 1, low + size)), -(-size // cells.BUCKET)
+        if kept is not None:
+            near = cells.resembling(o.seqs.only(wave, buckets), o.seqs.only(kept, -(-low // cells.BUCKET)), least, most)
+            wave = written(wave.join(near.distinct(), "id", "left_anti"))
+        edges = written(cells.pair_distances(o.seqs.only(wave, buckets), least, most).select("id1", "id2"))
+        found = select_representatives(wave.withColumnRenamed("place", "priority"), edges).withColumnRenamed("priority", "place")
+        found = written(found.select("id", "place", "bucket"))
+        kept = found if kept is None else kept.unionByName(found)
+        low, size = low + size, size * WIDER
+    return left.limit(0) if kept is None else kept
+
+
+def nested(o: Ordered, levels: list[int]) -> DataFrame:
+    """As nested_levels()."""
+    found: DataFrame | None = None
+    out: DataFrame | None = None
+    for level in sorted(levels):
+        new = walked(o, level, seeds=found).select("id")
+        found = new if found is None else found.unionByName(new)
+        part = o.nodes.join(found, "id", "left_semi").select(F.lit(level).alias("level"), "id", "priority")
+        out = part if out is None else out.unionByName(part)
+    return out
